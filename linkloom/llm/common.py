@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+from pathlib import Path
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+_ROOT = str(Path(__file__).resolve().parents[2])
+
 #: ASCII white space, the separators of a "word" in every contract here.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -43,7 +47,11 @@ def written(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
 
 
 def small_batches(spark: SparkSession, rows: int = 1000) -> None:
-    """Bound the Arrow batches that Python workers get, as a single text may be very long."""
+    """Bound the Arrow batches that Python workers get, as a single text may be very long, and let workers import
+    this package where it lies (a cluster gets it by --py-files)."""
+    path = spark.sparkContext.environment.get("PYTHONPATH", "")
+    if _ROOT not in path.split(os.pathsep):
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(x for x in (path, _ROOT) if x)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
 

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from . import lang_id, simhash
+from . import lang_id, simhash, substring
 
 QUERIES = {
     "op2_language_id": lang_id.query,
     "op3_simhash_near_dedup": simhash.query,
+    "op4_substring_dedup": substring.query,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op4_substring_dedup": substring.ORACLE,
+}
