@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from . import lang_id, simhash, substring
+from . import lang_id, packing, simhash, substring, token_output
 
 QUERIES = {
     "op2_language_id": lang_id.query,
     "op3_simhash_near_dedup": simhash.query,
     "op4_substring_dedup": substring.query,
+    "op8_token_output": token_output.query,
+    "op10_packing": packing.query,
 }
 
 ORACLES: dict[str, str] = {
