@@ -34,15 +34,13 @@ STEP = 8
 
 
 def _best_pattern(sizes: np.ndarray, value: np.ndarray, room: int) -> tuple[float, np.ndarray]:
-    """The unbounded knapsack: the most value that fits ``room``, and how many of each item make it."""
+    """The unbounded knapsack: the most value that fits ``room``, and how many of each item (by size) make it."""
     best, pick = np.zeros(room + 1), np.full(room + 1, -1)
-    for w in range(1, room + 1):
-        fit = sizes <= w
-        if not fit.any():
-            continue
-        got = np.where(fit, best[w - np.minimum(sizes, w)] + value, -1.0)
-        k = int(got.argmax())
-        best[w], pick[w] = (got[k], k) if got[k] > best[w - 1] else (best[w - 1], -2)
+    for w, n in enumerate(np.searchsorted(sizes, np.arange(room + 1), "right").tolist()):
+        if n:
+            got = best[w - sizes[:n]] + value[:n]
+            k = int(got.argmax())
+            best[w], pick[w] = (got[k], k) if got[k] > best[w - 1] else (best[w - 1], -2)
     many, w = np.zeros(len(sizes), np.int64), room
     while w > 0 and pick[w] != -1:
         if pick[w] == -2:
@@ -53,36 +51,31 @@ def _best_pattern(sizes: np.ndarray, value: np.ndarray, room: int) -> tuple[floa
     return float(best[room]), many
 
 
-def solve(sizes: np.ndarray, demand: np.ndarray, room: int, rounds: int = 4000) -> tuple[np.ndarray, np.ndarray]:
-    """Column generation for min sum(x), A x = demand: the basis' patterns (a column each) and their (fractional)
-    numbers. ``rounds`` bounds the improvements; any basis is a valid packing."""
-    m = len(sizes)
-    basis = np.diag(room // sizes).astype(float)
+def solve(sizes: np.ndarray, demand: np.ndarray, room: int, slack: float = 1e-3, rounds: int = 4000) -> tuple[np.ndarray, np.ndarray]:
+    """Column generation for min sum(x), A x = demand, sizes ascending: the basis' patterns (a column each) and their
+    (fractional) numbers. It ends when the sum is within ``slack`` of the optimum: sum(x) over the best pattern's
+    value bounds that from below. ``rounds`` bounds the improvements; any basis is a valid packing."""
+    basis = np.diag(room // sizes)
     inverse = np.diag(1 / np.diag(basis))
-    x = inverse @ demand
-    for k in range(rounds):
-        dual = inverse.sum(0)
-        gain, pattern = _best_pattern(sizes, dual, room)
-        if gain <= 1 + 1e-7:
+    x = demand / np.diag(basis)
+    for _ in range(rounds):
+        gain, pattern = _best_pattern(sizes, inverse.sum(0), room)
+        if gain <= 1 + slack:
             break
-        d = inverse @ pattern
-        ratio = np.full(m, np.inf)
-        ratio[d > 1e-9] = x[d > 1e-9] / d[d > 1e-9]
+        used = np.flatnonzero(pattern)
+        d = (inverse[:, used] * pattern[used]).sum(1)
+        ratio = np.where(d > 1e-9, x / np.where(d > 1e-9, d, 1), np.inf)
         out = int(ratio.argmin())
-        if not np.isfinite(ratio[out]):
+        step = ratio[out]
+        if not np.isfinite(step):
             break
         basis[:, out] = pattern
-        step = ratio[out]
         x = np.maximum(x - step * d, 0)
         x[out] = step
-        if k % 50 == 49:
-            inverse = np.linalg.inv(basis)
-            x = np.maximum(inverse @ demand, 0)
-        else:
-            row = inverse[out] / d[out]
-            inverse = inverse - np.outer(d, row)
-            inverse[out] = row
-    return basis.round().astype(np.int64), x
+        row = inverse[out] / d[out]
+        inverse -= np.outer(d, row)
+        inverse[out] = row
+    return basis, x
 
 
 def plan(histogram: dict[int, int], size: int = 2048) -> list[tuple[int, dict[int, int]]]:
