@@ -8,6 +8,7 @@ come from a table of bounded size; the library encodes the others, a batch at a
 from __future__ import annotations
 
 import re
+from itertools import chain, compress
 from unicodedata import is_normalized
 
 import numpy as np
@@ -19,8 +20,8 @@ CHUNKS = {
     "byte": re.compile(f" ?[^{_WS}]+|[{_WS}]+(?![^{_WS}])|[{_WS}]+").findall,
     "word": re.compile(f"[^{_WS}]+").findall,
 }
-#: Chunks remembered at most, and how many of the first seen stay when the table is full.
-MOST, STAY = 600_000, 200_000
+#: Chunks remembered at most. When the table is full, those met most often since the last time stay, half of it at most.
+MOST = 1_000_000
 _MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
@@ -50,9 +51,10 @@ class Encoder:
 
         self.library = Tokenizer.from_file(path)
         self.library.encode_special_tokens = False
-        self.kind, self.find, self.marks = kind, CHUNKS[kind], {}
+        self.model, self.kind, self.find, self.marks = self.library.model, kind, CHUNKS[kind], {}
         self.special = re.compile("|".join(re.escape(x.content) for x in self.library.get_added_tokens_decoder().values()) or r"(?!)")
         self.index, self.ids, self.ends = _Index(), np.zeros(0, np.uint32), np.zeros(1, np.int64)
+        self.uses = np.zeros(0, np.int64)
 
     def _plain(self, chunk: str) -> list[int] | None:
         """The ids of a run of letters and the ASCII punctuation after it: two pre-tokens, which go to the library's
@@ -66,7 +68,8 @@ class Encoder:
             core = letters = letters.lower()
         if not letters.isalpha():
             return None
-        out = [x.id for x in self.library.model.tokenize(core.encode().decode("latin-1").translate(_BYTE_CHARS))]
+        shown = core.replace(" ", "\u0120") if core.isascii() else core.encode().decode("latin-1").translate(_BYTE_CHARS)
+        out = [x.id for x in self.model.tokenize(shown)]
         if marks:
             if marks not in self.marks:
                 self.marks[marks] = self.library.encode(marks, add_special_tokens=False).ids
@@ -80,20 +83,25 @@ class Encoder:
             for i, x in zip(other, self.library.encode_batch([self.index.new[i] for i in other], add_special_tokens=False), strict=True):
                 got[i] = x.ids
             size = np.fromiter(map(len, got), np.int64, len(got))
-            flat = np.fromiter((i for x in got for i in x), np.uint32, int(size.sum()))
+            flat = np.fromiter(chain.from_iterable(got), np.uint32, int(size.sum()))
             self.ids = np.concatenate([self.ids, flat])
             self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum(size)])
             self.index.new = []
 
     def _shrink(self):
-        if len(self.index) > MOST:
-            first = _Index()
-            for chunk, at in self.index.items():
-                if at >= STAY:
-                    break
-                first[chunk] = at
-            self.index, self.ends = first, self.ends[: STAY + 1].copy()
-            self.ids = self.ids[: self.ends[-1]].copy()
+        if len(self.index) <= MOST:
+            return
+        least = 2
+        while (kept := np.flatnonzero(self.uses[: len(self.index)] >= least)).size > MOST // 2:
+            least += 1
+        stays = np.zeros(len(self.index), bool)
+        stays[kept] = True
+        index = _Index()
+        index.update((chunk, k) for k, chunk in enumerate(compress(self.index, stays.tolist())))
+        size = self.ends[kept + 1] - self.ends[kept]
+        ends = np.concatenate([[0], np.cumsum(size)])
+        self.ids = self.ids[np.repeat(self.ends[kept] - ends[:-1], size) + np.arange(int(size.sum()))]
+        self.index, self.ends, self.uses = index, ends, self.uses[kept] // 2
 
     def encode(self, texts: list[str | None], end: int | None = None) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row, and how many each has; ``end`` follows each text. A text that holds a special
@@ -109,6 +117,9 @@ class Encoder:
                 at += got
         self._learn()
         at = np.array(at, np.int64)
+        uses = np.bincount(at, minlength=len(self.index))
+        uses[: len(self.uses)] += self.uses
+        self.uses = uses
         size = self.ends[at + 1] - self.ends[at]
         before = np.cumsum(size) - size
         ids = self.ids[np.repeat(self.ends[at] - before, size) + np.arange(int(size.sum()))]

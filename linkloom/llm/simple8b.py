@@ -15,6 +15,10 @@ BLOCK = 1024
 _MOST = 120
 _COUNT = np.array([n for n, _ in SELECTORS])
 _U = np.uint64
+#: Bit lengths of small values.
+_LENGTH = np.zeros(1 << 20, np.int8)
+for _b in range(20):
+    _LENGTH[1 << _b : 2 << _b] = _b + 1
 
 
 def encode(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -27,9 +31,8 @@ def encode(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     padded = np.zeros(blocks * BLOCK, np.uint64)
     padded[:n] = values
     v[:, :BLOCK] = padded.reshape(blocks, BLOCK)
-    bits = np.zeros(v.shape, np.int8)
-    bits[:] = np.ceil(np.log2(v.astype(np.float64) + 1)).astype(np.int8)  # exact below 2**48
-    big = v >= _U(1 << 48)
+    bits = _LENGTH[np.minimum(v, _U(len(_LENGTH) - 1)).astype(np.int32)]
+    big = v >= _U(len(_LENGTH))
     if big.any():
         bits[big] = [int(x).bit_length() for x in v[big]]
     # the widest of the next k values, for each k a selector has

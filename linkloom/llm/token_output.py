@@ -67,7 +67,7 @@ def _documents(shards: DataFrame, of, more: str) -> DataFrame:
         for b in batches:
             for r in b.to_pylist():
                 counts = np.array(r["counts"], np.int64)
-                ids = simple8b.decode(np.frombuffer(r["words"], np.uint64), np.frombuffer(r["offsets"], np.uint32), r["n_ids"])
+                ids = simple8b.decode(np.frombuffer(r["words"], np.uint64), np.frombuffer(r["offsets"], np.uint32), r["n_ids"]).astype("<u4")
                 ends = np.cumsum(counts)
                 each = np.split(ids, ends[:-1]) if len(counts) else []
                 got = {"doc_id": pa.array(r["doc_ids"], pa.int64()), "part": pa.array([r["part"]] * len(counts), pa.int32()), "seq": pa.array([r["seq"]] * len(counts), pa.int32()), "before": pa.array(ends - counts), "n_tokens": pa.array(counts)} | of(each)
@@ -82,7 +82,7 @@ def _documents(shards: DataFrame, of, more: str) -> DataFrame:
 def digests(spark, path: str) -> DataFrame:
     """(doc_id, start, n_tokens, ids_crc32) read back from the shards."""
     shards = spark.read.schema(SHARD).parquet(path)
-    return _documents(shards, lambda ids: {"ids_crc32": pa.array([zlib.crc32(x.astype("<u4").tobytes()) for x in ids], pa.int64())}, "ids_crc32 long")
+    return _documents(shards, lambda ids: {"ids_crc32": pa.array([zlib.crc32(x) for x in ids], pa.int64())}, "ids_crc32 long")
 
 
 def query(spark, sf_dir):
