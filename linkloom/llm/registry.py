@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
-from . import lang_id, packing, simhash, substring, token_output
+from . import chat, decontaminate, lang_id, packing, simhash, substring, token_output
 
 QUERIES = {
     "op2_language_id": lang_id.query,
     "op3_simhash_near_dedup": simhash.query,
     "op4_substring_dedup": substring.query,
+    "op6_decontamination": decontaminate.query,
+    "op7_chat_format": chat.query,
     "op8_token_output": token_output.query,
     "op10_packing": packing.query,
 }
 
 ORACLES: dict[str, str] = {
     "op4_substring_dedup": substring.ORACLE,
+    "op6_decontamination": decontaminate.ORACLE,
+    "op7_chat_format": chat.ORACLE,
 }
