@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import chat, decontaminate, lang_id, packing, simhash, substring, token_output
+from . import chat, decontaminate, lang_id, packing, simhash, substring, token_output, toxicity
 
 QUERIES = {
     "op2_language_id": lang_id.query,
@@ -11,6 +11,7 @@ QUERIES = {
     "op6_decontamination": decontaminate.query,
     "op7_chat_format": chat.query,
     "op8_token_output": token_output.query,
+    "op9_toxicity": toxicity.query,
     "op10_packing": packing.query,
 }
 
