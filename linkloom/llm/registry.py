@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from . import chat, decontaminate, lang_id, packing, simhash, substring, token_output, toxicity
+from . import chat, decontaminate, lang_id, packing, simhash, spotsigs, substring, token_output, toxicity
 
 QUERIES = {
     "op2_language_id": lang_id.query,
     "op3_simhash_near_dedup": simhash.query,
     "op4_substring_dedup": substring.query,
+    "op5_spotsigs": spotsigs.query,
     "op6_decontamination": decontaminate.query,
     "op7_chat_format": chat.query,
     "op8_token_output": token_output.query,
