@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import chat, decontaminate, lang_id, packing, simhash, spotsigs, substring, token_output, toxicity
+from . import chat, decontaminate, lang_id, packing, simhash, spotsigs, substring, token_counts, token_output, toxicity
 
 QUERIES = {
+    "op1_token_counts": token_counts.query,
     "op2_language_id": lang_id.query,
     "op3_simhash_near_dedup": simhash.query,
     "op4_substring_dedup": substring.query,
