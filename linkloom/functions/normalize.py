@@ -5,11 +5,16 @@ Only Unicode folding of non-ASCII text leaves the JVM: Spark has no NFKD, so tho
 
 from __future__ import annotations
 
+import sys
 import unicodedata
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])  # workers need no copy of this package
 
 # --- fixed values: the character classes that define the normal form --------------------------------
 #: Look-alike characters and what stands for them.
@@ -25,7 +30,7 @@ LETTER_SHARE = 0.66
 PUNCTUATION = " " + "".join(c for c in map(chr, range(33, 127)) if not c.isalnum()) + MORE_PUNCTUATION
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _decomposed(text: pd.Series) -> pd.Series:
     return text.map(lambda s: unicodedata.normalize("NFKD", s), na_action="ignore")
 

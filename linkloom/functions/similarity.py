@@ -6,10 +6,16 @@ is 0 if either is empty.
 
 from __future__ import annotations
 
+import sys
+
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])  # workers need no copy of this package
 
-SCHEMA = "ratio double, token_sort double, token_set double, partial double, jw double, osa double"
+SCHEMA = T.StructType([T.StructField(c, T.DoubleType()) for c in ("ratio", "token_sort", "token_set", "partial", "jw", "osa")])
 
 
 def _masks(s: str) -> dict[str, int]:

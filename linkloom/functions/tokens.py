@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -39,19 +41,20 @@ def expand(token: Column, expansions: dict[str, list[str]]) -> Column:
 
 
 def apply_phrases(tokens: Column, phrases: dict[str, str]) -> Column:
-    """Known pairs of neighbours become one token, leftmost first, without overlap."""
+    """Known pairs of neighbours become one token, leftmost first, without overlap. The tokens are joined so that each
+    has blanks of its own on both sides; one regular expression then marks the pairs from left to right, in time linear
+    in the text."""
     if not phrases:
         return tokens
+    second: dict[str, list[str]] = {}
+    for pair in sorted(phrases):
+        a, b = pair.split(" ")
+        second.setdefault(a, []).append(b)
+    heads = "|".join(f"{re.escape(a)}(?=  (?:{'|'.join(map(re.escape, b))}) )" for a, b in second.items())
+    marked = F.regexp_replace(F.concat(F.lit(" "), F.array_join(tokens, "  "), F.lit(" ")), f" ({heads})  (\\S+) ", " \x01$1\x02$2 ")
     known = _map(phrases)
-    start = F.struct(F.array().cast("array<string>").alias("out"), F.lit(None).cast("string").alias("open"))
-
-    def step(state, t):
-        short = F.try_element_at(known, F.concat_ws(" ", state["open"], t))
-        hit = state["open"].isNotNull() & short.isNotNull()
-        closed = F.when(state["open"].isNull(), state["out"]).otherwise(F.array_append(state["out"], state["open"]))
-        return F.struct(F.when(hit, F.array_append(state["out"], short)).otherwise(closed).alias("out"), F.when(hit, F.lit(None).cast("string")).otherwise(t).alias("open"))
-
-    return F.aggregate(tokens, start, step, lambda s: F.when(s["open"].isNull(), s["out"]).otherwise(F.array_append(s["out"], s["open"])))
+    split = F.filter(F.split(marked, " +"), lambda t: t != "")
+    return F.transform(split, lambda t: F.when(F.startswith(t, F.lit("\x01")), F.try_element_at(known, F.translate(t, "\x02\x01", " "))).otherwise(t))
 
 
 def is_subsequence(short: Column, long: Column) -> Column:

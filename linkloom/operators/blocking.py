@@ -63,8 +63,10 @@ def idf(pool: DataFrame, s1: DataFrame) -> DataFrame:
 def rarest(prepared: DataFrame, weights: DataFrame, k: int = 3) -> DataFrame:
     """(country, entity_id, name_key, names, words, nums): the k rarest distinct name and address tokens (ties by
     spelling) and the k first numbers by spelling, each with its idf."""
-    each = prepared.select("country", "entity_id", F.explode(F.flatten(F.array(*[
-        F.transform(F.array_distinct(c), lambda t, f=f: F.struct(F.lit(f).alias("field"), t.alias("token"))) for f, c in (("n", "name_toks"), ("w", "word_toks"), ("d", "num_toks"))]))).alias("x"))
+    def tagged(field: str, c: str) -> Column:
+        return F.transform(F.array_distinct(c), lambda t: F.struct(F.lit(field).alias("field"), t.alias("token")))
+
+    each = prepared.select("country", "entity_id", F.explode(F.flatten(F.array(tagged("n", "name_toks"), tagged("w", "word_toks"), tagged("d", "num_toks")))).alias("x"))
     each = each.select("country", "entity_id", "x.field", "x.token").join(weights, ["country", "token"])
 
     def first(field: str, *order: str) -> Column:

@@ -30,7 +30,10 @@ def listwise(cands: DataFrame) -> DataFrame:
 
 def _with_idf(prepared: DataFrame, weights: DataFrame) -> DataFrame:
     """Adds maps from a record's distinct name and address tokens to their idf."""
-    each = prepared.select("country", "entity_id", F.explode(F.flatten(F.array(*[F.transform(F.array_distinct(c), lambda t, f=f: F.struct(F.lit(f).alias("f"), t.alias("token"))) for f, c in (("n", "name_toks"), ("w", "word_toks"))]))).alias("x"))
+    def tagged(field: str, c: str) -> Column:
+        return F.transform(F.array_distinct(c), lambda t: F.struct(F.lit(field).alias("f"), t.alias("token")))
+
+    each = prepared.select("country", "entity_id", F.explode(F.flatten(F.array(tagged("n", "name_toks"), tagged("w", "word_toks")))).alias("x"))
     got = each.select("country", "entity_id", "x.f", "x.token").join(weights.select("country", "token", "idf"), ["country", "token"]).groupBy("country", "entity_id").agg(
         *[F.map_from_entries(F.collect_list(F.when(F.col("f") == f, F.struct("token", "idf")))).alias(c) for f, c in (("n", "n_idf"), ("w", "w_idf"))])
     none = F.create_map().cast("map<string,double>")

@@ -29,7 +29,7 @@ def differences(found: DataFrame) -> DataFrame:
 
 def substitutions(diffs: DataFrame) -> DataFrame:
     """(a, b, n), a < b: one token stands for another."""
-    one = diffs.where((F.size("x") == 1) & (F.size("y") == 1)).select(F.col("x")[0].alias("x"), F.col("y")[0].alias("y"))
+    one = diffs.where((F.size("x") == 1) & (F.size("y") == 1)).select(F.get("x", F.lit(0)).alias("x"), F.get("y", F.lit(0)).alias("y"))
     return one.groupBy(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).agg(F.count("*").alias("n"))
 
 
@@ -42,7 +42,7 @@ def expansion_edges(subst: DataFrame, least: int = MIN_SUBST) -> DataFrame:
 
 def phrase_counts(diffs: DataFrame) -> DataFrame:
     """(single, w1, w2, n): one token against two."""
-    side = lambda s, m: diffs.where((F.size(s) == 1) & (F.size(m) == 2)).select(F.col(s)[0].alias("single"), F.col(m)[0].alias("w1"), F.col(m)[1].alias("w2"))
+    side = lambda s, m: diffs.where((F.size(s) == 1) & (F.size(m) == 2)).select(F.get(s, F.lit(0)).alias("single"), F.get(m, F.lit(0)).alias("w1"), F.get(m, F.lit(1)).alias("w2"))
     return side("x", "y").unionByName(side("y", "x")).groupBy("single", "w1", "w2").agg(F.count("*").alias("n"))
 
 

@@ -1,6 +1,555 @@
-"""Named queries over the driver's tables, each with its SQL."""
+"""Named queries over the driver's tables, one or more for each operator, each with its SQL where SQL can say it."""
 
 from __future__ import annotations
 
-QUERIES: dict = {}
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..functions import minhash, normalize, similarity, tokens
+from ..operators import assign, blocking, features, metrics, mining, model, tuning
+from ..operators.rules import RuleSet
+from ..sources import records as files
+from ..sources.storage import fresh_path, written
+from . import views
+from .views import RULES, sql
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
+CONFIG = blocking.Config(lsh="md5")
+
+
+def query(name: str, oracle: str | None = None):
+    def put(f):
+        QUERIES[name] = f
+        if oracle:
+            ORACLES[name] = oracle
+        return f
+
+    return put
+
+
+def _join(c) -> F.Column:
+    return F.array_join(c, " ")
+
+
+# --- shared plans ---------------------------------------------------------------------------------------
+
+
+def prepared(spark, sf_dir, source=views.records) -> DataFrame:
+    """Prepared once and written, as most plans read it several times."""
+    return written(blocking.prepare(source(spark, sf_dir), RULES).drop("name", "address"), "prepared")
+
+
+def found(spark, sf_dir, source=views.records, capped=True):
+    """(candidates, source 1, pool, weights)."""
+    s1, pool = views.sides(prepared(spark, sf_dir, source))
+    return written(blocking.candidates(s1, pool, RULES, CONFIG, capped), "candidates"), s1, pool, blocking.idf(pool, s1)
+
+
+def truth_edges(norms: DataFrame) -> DataFrame:
+    """Records of equal normal form in source 1 and the pool, as a stand-in for labels."""
+    same = norms.select("country", "entity_id", F.md5(F.encode(F.concat_ws("|", "norm_name", "norm_addr"), "UTF-8")).alias("h"))
+    a, b = views.sides(same)
+    return a.select("country", "h", F.col("entity_id").alias("s1_id")).join(b.select("country", "h", F.col("entity_id").alias("cand_id")), ["country", "h"]).select("s1_id", "cand_id")
+
+
+def _norms(spark, sf_dir) -> DataFrame:
+    r = views.records(spark, sf_dir)
+    return r.select("entity_id", "country", normalize.norm_text(F.col("name")).alias("norm_name"), normalize.norm_text(F.col("address")).alias("norm_addr"))
+
+
+def truth(spark, sf_dir) -> DataFrame:
+    """(s1_id, ids) of every source-1 record."""
+    n = written(_norms(spark, sf_dir), "norms")
+    ids = truth_edges(n).groupBy("s1_id").agg(F.array_sort(F.collect_set("cand_id")).alias("ids"))
+    return files.every_record(n.where(F.startswith("entity_id", F.lit("S1-"))), ids)
+
+
+def triples(spark, sf_dir) -> DataFrame:
+    """(s1_id, cand_id, score): orders against parts, for assignment at size."""
+    li = views.table(spark, sf_dir, "lineitem")
+    score = F.round(F.col("l_quantity") / 50.0 - F.col("l_discount") + F.col("l_linenumber") / 1000.0, 6)
+    rows = li.select(F.concat(F.lit("S1-"), F.col("l_orderkey")).alias("s1_id"), F.concat(F.when(F.col("l_partkey") % 2 == 0, "S2-").otherwise("S3-"), F.col("l_partkey")).alias("cand_id"), score.alias("score"))
+    return rows.groupBy("s1_id", "cand_id").agg(F.max("score").alias("score"))
+
+
+_TRIPLES = """t AS (SELECT s1_id, cand_id, max(score) AS score, substr(cand_id, 1, 2) AS src FROM (SELECT 'S1-' || l_orderkey AS s1_id,
+  CASE WHEN l_partkey % 2 = 0 THEN 'S2-' ELSE 'S3-' END || l_partkey AS cand_id, round(l_quantity / 50.0 - l_discount + l_linenumber / 1000.0, 6) AS score FROM lineitem) GROUP BY s1_id, cand_id)"""
+
+
+# --- sources and sinks ----------------------------------------------------------------------------------
+
+
+def _tsv(rows: DataFrame) -> str:
+    path = fresh_path(rows.sparkSession, "tsv")
+    rows.write.csv(path, sep="\t", header=True, quote='"', escape='"', emptyValue="", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+    return path
+
+
+@query("src_read_records", "SELECT 'S' || (doc_id % 3 + 1) || '-' || doc_id AS entity_id, md5(split_part(text, '.', 1)) AS name_md5, lang AS country FROM documents WHERE text IS NOT NULL AND lang IN ('en', 'fr')")
+def _(spark, sf_dir):
+    got = files.read_records(spark, _tsv(views.records(spark, sf_dir).drop("address").withColumn("address", F.lit("-")).select(*files.RECORD)), ["en", "fr"])
+    return got.select("entity_id", F.md5(F.encode("name", "UTF-8")).alias("name_md5"), "country")
+
+
+@query("src_ground_truth", sql("SELECT id AS s1_id, coalesce(string_agg(cand_id, ' ' ORDER BY cand_id), '') AS ids FROM recs LEFT JOIN edges ON s1_id = id WHERE id LIKE 'S1-%' GROUP BY id", "edges"))
+def _(spark, sf_dir):
+    lists = truth(spark, sf_dir)
+    path = _tsv(lists.select("s1_id", F.array_join("ids", ",").alias("ids")))
+    return files.read_ground_truth(spark, path).select("s1_id", _join("ids").alias("ids"))
+
+
+@query("src_last_wins", "SELECT s1_id, arg_max(v, p) AS ids FROM (SELECT 'S1-' || (doc_id % 50) AS s1_id, doc_id AS p, 'S2-' || doc_id AS v FROM documents) GROUP BY s1_id")
+def _(spark, sf_dir):
+    d = views.table(spark, sf_dir, "documents")
+    rows = d.select(F.concat(F.lit("S1-"), F.col("doc_id") % 50).alias("s1_id"), F.concat(F.lit("S2-"), "doc_id").alias("ids"), "doc_id")
+    return files.last_wins(rows, "s1_id", "doc_id").select("s1_id", "ids")
+
+
+@query("src_countries", sql("SELECT DISTINCT country FROM recs"))
+def _(spark, sf_dir):
+    return files.list_countries(views.records(spark, sf_dir))
+
+
+@query("snk_id_lists", "SELECT 'S1-' || o_custkey AS source1_entity_id, string_agg(DISTINCT 'S2-' || (o_orderkey % 7), ',' ORDER BY 'S2-' || (o_orderkey % 7)) AS matched_entity_ids FROM orders GROUP BY o_custkey")
+def _(spark, sf_dir):
+    o = views.table(spark, sf_dir, "orders")
+    lists = o.groupBy(F.concat(F.lit("S1-"), "o_custkey").alias("id")).agg(F.array_sort(F.collect_list(F.concat(F.lit("S2-"), F.col("o_orderkey") % 7))).alias("ids"))
+    path = fresh_path(spark, "lists")
+    files.write_id_lists(lists, path, ("source1_entity_id", "matched_entity_ids"))
+    return spark.read.csv(path, sep="\t", header=True, quote="")
+
+
+@query("snk_candidate_lists", sql("SELECT id AS s1_id, coalesce(string_agg(cand_id, ' ' ORDER BY rank), '') AS ids FROM prep LEFT JOIN cand ON s1_id = id WHERE id LIKE 'S1-%' GROUP BY id", "cand"))
+def _(spark, sf_dir):
+    cands, s1, *_ = found(spark, sf_dir)
+    lists = cands.groupBy("s1_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("rank", "cand_id"))), lambda x: x["cand_id"]).alias("ids"))
+    return files.every_record(s1, lists).select("s1_id", _join("ids").alias("ids"))
+
+
+# --- strings --------------------------------------------------------------------------------------------
+
+
+@query("str_norm_text", sql("SELECT id AS entity_id, nn AS norm_name, md5(na) AS norm_addr_md5 FROM norms", "norms"))
+def _(spark, sf_dir):
+    return _norms(spark, sf_dir).select("entity_id", "norm_name", F.md5(F.encode("norm_addr", "UTF-8")).alias("norm_addr_md5"))
+
+
+@query("str_tokenize", sql(f"SELECT country, token, count(*)::BIGINT AS n FROM (SELECT country, unnest({views.toks('nn')} || {views.toks('na')}) AS token FROM norms) GROUP BY country, token", "norms"))
+def _(spark, sf_dir):
+    n = _norms(spark, sf_dir).select("country", F.explode(F.concat(normalize.tokenize(F.col("norm_name")), normalize.tokenize(F.col("norm_addr")))).alias("token"))
+    return n.groupBy("country", "token").agg(F.count("*").alias("n"))
+
+
+_TOKENS = f"(SELECT DISTINCT unnest({views.toks('nn')} || {views.toks('na')}) AS token FROM norms)"
+
+
+def _distinct_tokens(spark, sf_dir):
+    n = _norms(spark, sf_dir)
+    return n.select(F.explode(F.concat(normalize.tokenize(F.col("norm_name")), normalize.tokenize(F.col("norm_addr")))).alias("token")).distinct()
+
+
+@query("str_skeleton", sql(rf"SELECT token, {views.skeleton('token')} AS skeleton, round(length(regexp_replace(token, '[^\p{{L}}]', '', 'g'))::DOUBLE / length(token), 6) AS letters, regexp_full_match(token, '\d+') AS number FROM {_TOKENS}", "norms"))
+def _(spark, sf_dir):
+    t = F.col("token")
+    return _distinct_tokens(spark, sf_dir).select("token", normalize.skeletonize_token(t).alias("skeleton"), F.round(normalize.alpha_ratio(t), 6).alias("letters"), normalize.is_number(t).alias("number"))
+
+
+@query("str_split_numeric", sql(rf"SELECT id AS entity_id, len(list_filter(t, lambda x: NOT regexp_full_match(x, '\d+')))::BIGINT AS n_words, array_to_string(list_filter(t, lambda x: regexp_full_match(x, '\d+')), ' ') AS nums FROM (SELECT id, {views.toks('na')} AS t FROM norms)", "norms"))
+def _(spark, sf_dir):
+    t = normalize.tokenize(F.col("norm_addr"))
+    return _norms(spark, sf_dir).select("entity_id", F.size(normalize.words_of(t)).cast("long").alias("n_words"), _join(normalize.numbers_of(t)).alias("nums"))
+
+
+@query("str_non_latin", "SELECT lang, count(*)::BIGINT AS n, 0::BIGINT AS non_latin FROM documents WHERE text IS NOT NULL GROUP BY lang")
+def _(spark, sf_dir):
+    d = views.table(spark, sf_dir, "documents").where("text is not null")
+    return d.groupBy("lang").agg(F.count("*").alias("n"), F.count_if(normalize.is_non_latin(F.col("text"))).alias("non_latin"))
+
+
+@query("rule_strip_droppable", sql(f"SELECT id AS entity_id, array_to_string(CASE WHEN len(k) > 0 THEN k ELSE t END, ' ') AS kept FROM (SELECT id, t, list_filter(t, lambda x: NOT list_contains({sorted(RULES.droppable)}, x)) AS k FROM (SELECT id, {views.toks('nn')} AS t FROM norms))", "norms"))
+def _(spark, sf_dir):
+    return _norms(spark, sf_dir).select("entity_id", _join(tokens.strip_droppable(normalize.tokenize(F.col("norm_name")), RULES.droppable)).alias("kept"))
+
+
+@query("rule_expand", sql(f"SELECT token, coalesce(token || ' ' || string_agg(alt, ' ' ORDER BY nth), token) AS alternates FROM {_TOKENS} LEFT JOIN alts USING (token) GROUP BY token", "norms", "alts"))
+def _(spark, sf_dir):
+    return _distinct_tokens(spark, sf_dir).select("token", _join(tokens.expand(F.col("token"), RULES.expansions)).alias("alternates"))
+
+
+@query("rule_phrases", sql(f"SELECT id AS entity_id, md5(array_to_string({views._phrased(views.toks('na'))}, ' ')) AS phrased_md5 FROM norms", "norms"))
+def _(spark, sf_dir):
+    return _norms(spark, sf_dir).select("entity_id", F.md5(F.encode(_join(tokens.apply_phrases(normalize.tokenize(F.col("norm_addr")), RULES.phrases)), "UTF-8")).alias("phrased_md5"))
+
+
+@query("str_prepare", sql("SELECT id AS entity_id, country, array_to_string(names, ' ') AS names, md5(array_to_string(words, ' ')) AS words_md5, array_to_string(nums, ' ') AS nums, CASE WHEN len(names) > 0 THEN array_to_string(list_sort(names), ' ') END AS name_key FROM prep", "prep"))
+def _(spark, sf_dir):
+    p = blocking.prepare(views.records(spark, sf_dir), RULES)
+    return p.select("entity_id", "country", _join("name_toks").alias("names"), F.md5(F.encode(_join("word_toks"), "UTF-8")).alias("words_md5"), _join("num_toks").alias("nums"), "name_key")
+
+
+@query("str_lsh_bands", sql("SELECT id AS entity_id, array_to_string(bands, ' ') AS bands FROM bands", "bands"))
+def _(spark, sf_dir):
+    p = blocking.prepare(views.records(spark, sf_dir), RULES).where(F.size("name_toks") > 0)
+    return p.select("entity_id", _join(minhash.md5_bands(F.col("name_toks"))).alias("bands"))
+
+
+@query("str_lsh_crc32")
+def _(spark, sf_dir):
+    p = blocking.prepare(views.records(spark, sf_dir), RULES)
+    return p.select("entity_id", F.explode(minhash.crc32_bands(F.col("name_toks"))).alias("b")).select("entity_id", "b.*")
+
+
+_NEIGHBOURS = """(SELECT DISTINCT a.token AS a, b.token AS b FROM (SELECT country, token FROM df WHERE length(token) BETWEEN 1 AND 9 AND regexp_full_match(token, '[ -~]+')) a JOIN (SELECT country, token FROM df WHERE length(token) BETWEEN 1 AND 9 AND regexp_full_match(token, '[ -~]+')) b
+  ON a.country = b.country AND substr(a.token, 1, 5) = substr(b.token, 1, 5) AND a.token < b.token)"""
+
+
+@query("mine_related", sql(r"""SELECT a, b, (length(a) <= length(b) AND regexp_full_match(b, '.*' || array_to_string(string_split(a, ''), '.*') || '.*')) OR (length(b) < length(a) AND regexp_full_match(a, '.*' || array_to_string(string_split(b, ''), '.*') || '.*'))
+  OR (abs(length(a) - length(b)) <= 2 AND least(length(a), length(b)) >= 4 AND levenshtein(a, b) <= 2) AS related FROM """ + _NEIGHBOURS, "df"))
+def _(spark, sf_dir):
+    p = prepared(spark, sf_dir)
+    t = p.select("country", F.explode(F.array_distinct(F.concat("name_toks", "word_toks", "num_toks"))).alias("token")).distinct().where(F.length("token").between(1, 9) & F.col("token").rlike("^[ -~]+$")).withColumn("h", F.substring("token", 1, 5))
+    rows = t.withColumnRenamed("token", "a").join(t.withColumnRenamed("token", "b"), ["country", "h"]).where("a < b").select("a", "b").distinct()
+    return rows.select("a", "b", tokens.related(F.col("a"), F.col("b")).alias("related"))
+
+
+@query("mine_acronyms", "SELECT p_partkey, p_name, len(w) = 2 AND starts_with(w[1], 'b') AND starts_with(w[2], 's') AS bs FROM (SELECT p_partkey, p_name, string_split(lower(p_name), ' ') AS w FROM part)")
+def _(spark, sf_dir):
+    w = F.split(F.lower("p_name"), " ")
+    return views.table(spark, sf_dir, "part").select("p_partkey", "p_name", tokens.is_acronym(F.lit("bs"), w).alias("bs"))
+
+
+# --- similarities ---------------------------------------------------------------------------------------
+
+
+@query("sim_strings")
+def _(spark, sf_dir):
+    cands, s1, pool, _ = found(spark, sf_dir)
+    rows = cands.join(s1.select(F.col("entity_id").alias("s1_id"), F.col("norm_name").alias("a")), "s1_id").join(pool.select(F.col("entity_id").alias("cand_id"), F.col("norm_name").alias("b")), "cand_id")
+    return rows.select("s1_id", "cand_id", similarity.string_similarities("a", "b").alias("s")).select("s1_id", "cand_id", *[F.round(f"s.{c}", 6).alias(c) for c in ("ratio", "token_sort", "token_set", "partial", "jw", "osa")])
+
+
+@query("sim_jaro_winkler", "SELECT p_partkey, round(jaro_winkler_similarity(lower(p_name), lower(p_type)), 6) AS jw FROM part")
+def _(spark, sf_dir):
+    return views.table(spark, sf_dir, "part").select("p_partkey", F.round(similarity.string_similarities(F.lower("p_name"), F.lower("p_type"))["jw"], 6).alias("jw"))
+
+
+@query("set_jaccard", sql("SELECT c.s1_id, c.cand_id, round(CASE WHEN u = 0 THEN 0.0 ELSE i::DOUBLE / u END, 6) AS name_jaccard FROM (SELECT s1_id, cand_id, len(list_intersect(a.names, b.names)) AS i, len(list_distinct(a.names || b.names)) AS u FROM cand JOIN prep a ON a.id = s1_id JOIN prep b ON b.id = cand_id) c", "cand", "prep"))
+def _(spark, sf_dir):
+    cands, s1, pool, _ = found(spark, sf_dir)
+    rows = cands.join(s1.select(F.col("entity_id").alias("s1_id"), F.col("name_toks").alias("a")), "s1_id").join(pool.select(F.col("entity_id").alias("cand_id"), F.col("name_toks").alias("b")), "cand_id")
+    return rows.select("s1_id", "cand_id", F.round(tokens.jaccard(F.col("a"), F.col("b")), 6).alias("name_jaccard"))
+
+
+# --- blocking -------------------------------------------------------------------------------------------
+
+
+@query("agg_document_frequency", sql("SELECT country, token, df::BIGINT AS df FROM df WHERE df > 0", "df"))
+def _(spark, sf_dir):
+    return blocking.document_frequency(views.sides(prepared(spark, sf_dir))[1])
+
+
+@query("mth_idf", sql("SELECT country, token, df::BIGINT AS df, round(idf, 6) AS idf FROM w", "w"))
+def _(spark, sf_dir):
+    s1, pool = views.sides(prepared(spark, sf_dir))
+    return blocking.idf(pool, s1).select("country", "token", "df", F.round("idf", 6).alias("idf"))
+
+
+@query("win_rarest_tokens", sql("SELECT id AS entity_id, coalesce(string_agg(token, ' ' ORDER BY r) FILTER (f = 'n'), '') AS names, coalesce(string_agg(token, ' ' ORDER BY r) FILTER (f = 'w'), '') AS words, coalesce(string_agg(token, ' ' ORDER BY r) FILTER (f = 'd'), '') AS nums FROM prep LEFT JOIN rare USING (country, id) GROUP BY id", "rare", "prep"))
+def _(spark, sf_dir):
+    p = prepared(spark, sf_dir)
+    s1, pool = views.sides(p)
+    names = lambda c: F.coalesce(_join(F.transform(c, lambda x: x["token"])), F.lit("")).alias(c)
+    return blocking.rarest(p, blocking.idf(pool, s1)).select("entity_id", names("names"), names("words"), names("nums"))
+
+
+@query("rule_expand_probe", sql("SELECT id AS entity_id, string_agg(token, ' ' ORDER BY token) AS words FROM probe_words GROUP BY id", "probe_words"))
+def _(spark, sf_dir):
+    s1, pool = views.sides(prepared(spark, sf_dir))
+    w = blocking.idf(pool, s1)
+    got = blocking.expand_words(blocking.rarest(s1, w), w, RULES).where(F.size("words") > 0)
+    return got.select("entity_id", _join(F.array_sort(F.transform("words", lambda x: x["token"]))).alias("words"))
+
+
+def _keys(spark, sf_dir, source=views.records):
+    s1, pool = views.sides(prepared(spark, sf_dir, source))
+    w = blocking.idf(pool, s1)
+    top = w.groupBy("country").agg(F.max("idf").alias("max_idf"))
+    return blocking.keys(blocking.expand_words(blocking.rarest(s1, w), w, RULES), top, CONFIG), blocking.keys(blocking.rarest(pool, w), None, CONFIG)
+
+
+for _fam, _name in enumerate(("name_addr", "num_addr", "name_num", "name_pair", "exact_name", "name_lsh"), 1):
+
+    def _f(spark, sf_dir, fam=_fam):
+        return _keys(spark, sf_dir)[0].where(F.col("fam") == fam).select("entity_id", "a", "b", F.round("w", 6).alias("w"))
+
+    query(f"blk_keys_{_name}", sql(f"SELECT id AS entity_id, a, b, round(wt, 6) AS w FROM keys WHERE fam = {_fam} AND id LIKE 'S1-%'", "keys"))(_f)
+
+
+@query("blk_posting_cap", sql("SELECT country, fam, a, b, count(*)::BIGINT AS n FROM posts GROUP BY country, fam, a, b", "posts", source="goods"))
+def _(spark, sf_dir):
+    return blocking.postings(_keys(spark, sf_dir, views.goods)[1]).groupBy("country", "fam", "a", "b").agg(F.count("*").alias("n"))
+
+
+@query("blk_scores", sql("SELECT s1_id, cand_id, round(block_score, 6) AS block_score FROM met", "met", source="goods"))
+def _(spark, sf_dir):
+    return found(spark, sf_dir, views.goods, False)[0].select("s1_id", "cand_id", F.round("block_score", 6).alias("block_score"))
+
+
+_TOPK = "SELECT country, s1_id, cand_id, round(block_score, 6) AS block_score, rank::INTEGER AS rank FROM cand"
+
+
+@query("blk_topk", sql(_TOPK, "cand"))
+def _(spark, sf_dir):
+    return found(spark, sf_dir)[0].select("country", "s1_id", "cand_id", F.round("block_score", 6).alias("block_score"), "rank")
+
+
+@query("blk_topk_parts", sql(_TOPK, "cand", source="goods"))
+def _(spark, sf_dir):
+    return found(spark, sf_dir, views.goods)[0].select("country", "s1_id", "cand_id", F.round("block_score", 6).alias("block_score"), "rank")
+
+
+_KS = (5, 10, 15, 20, 25, 30, 50)
+
+
+@query("win_recall_curve", sql(" UNION ALL ".join(f"SELECT {k} AS k, count(*) FILTER (rank < {k})::BIGINT AS found, count(*)::BIGINT AS pairs, CASE WHEN count(*) = 0 THEN 1.0 ELSE round(count(*) FILTER (rank < {k})::DOUBLE / count(*), 6) END AS recall FROM edges LEFT JOIN ranked USING (s1_id, cand_id)" for k in _KS), "edges", "ranked"))
+def _(spark, sf_dir):
+    raw, s1, pool, _ = found(spark, sf_dir, capped=False)
+    got = metrics.recall_curve(blocking.top_k(raw, max(_KS)), truth_edges(s1.unionByName(pool)), _KS)
+    return got.select("k", "found", "pairs", F.round("recall", 6).alias("recall"))
+
+
+@query("agg_candidate_counts", sql("SELECT round(avg(n), 6) AS mean, median(n)::DOUBLE AS median, max(n)::BIGINT AS most FROM (SELECT id, count(cand_id) AS n FROM prep LEFT JOIN met ON s1_id = id WHERE id LIKE 'S1-%' GROUP BY id)", "met"))
+def _(spark, sf_dir):
+    raw, s1, *_ = found(spark, sf_dir, capped=False)
+    return metrics.candidate_counts(raw, s1).select(F.round("mean", 6).alias("mean"), "median", "most")
+
+
+@query("join_no_candidates", sql("SELECT id AS s1_id FROM prep WHERE id LIKE 'S1-%' AND id NOT IN (SELECT s1_id FROM cand)", "cand"))
+def _(spark, sf_dir):
+    cands, s1, *_ = found(spark, sf_dir)
+    return s1.select(F.col("entity_id").alias("s1_id")).join(cands, "s1_id", "left_anti")
+
+
+# --- features and model ---------------------------------------------------------------------------------
+
+
+@query("feat_listwise", sql("SELECT s1_id, cand_id, rank::DOUBLE AS rank, round(block_score / t, 6) AS score_ratio_to_top, round(t - block_score, 6) AS score_gap_to_top, round((block_score - m) / s, 6) + 0.0 AS score_z, g::DOUBLE AS group_size FROM cand JOIN stats USING (s1_id)", "cand", "stats"))
+def _(spark, sf_dir):
+    got = features.listwise(found(spark, sf_dir)[0])
+    return got.select("s1_id", "cand_id", "rank", *[(F.round(c, 6) + 0.0).alias(c) for c in ("score_ratio_to_top", "score_gap_to_top", "score_z")], "group_size")
+
+
+_PAIR = """SELECT c.s1_id, c.cand_id, round(coalesce(n.mass, 0), 6) AS name_idf_overlap, round(coalesce(n.mass / an.mass, 0), 6) AS name_cover_s1, round(coalesce(n.mass / bn.mass, 0), 6) AS name_cover_cand,
+  round(coalesce(x.mass, 0), 6) AS addr_idf_overlap, round(coalesce(x.mass / aw.mass, 0), 6) AS addr_cover_s1, round(coalesce(x.mass / bw.mass, 0), 6) AS addr_cover_cand,
+  round(coalesce(x.n::DOUBLE / (aw.n + bw.n - x.n), 0), 6) AS addr_jaccard, coalesce(d.n, 0)::DOUBLE AS num_shared, CASE WHEN coalesce(d.n, 0) > 0 THEN 1.0 ELSE 0.0 END::DOUBLE AS num_any,
+  CASE WHEN b.na = '' THEN 1.0 ELSE 0.0 END::DOUBLE AS cand_addr_empty, length(a.nn)::DOUBLE AS s1_name_len, length(b.nn)::DOUBLE AS cand_name_len, abs(length(a.nn) - length(b.nn))::DOUBLE AS name_len_diff,
+  coalesce(an.n, 0)::DOUBLE AS s1_ntok, coalesce(bn.n, 0)::DOUBLE AS cand_ntok, CASE WHEN c.cand_id LIKE 'S2-%' THEN 1.0 ELSE 0.0 END::DOUBLE AS is_s2
+FROM cand c JOIN prep a ON a.id = c.s1_id JOIN prep b ON b.id = c.cand_id
+  LEFT JOIN shared n ON n.s1_id = c.s1_id AND n.cand_id = c.cand_id AND n.f = 'n' LEFT JOIN shared x ON x.s1_id = c.s1_id AND x.cand_id = c.cand_id AND x.f = 'w' LEFT JOIN shared d ON d.s1_id = c.s1_id AND d.cand_id = c.cand_id AND d.f = 'd'
+  LEFT JOIN sums an ON an.id = c.s1_id AND an.f = 'n' LEFT JOIN sums bn ON bn.id = c.cand_id AND bn.f = 'n' LEFT JOIN sums aw ON aw.id = c.s1_id AND aw.f = 'w' LEFT JOIN sums bw ON bw.id = c.cand_id AND bw.f = 'w'"""
+_PAIR_COLUMNS = "name_idf_overlap name_cover_s1 name_cover_cand addr_idf_overlap addr_cover_s1 addr_cover_cand addr_jaccard num_shared num_any cand_addr_empty s1_name_len cand_name_len name_len_diff s1_ntok cand_ntok is_s2".split()
+
+
+@query("feat_pairs", sql(_PAIR, "cand", "prep", "shared", "sums"))
+def _(spark, sf_dir):
+    got = features.pair_features(*found(spark, sf_dir), strings=False)
+    return got.select("s1_id", "cand_id", *[F.round(c, 6).alias(c) for c in _PAIR_COLUMNS])
+
+
+@query("feat_matrix")
+def _(spark, sf_dir):
+    """All 36 features and the label, of the parts' short records."""
+    cands, s1, pool, w = found(spark, sf_dir, views.goods)
+    return model.labelled(features.pair_features(cands, s1, pool, w), truth_edges(s1.unionByName(pool)))
+
+
+@query("ml_labels", sql("SELECT count(*)::BIGINT AS pairs, count(e.s1_id)::BIGINT AS positives, round(count(e.s1_id)::DOUBLE / count(*), 6) AS rate FROM cand LEFT JOIN edges e USING (s1_id, cand_id)", "cand", "edges"))
+def _(spark, sf_dir):
+    cands, s1, pool, _ = found(spark, sf_dir)
+    got = model.labelled(cands, truth_edges(s1.unionByName(pool)))
+    return got.agg(F.count("*").alias("pairs"), F.sum("label").alias("positives"), F.round(F.avg("label"), 6).alias("rate"))
+
+
+@query("ml_hash_split", "SELECT doc_id, ('0x' || substr(md5(doc_id::VARCHAR), 1, 15))::BIGINT % 100 < 25 AS held_out FROM documents")
+def _(spark, sf_dir):
+    return views.table(spark, sf_dir, "documents").select("doc_id", model.held_out(F.col("doc_id").cast("string")).alias("held_out"))
+
+
+_LINEAR = f"""SELECT s1_id, cand_id, round(1 / (1 + exp(-({model.BIAS} + 2.5 * name_cover_s1 + 2.5 * addr_cover_s1 + 1.5 * addr_jaccard + 1.0 * score_ratio_to_top + 0.3 * score_z))), 6) AS score FROM (
+  SELECT c.s1_id, c.cand_id, coalesce(n.mass / an.mass, 0) AS name_cover_s1, coalesce(x.mass / aw.mass, 0) AS addr_cover_s1, coalesce(x.n::DOUBLE / (aw.n + bw.n - x.n), 0) AS addr_jaccard, c.block_score / t AS score_ratio_to_top, (c.block_score - m) / s AS score_z
+  FROM cand c JOIN stats USING (s1_id) LEFT JOIN shared n ON n.s1_id = c.s1_id AND n.cand_id = c.cand_id AND n.f = 'n' LEFT JOIN shared x ON x.s1_id = c.s1_id AND x.cand_id = c.cand_id AND x.f = 'w'
+    LEFT JOIN sums an ON an.id = c.s1_id AND an.f = 'n' LEFT JOIN sums aw ON aw.id = c.s1_id AND aw.f = 'w' LEFT JOIN sums bw ON bw.id = c.cand_id AND bw.f = 'w')"""
+_SHORT = {k: model.LINEAR[k] for k in ("name_cover_s1", "addr_cover_s1", "addr_jaccard", "score_ratio_to_top", "score_z")}
+
+
+def scored(spark, sf_dir):
+    """(s1_id, cand_id, score) by the fixed linear scorer, and source 1."""
+    cands, s1, pool, w = found(spark, sf_dir)
+    feats = features.pair_features(cands, s1, pool, w, strings=False)
+    return written(feats.select("s1_id", "cand_id", F.round(model.linear_score(_SHORT), 6).alias("score")), "scored"), s1, pool
+
+
+@query("ml_linear_score", sql(_LINEAR, "cand", "stats", "shared", "sums"))
+def _(spark, sf_dir):
+    return scored(spark, sf_dir)[0]
+
+
+@query("ml_gbt_predict")
+def _(spark, sf_dir):
+    """Boosted trees fitted on three quarters of the records, early-stopped and scored on the rest."""
+    cands, s1, pool, w = found(spark, sf_dir)
+    rows = written(model.labelled(features.pair_features(cands, s1, pool, w, strings=False), truth_edges(s1.unionByName(pool))).withColumn("val", model.held_out(F.col("s1_id"))), "matrix")
+    if rows.where("not val").select("label").distinct().count() < 2:
+        return rows.where("val").select("s1_id", "cand_id", "label", F.lit(0.0).alias("score"))
+    return model.predict(model.train(rows, rounds=10, validation="val"), rows.where("val")).select("s1_id", "cand_id", "label", F.round("score", 6).alias("score"))
+
+
+# --- assignment and metrics -----------------------------------------------------------------------------
+
+
+@query("asg_independent", f"WITH {_TRIPLES} SELECT s1_id, cand_id, score FROM (SELECT *, row_number() OVER (PARTITION BY s1_id, src ORDER BY score DESC, s1_id, cand_id) AS k FROM t WHERE score >= 0.3) WHERE k <= CASE src WHEN 'S2' THEN 2 ELSE 1 END")
+def _(spark, sf_dir):
+    return assign.independent(triples(spark, sf_dir), 0.3, None, {"S2": 2, "S3": 1}).select("s1_id", "cand_id", "score")
+
+
+@query("asg_one_to_one", f"WITH {_TRIPLES} SELECT s1_id, cand_id, score FROM (SELECT *, row_number() OVER (PARTITION BY cand_id ORDER BY score DESC, s1_id, cand_id) AS k FROM t WHERE score >= 0.3) WHERE k = 1")
+def _(spark, sf_dir):
+    """Caps that never bind, so the best claim on each candidate stands; tests hold binding caps against plain greed."""
+    return assign.one_to_one(triples(spark, sf_dir), 0.3, None, {"S2": 50, "S3": 50}).select("s1_id", "cand_id", "score")
+
+
+@query("asg_capped")
+def _(spark, sf_dir):
+    """Binding caps, and rescue of records left without a match."""
+    t = written(triples(spark, sf_dir), "triples")
+    return assign.assign(t, 0.6, t.select("s1_id").distinct(), {"S2": 1, "S3": 1}, True, 0.3).select("s1_id", _join("ids").alias("ids"))
+
+
+_SWEEP = f"""WITH {_TRIPLES}, truth AS (SELECT DISTINCT s1_id, cand_id FROM t WHERE score >= 0.7), ent AS (SELECT DISTINCT s1_id FROM t), g AS (SELECT unnest([{", ".join(map(str, tuning.GRID))}]) AS th),
+top AS (SELECT * FROM (SELECT t.*, row_number() OVER (PARTITION BY s1_id, src ORDER BY score DESC, s1_id, cand_id) AS k FROM t WHERE score >= 0.05) WHERE k <= CASE src WHEN 'S2' THEN 6 ELSE 7 END),
+p AS (SELECT th, s1_id, count(*) AS p, count(u.cand_id) AS tp FROM g JOIN top ON score >= th LEFT JOIN truth u USING (s1_id, cand_id) GROUP BY th, s1_id),
+n AS (SELECT s1_id, count(*) AS n FROM truth GROUP BY s1_id),
+m AS (SELECT th, coalesce(p, 0) AS p, coalesce(tp, 0) AS tp, coalesce(n, 0) AS n FROM g CROSS JOIN ent LEFT JOIN p USING (th, s1_id) LEFT JOIN n USING (s1_id))
+SELECT th::DOUBLE AS threshold, round(avg(CASE WHEN p = 0 AND n = 0 THEN 1.0 WHEN p = 0 OR n = 0 OR tp = 0 THEN 0.0 ELSE 1.25 * (tp / p) * (tp / n) / (0.25 * tp / p + tp / n) END), 6) AS macro_f05,
+  round(avg(CASE WHEN p > 0 THEN tp / p WHEN n = 0 THEN 1.0 ELSE 0.0 END), 6) AS mean_precision, round(avg(CASE WHEN n > 0 THEN tp / n ELSE 1.0 END), 6) AS mean_recall FROM m GROUP BY th"""
+
+
+@query("asg_threshold_sweep", _SWEEP)
+def _(spark, sf_dir):
+    t = triples(spark, sf_dir)
+    true = t.groupBy("s1_id").agg(F.collect_set(F.when(F.col("score") >= 0.7, F.col("cand_id"))).alias("ids"))
+    return tuning.sweep_independent(t, true).select("threshold", *[F.round(c, 6).alias(c) for c in ("macro_f05", "mean_precision", "mean_recall")])
+
+
+_SETS = f"""{_TRIPLES}, truth AS (SELECT s1_id, cand_id FROM t WHERE score >= 0.7), pred AS (SELECT s1_id, cand_id FROM t WHERE score * 7 % 1 >= 0.5), ent AS (SELECT DISTINCT s1_id FROM t),
+c AS (SELECT s1_id, count(u.s1_id) AS n, count(q.s1_id) AS p, count(CASE WHEN u.s1_id IS NOT NULL AND q.s1_id IS NOT NULL THEN 1 END) AS tp FROM t LEFT JOIN truth u USING (s1_id, cand_id) LEFT JOIN pred q USING (s1_id, cand_id) GROUP BY s1_id),
+f AS (SELECT *, CASE WHEN p = 0 AND n = 0 THEN 1.0 WHEN p = 0 OR n = 0 OR tp = 0 THEN 0.0 ELSE 1.25 * (tp / p) * (tp / n) / (0.25 * tp / p + tp / n) END AS f05 FROM c)"""
+
+
+def _sets(spark, sf_dir):
+    t = triples(spark, sf_dir)
+    lists = t.groupBy("s1_id").agg(F.collect_set(F.when(F.col("score") >= 0.7, F.col("cand_id"))).alias("t"), F.collect_set(F.when(F.pmod(F.col("score") * 7, F.lit(1.0)) >= 0.5, F.col("cand_id"))).alias("p"))
+    return lists.where(F.size("p") > 0).select("s1_id", F.col("p").alias("ids")), lists.select("s1_id", F.col("t").alias("ids"))
+
+
+_SETS = _SETS.replace("score * 7 % 1 >= 0.5", "score * 7 - floor(score * 7) >= 0.5")
+
+
+@query("met_fbeta", f"WITH {_SETS} SELECT s1_id, round(f05, 6) AS f05 FROM f")
+def _(spark, sf_dir):
+    got = metrics.compared(*_sets(spark, sf_dir))
+    return got.select("s1_id", F.round(metrics.fbeta_half(F.col("tp"), F.col("n_pred"), F.col("n_true")), 6).alias("f05"))
+
+
+@query("met_matching", f"""WITH {_SETS} SELECT round(avg(f05), 6) AS macro_f05, count(*)::BIGINT AS n_entities, round(avg(CASE WHEN p > 0 THEN tp / p WHEN n = 0 THEN 1.0 ELSE 0.0 END), 6) AS mean_precision, round(avg(CASE WHEN n > 0 THEN tp / n ELSE 1.0 END), 6) AS mean_recall,
+  count(*) FILTER (tp = p AND tp = n)::BIGINT AS exact_sets, count(*) FILTER (n = 0)::BIGINT AS singleton_total, count(*) FILTER (n = 0 AND p = 0)::BIGINT AS singleton_correct, sum(p)::BIGINT AS predicted_ids, sum(n)::BIGINT AS true_ids FROM f""")
+def _(spark, sf_dir):
+    got = metrics.score_matching(*_sets(spark, sf_dir))
+    return got.withColumns({c: F.round(c, 6) for c in ("macro_f05", "mean_precision", "mean_recall")})
+
+
+@query("met_blocking", sql("""SELECT round(CASE WHEN sum(n) = 0 THEN 1.0 ELSE sum(tp) / sum(n) END, 6) AS pair_completeness, round(avg((tp = n)::INT), 6) AS entities_full_recall, round(avg(p), 6) AS avg_candidates, max(p)::BIGINT AS max_candidates, sum(p)::BIGINT AS total_candidates,
+  (count(*) * (SELECT sum(n) FROM size))::BIGINT AS search_space, round(sum(p) / (count(*) * (SELECT sum(n) FROM size)), 6) AS reduction_ratio, round(avg(CASE WHEN n = 0 THEN 1.0 WHEN tp = 0 THEN 0.0 ELSE 1.25 * (tp / n) / (0.25 + tp / n) END), 6) AS ceiling_f05
+FROM (SELECT id, count(DISTINCT e.cand_id) AS n, count(DISTINCT c.cand_id) AS p, count(DISTINCT CASE WHEN e.cand_id = c.cand_id THEN e.cand_id END) AS tp FROM prep LEFT JOIN edges e ON e.s1_id = id LEFT JOIN cand c ON c.s1_id = id WHERE id LIKE 'S1-%' GROUP BY id)""", "cand", "edges", "size"))
+def _(spark, sf_dir):
+    cands, s1, pool, _ = found(spark, sf_dir)
+    lists = cands.groupBy("s1_id").agg(F.collect_list("cand_id").alias("ids"))
+    ids = truth_edges(s1.unionByName(pool)).groupBy("s1_id").agg(F.collect_list("cand_id").alias("ids"))
+    got = metrics.score_blocking(lists, files.every_record(s1, ids), pool.count())
+    return got.withColumns({c: F.round(c, 6) for c in ("pair_completeness", "entities_full_recall", "avg_candidates", "reduction_ratio", "ceiling_f05")})
+
+
+@query("val_rules", "SELECT * FROM (VALUES ('a row for each record', 0::BIGINT), ('no other rows', 0), ('no repeats in a list', 0), ('matches are candidates', 0), ('a candidate matches once', 0)) AS v(rule, violations)")
+def _(spark, sf_dir):
+    """A whole run of the scorer and assignment, held against the invariants."""
+    t, s1, _ = scored(spark, sf_dir)
+    ids = s1.select(F.col("entity_id").alias("s1_id"))
+    lists = t.groupBy("s1_id").agg(F.collect_list("cand_id").alias("ids"))
+    return files.validate(written(assign.assign(t, 0.5, ids), "matches"), lists, s1)
+
+
+@query("agg_run_totals", sql("SELECT count(DISTINCT s1_id)::BIGINT AS records, count(*)::BIGINT AS candidates, round(count(*) / (SELECT count(*) FROM prep WHERE id LIKE 'S1-%'), 6) AS per_record FROM cand", "cand"))
+def _(spark, sf_dir):
+    cands, s1, *_ = found(spark, sf_dir)
+    return cands.agg(F.count_distinct("s1_id").alias("records"), F.count("*").alias("candidates")).withColumn("per_record", F.round(F.col("candidates") / F.lit(s1.count()), 6))
+
+
+# --- mining and tuning ----------------------------------------------------------------------------------
+
+
+def _found_pairs(spark, sf_dir):
+    """The best candidate of each record stands in for a label, so that the sides differ."""
+    r = views.records(spark, sf_dir)
+    s1, pool = views.sides(r)
+    best = found(spark, sf_dir)[0].where("rank = 0").select("s1_id", "cand_id")
+    return mining.pairs(best, s1, pool), s1, best
+
+
+@query("mine_subst", sql("SELECT least(x[1], y[1]) AS a, greatest(x[1], y[1]) AS b, count(*)::BIGINT AS n FROM diffs WHERE len(x) = 1 AND len(y) = 1 GROUP BY 1, 2", "diffs"))
+def _(spark, sf_dir):
+    return mining.substitutions(mining.differences(_found_pairs(spark, sf_dir)[0]))
+
+
+@query("mine_phrases", sql("SELECT single, w1, w2, count(*)::BIGINT AS n FROM (SELECT x[1] AS single, y[1] AS w1, y[2] AS w2 FROM diffs WHERE len(x) = 1 AND len(y) = 2 UNION ALL SELECT y[1], x[1], x[2] FROM diffs WHERE len(y) = 1 AND len(x) = 2) GROUP BY 1, 2, 3", "diffs"))
+def _(spark, sf_dir):
+    return mining.phrase_counts(mining.differences(_found_pairs(spark, sf_dir)[0]))
+
+
+@query("mine_droppable", sql("SELECT token, count(*)::BIGINT AS n FROM (SELECT unnest(CASE WHEN len(x) = 0 THEN y ELSE x END) AS token FROM diffs WHERE f = 'name' AND (len(x) = 0) <> (len(y) = 0)) GROUP BY token", "diffs"))
+def _(spark, sf_dir):
+    return mining.drop_counts(mining.differences(_found_pairs(spark, sf_dir)[0]))
+
+
+@query("mine_expansions")
+def _(spark, sf_dir):
+    got = mining.expansion_edges(mining.substitutions(mining.differences(_found_pairs(spark, sf_dir)[0])), 1)
+    return got.select("token", _join("alternates").alias("alternates"))
+
+
+@query("tune_variants")
+def _(spark, sf_dir):
+    """All ranking formulas over the shortlist of 200."""
+    raw, s1, pool, w = found(spark, sf_dir, capped=False)
+    short = blocking.top_k(raw, 200).drop("rank")
+    rows = tuning.masses(short, s1, pool, w)
+    names = lambda d, k, c: d.select(F.col("entity_id").alias(k), F.array_join(F.array_sort("name_toks"), " ").alias(c))
+    rows = rows.join(names(s1, "s1_id", "_a"), "s1_id").join(names(pool, "cand_id", "_b"), "cand_id").withColumn("csim", similarity.string_similarities("_a", "_b")["token_sort"])
+    got = tuning.compare(written(rows.drop("_a", "_b"), "masses"), truth_edges(s1.unionByName(pool)), 20, True)
+    return got.withColumn("recall", F.round("recall", 6))
+
+
+@query("lim_sample", "SELECT doc_id FROM documents ORDER BY md5(doc_id || '17'), doc_id::VARCHAR LIMIT 100")
+def _(spark, sf_dir):
+    rows = views.table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("id"))
+    return mining.by_hash(rows, "id", 100).select(F.col("id").cast("long").alias("doc_id"))
+
+
+@query("rules_roundtrip", "SELECT * FROM (VALUES (7::BIGINT, 4::BIGINT, 2::BIGINT, 0::BIGINT)) AS v(droppable, expansions, phrases, translit)")
+def _(spark, sf_dir):
+    path = fresh_path(spark, "rules")
+    RULES.save(spark, path)
+    got = RuleSet.load(spark, path)
+    return spark.range(1).select(*[F.lit(len(v)).cast("long").alias(k) for k, v in (("droppable", got.droppable), ("expansions", got.expansions), ("phrases", got.phrases), ("translit", got.translit))])
