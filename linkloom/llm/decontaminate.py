@@ -83,7 +83,8 @@ def query(spark, sf_dir):
     return best.select("doc_id", "item_id", F.col("m.n_shared").alias("n_shared"), F.col("m.n_shingles").alias("n_shingles"), F.round(F.col("m.n_shared") / F.col("m.n_shingles"), 6).alias("containment"))
 
 
-_WORDS_SQL = r"list_filter(regexp_split_to_array(translate(lower(text), '!""#$%&''()*+,-./:;<=>?@[\]^_`{|}~', ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')".replace('""', '"')
+_MARKS_SQL = _MARKS.replace("'", "''")
+_WORDS_SQL = rf"list_filter(regexp_split_to_array(translate(lower(text), '{_MARKS_SQL}', ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')"
 ORACLE = f"""
 WITH d AS (
   SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS s

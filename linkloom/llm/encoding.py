@@ -14,7 +14,7 @@ from unicodedata import is_normalized
 import numpy as np
 
 #: Unicode White_Space, as the library's patterns have it.
-_WS = "\t-\r \x85\xa0  -     　"
+_WS = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 #: "byte": a chunk takes one space before it along, and other white space is a chunk of its own; "word": white space goes.
 CHUNKS = {
     "byte": re.compile(f" ?[^{_WS}]+|[{_WS}]+(?![^{_WS}])|[{_WS}]+").findall,

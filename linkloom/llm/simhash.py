@@ -160,18 +160,16 @@ def near_duplicates(docs: DataFrame, words: int = 3) -> DataFrame:
     return fps.join(by_fp, "fp").select("doc_id", "fp", "component_id")
 
 
-def one_of_each(docs: DataFrame, words: int = 5, order: str = "doc_id") -> DataFrame:
-    """One document of each near-duplicate group stays: the one of least ``order`` (ties: one of them). Shingles of
+def one_of_each(docs: DataFrame, words: int = 5) -> DataFrame:
+    """One document of each near-duplicate group stays: the one of least doc_id (ties: one of
+    them). Shingles of
     five words; two texts of 0.8 or more in common differ in few fingerprint bits."""
-    spark = docs.sparkSession
     columns = docs.columns
-    ties = F.xxhash64(*[F.col(f"`{c}`") for c in columns])
-    found = near_duplicates(docs.select("doc_id", "text"), words)
-    keep = found.where("doc_id = component_id").select("doc_id").distinct()
-    del spark
-    kept = docs.withColumn("__tie", ties).join(keep, "doc_id", "left_semi")
-    first = kept.groupBy("doc_id").agg(F.min("__tie").alias("__tie"))
-    return kept.join(first, ["doc_id", "__tie"], "left_semi").dropDuplicates(["doc_id"]).select(*columns)
+    rows = docs.withColumn("__tie", F.xxhash64(*[F.col(f"`{c}`") for c in columns]))
+    found = near_duplicates(docs.select("doc_id", "text"), words).where("doc_id = component_id").select("doc_id").distinct()
+    # rows of one id: the first by hash of all columns; narrow columns settle it, so the texts move once
+    first = rows.select("doc_id", "__tie").join(found, "doc_id", "left_semi").groupBy("doc_id").agg(F.min("__tie").alias("__tie"))
+    return rows.join(first, ["doc_id", "__tie"], "left_semi").dropDuplicates(["doc_id", "__tie"]).select(*columns)
 
 
 def query(spark, sf_dir):
