@@ -33,48 +33,66 @@ STEP = 8
 # --- the plan, on the histogram ------------------------------------------------------------------------
 
 
-def _best_pattern(sizes: np.ndarray, value: np.ndarray, room: int) -> tuple[float, np.ndarray]:
-    """The unbounded knapsack: the most value that fits ``room``, and how many of each item (by size) make it."""
+def _patterns(sizes: np.ndarray, value: np.ndarray, room: int) -> tuple[float, np.ndarray]:
+    """The unbounded knapsack: the most value that fits ``room``, and for each item the best pattern that has it, of
+    those worth more than 1 (a column each). Sizes ascend."""
     best, pick = np.zeros(room + 1), np.full(room + 1, -1)
     for w, n in enumerate(np.searchsorted(sizes, np.arange(room + 1), "right").tolist()):
         if n:
             got = best[w - sizes[:n]] + value[:n]
             k = int(got.argmax())
             best[w], pick[w] = (got[k], k) if got[k] > best[w - 1] else (best[w - 1], -2)
-    many, w = np.zeros(len(sizes), np.int64), room
-    while w > 0 and pick[w] != -1:
-        if pick[w] == -2:
-            w -= 1
-        else:
-            many[pick[w]] += 1
-            w -= int(sizes[pick[w]])
-    return float(best[room]), many
-
-
-def solve(sizes: np.ndarray, demand: np.ndarray, room: int, slack: float = 1e-3, rounds: int = 4000) -> tuple[np.ndarray, np.ndarray]:
+    worth = np.flatnonzero(value + best[room - sizes] > 1 + 1e-9)
+    columns = np.zeros((len(sizes), len(worth)), np.int64)
+    for j, k in enumerate(worth.tolist()):
+        columns[k, j], w = 1, room - int(sizes[k])
+        while w > 0 and pick[w] != -1:
+            if pick[w] == -2:
+                w -= 1
+            else:
+                columns[pick[w], j] += 1
+                w -= int(sizes[pick[w]])
+    return float(best[room]), columns
+
+
+def solve(sizes: np.ndarray, demand: np.ndarray, room: int, slack: float = 1e-3, pivots: int = 30_000) -> tuple[np.ndarray, np.ndarray]:
     """Column generation for min sum(x), A x = demand, sizes ascending: the basis' patterns (a column each) and their
-    (fractional) numbers. It ends when the sum is within ``slack`` of the optimum: sum(x) over the best pattern's
-    value bounds that from below. ``rounds`` bounds the improvements; any basis is a valid packing."""
+    (fractional) numbers. Each pricing yields many patterns, and simplex pivots go on among them until none is worth
+    more than 1. It ends when the sum is within ``slack`` of the optimum: sum(x) over the best pattern's value bounds
+    that from below. ``pivots`` bounds the work; any basis is a valid packing."""
     basis = np.diag(room // sizes)
     inverse = np.diag(1 / np.diag(basis))
     x = demand / np.diag(basis)
-    for _ in range(rounds):
-        gain, pattern = _best_pattern(sizes, inverse.sum(0), room)
+    done = 0
+    while done < pivots:
+        gain, columns = _patterns(sizes, inverse.sum(0), room)
         if gain <= 1 + slack:
             break
-        used = np.flatnonzero(pattern)
-        d = (inverse[:, used] * pattern[used]).sum(1)
-        ratio = np.where(d > 1e-9, x / np.where(d > 1e-9, d, 1), np.inf)
-        out = int(ratio.argmin())
-        step = ratio[out]
-        if not np.isfinite(step):
+        before = done
+        for _ in range(4 * columns.shape[1]):
+            worth = np.einsum("i,ij->j", inverse.sum(0), columns)
+            j = int(worth.argmax())
+            if worth[j] <= 1 + 1e-7:
+                break
+            used = np.flatnonzero(columns[:, j])
+            d = (inverse[:, used] * columns[used, j]).sum(1)
+            ratio = np.where(d > 1e-9, x / np.where(d > 1e-9, d, 1), np.inf)
+            out = int(ratio.argmin())
+            step = ratio[out]
+            if not np.isfinite(step):
+                break
+            basis[:, out] = columns[:, j]
+            x = np.maximum(x - step * d, 0)
+            x[out] = step
+            row = inverse[out] / d[out]
+            inverse -= np.outer(d, row)
+            inverse[out] = row
+            done += 1
+            if done % 2000 == 0:
+                inverse = np.linalg.inv(basis.astype(float))
+                x = np.maximum((inverse * demand).sum(1), 0)
+        if done == before:
             break
-        basis[:, out] = pattern
-        x = np.maximum(x - step * d, 0)
-        x[out] = step
-        row = inverse[out] / d[out]
-        inverse -= np.outer(d, row)
-        inverse[out] = row
     return basis, x
 
 

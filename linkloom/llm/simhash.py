@@ -104,7 +104,8 @@ def _forest(x: np.ndarray, y: np.ndarray, start: int) -> list[tuple[int, int]]:
 
 
 def links(distinct: DataFrame) -> DataFrame:
-    """(a, b): links of distinct fingerprints (column fp) that connect what links of at most 3 bits connect."""
+    """(a, b) of distinct fingerprints (column fp): pairs that connect just what links of at most 3 bits connect. In a
+    crowded key a pair may stand for a chain of links."""
     spark = distinct.sparkSession
     keyed = distinct.select("fp", F.explode(ring_keys(F.col("fp"))).alias("key"))
     shared = keyed.groupBy("key").agg(F.count("*").alias("n"), F.min("fp").alias("lo"), F.max("fp").alias("hi")).where("n > 1")
@@ -161,15 +162,15 @@ def near_duplicates(docs: DataFrame, words: int = 3) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame, words: int = 5) -> DataFrame:
-    """One document of each near-duplicate group stays: the one of least doc_id (ties: one of
-    them). Shingles of
-    five words; two texts of 0.8 or more in common differ in few fingerprint bits."""
+    """One document of each near-duplicate group stays: the one of least doc_id (rows of one id:
+    the first by hash of all columns). Rows of null doc_id can't be named, so they stay. Shingles of five words."""
     columns = docs.columns
     rows = docs.withColumn("__tie", F.xxhash64(*[F.col(f"`{c}`") for c in columns]))
     found = near_duplicates(docs.select("doc_id", "text"), words).where("doc_id = component_id").select("doc_id").distinct()
     # rows of one id: the first by hash of all columns; narrow columns settle it, so the texts move once
     first = rows.select("doc_id", "__tie").join(found, "doc_id", "left_semi").groupBy("doc_id").agg(F.min("__tie").alias("__tie"))
-    return rows.join(first, ["doc_id", "__tie"], "left_semi").dropDuplicates(["doc_id", "__tie"]).select(*columns)
+    kept = rows.join(first, ["doc_id", "__tie"], "left_semi").dropDuplicates(["doc_id", "__tie"])
+    return kept.unionByName(rows.where("doc_id is null")).select(*columns)
 
 
 def query(spark, sf_dir):
