@@ -34,18 +34,17 @@ STEP = 8
 
 
 def _patterns(sizes: np.ndarray, value: np.ndarray, room: int) -> tuple[float, np.ndarray]:
-    """The unbounded knapsack: the most value that fits ``room``, and for each item the best pattern that has it, of
-    those worth more than 1 (a column each). Sizes ascend."""
+    """The unbounded knapsack: the most value that fits ``room``, and for each item the best pattern that has it
+    (a column each). Sizes ascend."""
     best, pick = np.zeros(room + 1), np.full(room + 1, -1)
     for w, n in enumerate(np.searchsorted(sizes, np.arange(room + 1), "right").tolist()):
         if n:
             got = best[w - sizes[:n]] + value[:n]
             k = int(got.argmax())
             best[w], pick[w] = (got[k], k) if got[k] > best[w - 1] else (best[w - 1], -2)
-    worth = np.flatnonzero(value + best[room - sizes] > 1 + 1e-9)
-    columns = np.zeros((len(sizes), len(worth)), np.int64)
-    for j, k in enumerate(worth.tolist()):
-        columns[k, j], w = 1, room - int(sizes[k])
+    columns = np.zeros((len(sizes), len(sizes)), np.int64)
+    for j in range(len(sizes)):
+        columns[j, j], w = 1, room - int(sizes[j])
         while w > 0 and pick[w] != -1:
             if pick[w] == -2:
                 w -= 1
@@ -55,21 +54,25 @@ def _patterns(sizes: np.ndarray, value: np.ndarray, room: int) -> tuple[float, n
     return float(best[room]), columns
 
 
-def solve(sizes: np.ndarray, demand: np.ndarray, room: int, slack: float = 1e-3, pivots: int = 30_000) -> tuple[np.ndarray, np.ndarray]:
+def solve(sizes: np.ndarray, demand: np.ndarray, room: int, slack: float = 5e-4, pivots: int = 12_000, smooth: float = 0.9) -> tuple[np.ndarray, np.ndarray]:
     """Column generation for min sum(x), A x = demand, sizes ascending: the basis' patterns (a column each) and their
-    (fractional) numbers. Each pricing yields many patterns, and simplex pivots go on among them until none is worth
-    more than 1. It ends when the sum is within ``slack`` of the optimum: sum(x) over the best pattern's value bounds
-    that from below. ``pivots`` bounds the work; any basis is a valid packing."""
+    (fractional) numbers. Pricing is stabilised: it is done at a mix of the basis' duals and the best dual point so
+    far, which starts at the volumes. Each pricing yields many patterns, among which simplex pivots go on until none is
+    worth more than 1. It ends within ``slack`` of the best lower bound that the dual points have proven. ``pivots``
+    bounds the work; any basis is a valid packing."""
     basis = np.diag(room // sizes)
     inverse = np.diag(1 / np.diag(basis))
     x = demand / np.diag(basis)
-    done = 0
-    while done < pivots:
-        gain, columns = _patterns(sizes, inverse.sum(0), room)
-        if gain <= 1 + slack:
-            break
+    centre = sizes / room  # no pattern is worth more than 1 at it
+    bound, done, mix = float(centre @ demand), 0, smooth
+    while done < pivots and x.sum() > (1 + slack) * bound:
+        dual = inverse.sum(0)
+        point = mix * centre + (1 - mix) * np.maximum(dual, 0)
+        gain, columns = _patterns(sizes, point, room)
+        if gain > 0 and (point @ demand) / gain > bound:
+            bound, centre = float(point @ demand) / gain, point / gain
         before = done
-        for _ in range(4 * columns.shape[1]):
+        for _ in range(columns.shape[1]):
             worth = np.einsum("i,ij->j", inverse.sum(0), columns)
             j = int(worth.argmax())
             if worth[j] <= 1 + 1e-7:
@@ -88,11 +91,12 @@ def solve(sizes: np.ndarray, demand: np.ndarray, room: int, slack: float = 1e-3,
             inverse -= np.outer(d, row)
             inverse[out] = row
             done += 1
-            if done % 2000 == 0:
-                inverse = np.linalg.inv(basis.astype(float))
-                x = np.maximum((inverse * demand).sum(1), 0)
-        if done == before:
-            break
+        if done == before:  # nothing new at this point: go towards the duals themselves
+            if mix == 0:
+                break
+            mix = mix / 2 if mix > 0.05 else 0.0
+        else:
+            mix = smooth
     return basis, x
 
 
