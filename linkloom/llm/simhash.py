@@ -9,6 +9,8 @@ pigeonring principle): 0, 0, 1, 1, 1, 2, 2, 3 for l = 1 to 8. So the segments i
 i + 2, i + 3, i + 4 at most one differs: 8 starts times 3 choices give 24 keys of 32 bits by which all partners
 meet. Rows that meet are tested against the chain's budgets, the last of which is the full Hamming check.
 
+For edited copies, ``near_duplicates`` takes several independent fingerprints (blocks) and links by any of them.
+
 Only distinct fingerprints are searched. Keys that few of them share are dealt with in one row; a key that many
 share is dealt out in chunks (salted), each pair of chunks is tested in one vectorised step, and of the links
 found only a spanning forest leaves that step, so neither links nor memory grow with the square of a group.
@@ -37,43 +39,53 @@ BUDGET = [RADIUS * n // SEGMENTS for n in range(1, SEGMENTS + 1)]
 CHUNK = 256
 
 
-def fingerprint(data: bytes | None, words: int = 3) -> int:
-    """SimHash of one text, given in UTF-8."""
+#: Constants by which further fingerprints of a text derive their hashes from the first one's.
+_SEEDS = [0] + [(0x9E3779B97F4A7C15 * (2 * k + 1)) & ((1 << 64) - 1) for k in range(1, 10)]
+
+
+def fingerprint(data: bytes | None, words: int = 3, blocks: int = 1) -> int | list[int]:
+    """SimHash of one text, given in UTF-8. ``blocks`` over 1: a list of so many independent ones, the first the same."""
     w = data.lower().split() if data else []
     if not w:
-        return 0
+        return 0 if blocks == 1 else [0] * blocks
     grams = map(b" ".join, zip(*(w[k:] for k in range(words)), strict=False)) if len(w) >= words else [b" ".join(w)]
     h = np.fromiter((xxhash.xxh64_intdigest(g, 42) for g in grams), np.uint64)
-    counts = np.zeros(64, np.int64)
-    for at in range(0, len(h), 65536):
-        part = h[at : at + 65536]
-        counts += np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
-    bits = counts * 2 > len(h)
-    return int(np.packbits(bits, bitorder="little").view(np.uint64)[0])
-
-
-def fingerprints(docs: DataFrame, words: int = 3) -> DataFrame:
-    """(doc_id, fp long) of ``docs``' (doc_id, text)."""
+    out = []
+    for k in range(blocks):
+        counts = np.zeros(64, np.int64)
+        for at in range(0, len(h), 65280):  # 256 times 255
+            part = h[at : at + 65280] if k == 0 else common.mix64(h[at : at + 65280] ^ np.uint64(_SEEDS[k]))
+            full = np.zeros(-(-len(part) // 255) * 255, np.uint64)
+            full[: len(part)] = part
+            bits = np.unpackbits(full.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+            counts += bits.reshape(-1, 255, 64).sum(1, dtype=np.uint8).sum(0, dtype=np.int64)
+        out.append(int(np.packbits(counts * 2 > len(h), bitorder="little").view(np.uint64)[0]))
+    return out[0] if blocks == 1 else out
+
+
+def fingerprints(docs: DataFrame, words: int = 3, blocks: int = 1) -> DataFrame:
+    """(doc_id, fps array<bigint>) of ``docs``' (doc_id, text)."""
     common.small_batches(docs.sparkSession)
     rows = docs.select("doc_id", F.col("text").cast("binary").alias("data"))
 
     def run(batches):
         for b in batches:
-            fp = np.fromiter((fingerprint(x, words) for x in b.column("data").to_pylist()), np.uint64, b.num_rows)
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(fp.view(np.int64))], ["doc_id", "fp"])
+            fps = [f if blocks > 1 else [f] for f in (fingerprint(x, words, blocks) for x in b.column("data").to_pylist())]
+            flat = np.array(fps, np.uint64).reshape(-1).view(np.int64)
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(b.num_rows + 1, dtype=np.int32) * blocks), pa.array(flat))
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), lists], ["doc_id", "fps"])
 
-    return rows.mapInArrow(run, common.extended(docs.select("doc_id"), "fp long"))
+    return rows.mapInArrow(run, common.extended(docs.select("doc_id"), "fps array<bigint>"))
 
 
-def ring_keys(fp: F.Column) -> F.Column:
-    """The 24 keys of a fingerprint, each with its start and choice in the upper bits."""
+def ring_keys(fp: F.Column, block: F.Column) -> F.Column:
+    """The 24 keys of a fingerprint, each with its block, start and choice in the upper bits."""
     out = []
     for i in range(SEGMENTS):
         turned = fp if i == 0 else F.shiftrightunsigned(fp, WIDTH * i).bitwiseOR(F.shiftleft(fp, 64 - WIDTH * i))
-        for k, kept in enumerate((0xFFFFFFFF, 0xFF00FFFFFF, 0xFFFF00FFFF)):
-            mask = {0: 0x00FFFFFFFF, 1: 0xFF00FFFFFF, 2: 0xFFFF00FFFF}[k]
-            assert kept == mask
-            out.append(turned.bitwiseAND(F.lit(mask).cast("long")).bitwiseOR(F.lit((i * 3 + k) << 40).cast("long")))
+        for k, mask in enumerate((0x00FFFFFFFF, 0xFF00FFFFFF, 0xFFFF00FFFF)):  # two segments, and two of the next three
+            tag = F.shiftleft((block * 24 + (i * 3 + k)).cast("long"), 40)
+            out.append(turned.bitwiseAND(F.lit(mask).cast("long")).bitwiseOR(tag))
     return F.array(*out)
 
 
@@ -104,10 +116,10 @@ def _forest(x: np.ndarray, y: np.ndarray, start: int) -> list[tuple[int, int]]:
 
 
 def links(distinct: DataFrame) -> DataFrame:
-    """(a, b) of distinct fingerprints (column fp): pairs that connect just what links of at most 3 bits connect. In a
+    """(block, a, b) of distinct fingerprints (columns block, fp): pairs within a block that connect just what links of at most 3 bits connect. In a
     crowded key a pair may stand for a chain of links."""
     spark = distinct.sparkSession
-    keyed = distinct.select("fp", F.explode(ring_keys(F.col("fp"))).alias("key"))
+    keyed = distinct.select("fp", F.explode(ring_keys(F.col("fp"), F.col("block"))).alias("key"))
     shared = keyed.groupBy("key").agg(F.count("*").alias("n"), F.min("fp").alias("lo"), F.max("fp").alias("hi")).where("n > 1")
     shared = common.written(shared, "ring-keys")
     pairs = shared.where("n = 2").select(F.lit(None).cast("array<bigint>").alias("x"), F.lit(None).cast("array<bigint>").alias("y"), "key", "lo", "hi")
@@ -125,7 +137,7 @@ def links(distinct: DataFrame) -> DataFrame:
 
     def run(batches):
         for b in batches:
-            a, z = [], []
+            a, z, blk = [], [], []
             lo, hi, key = (b.column(c) for c in ("lo", "hi", "key"))
             plain = np.flatnonzero(np.asarray(lo.is_valid()))
             if len(plain):
@@ -133,40 +145,55 @@ def links(distinct: DataFrame) -> DataFrame:
                 u, v = (c.take(at).to_numpy().view(np.uint64) for c in (lo, hi))
                 k = key.take(at).to_numpy() >> 40
                 for s in range(SEGMENTS):
-                    own = k // 3 == s
+                    own = k % 24 // 3 == s
                     ok = _near(u[own], v[own], s)
-                    a.append(u[own][ok]), z.append(v[own][ok])
+                    a.append(u[own][ok]), z.append(v[own][ok]), blk.append(k[own][ok] // 24)
             x, y = b.column("x"), b.column("y")
             for i in np.flatnonzero(np.asarray(x.is_valid())):
                 p = x[i].values.to_numpy().view(np.uint64)
                 q = y[i].values.to_numpy().view(np.uint64)
-                got = _forest(p, q if len(q) else p, (key[i].as_py() >> 40) // 3)
+                k = key[i].as_py() >> 40
+                got = _forest(p, q if len(q) else p, k % 24 // 3)
                 if got:
                     e = np.array(got, np.uint64)
-                    a.append(e[:, 0]), z.append(e[:, 1])
+                    a.append(e[:, 0]), z.append(e[:, 1]), blk.append(np.full(len(e), k // 24))
             a, z = (np.concatenate(v) if v else np.zeros(0, np.uint64) for v in (a, z))
-            yield pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), pa.array(z.view(np.int64))], ["a", "b"])
-
-    return pairs.unionByName(blocks).mapInArrow(run, "a long, b long")
-
-
-def near_duplicates(docs: DataFrame, words: int = 3) -> DataFrame:
-    """(doc_id, fp, component_id): the fingerprint and the least doc_id of all that links reach."""
-    fps = common.written(fingerprints(docs, words), "simhash")
-    groups = common.written(fps.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-groups")
-    roots = components(links(groups.select("fp")))
-    named = groups.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+            blk = np.concatenate(blk).astype(np.int32) if blk else np.zeros(0, np.int32)
+            yield pa.RecordBatch.from_arrays([pa.array(blk), pa.array(a.view(np.int64)), pa.array(z.view(np.int64))], ["block", "a", "b"])
+
+    return pairs.unionByName(blocks).mapInArrow(run, "block int, a long, b long")
+
+
+def near_duplicates(docs: DataFrame, words: int = 3, blocks: int = 1) -> DataFrame:
+    """(doc_id, fps, component_id): the fingerprints and the least doc_id of all that links reach. With several blocks
+    (independent fingerprints) two texts link if any block does: an edited copy whose first fingerprint drifts a bit
+    too far is caught by another."""
+    docs_fps = common.written(fingerprints(docs, words, blocks), "simhash")
+    groups = common.written(docs_fps.groupBy("fps").agg(F.min("doc_id").alias("least")).withColumn("g", F.xxhash64("fps") if blocks > 1 else F.col("fps")[0]), "simhash-groups")
+    each = groups.select("g", F.posexplode("fps").alias("block", "fp"))
+    hubs = each.groupBy("block", "fp").agg(F.min("g").alias("hub"), F.count("*").alias("n"))
+    if blocks == 1:
+        found = links(each.select("block", "fp")).select("a", "b")
+    else:
+        hubs = common.written(hubs, "simhash-hubs")
+        same = each.join(hubs.where("n > 1"), ["block", "fp"]).where("g != hub").select(F.col("g").alias("a"), F.col("hub").alias("b"))
+        met = common.written(links(hubs.select("block", "fp")).distinct(), "simhash-links")
+        at = lambda c: hubs.select("block", F.col("fp").alias(c), F.col("hub").alias(f"h{c}"))
+        found = same.unionByName(met.join(at("a"), ["block", "a"]).join(at("b"), ["block", "b"]).select(F.col("ha").alias("a"), F.col("hb").alias("b")))
+    roots = components(found)
+    named = groups.join(roots.withColumnRenamed("node", "g"), "g", "left").withColumn("root", F.coalesce("root", "g"))
     names = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    by_fp = named.join(names, "root").select("fp", "component_id")
-    return fps.join(by_fp, "fp").select("doc_id", "fp", "component_id")
+    by_fps = named.join(names, "root").select("fps", "component_id")
+    return docs_fps.join(by_fps, "fps").select("doc_id", "fps", "component_id")
 
 
-def one_of_each(docs: DataFrame, words: int = 5) -> DataFrame:
+def one_of_each(docs: DataFrame, words: int = 5, blocks: int = 8) -> DataFrame:
     """One document of each near-duplicate group stays: the one of least doc_id (rows of one id:
-    the first by hash of all columns). Rows of null doc_id can't be named, so they stay. Shingles of five words."""
+    the first by hash of all columns). Rows of null doc_id can't be named, so they stay. Shingles of five words; with
+    eight fingerprints, copies of similarity 0.98, 0.95 and 0.9 are linked with probability of about 1, 0.9 and 0.5."""
     columns = docs.columns
     rows = docs.withColumn("__tie", F.xxhash64(*[F.col(f"`{c}`") for c in columns]))
-    found = near_duplicates(docs.select("doc_id", "text"), words).where("doc_id = component_id").select("doc_id").distinct()
+    found = near_duplicates(docs.select("doc_id", "text"), words, blocks).where("doc_id = component_id").select("doc_id").distinct()
     # rows of one id: the first by hash of all columns; narrow columns settle it, so the texts move once
     first = rows.select("doc_id", "__tie").join(found, "doc_id", "left_semi").groupBy("doc_id").agg(F.min("__tie").alias("__tie"))
     kept = rows.join(first, ["doc_id", "__tie"], "left_semi").dropDuplicates(["doc_id", "__tie"])
@@ -176,4 +203,4 @@ def one_of_each(docs: DataFrame, words: int = 5) -> DataFrame:
 def query(spark, sf_dir):
     """op3: fingerprint and component of every document."""
     got = near_duplicates(common.documents(spark, sf_dir).select("doc_id", "text"))
-    return got.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+    return got.select("doc_id", F.lpad(F.lower(F.hex(F.col("fps")[0])), 16, "0").alias("fingerprint"), "component_id")
