@@ -523,21 +523,51 @@ def _(spark, sf_dir):
     return mining.drop_counts(mining.differences(_found_pairs(spark, sf_dir)[0]))
 
 
-@query("mine_expansions")
+def _related_sql(a: str, b: str) -> str:
+    inside = lambda x, y: f"(length({x}) <= length({y}) AND regexp_full_match({y}, '.*' || array_to_string(string_split({x}, ''), '.*') || '.*'))"
+    return f"({inside(a, b)} OR {inside(b, a)} OR (abs(length({a}) - length({b})) <= 2 AND least(length({a}), length({b})) >= 4 AND levenshtein({a}, {b}) <= 2))"
+
+
+@query("mine_expansions", sql(rf"""SELECT token, string_agg(alt, ' ' ORDER BY alt) AS alternates FROM (SELECT DISTINCT unnest([a, b]) AS token, unnest([b, a]) AS alt FROM (SELECT least(x[1], y[1]) AS a, greatest(x[1], y[1]) AS b FROM diffs WHERE len(x) = 1 AND len(y) = 1)
+  WHERE NOT regexp_full_match(a, '\d+') AND NOT regexp_full_match(b, '\d+') AND {_related_sql("a", "b")}) GROUP BY token""", "diffs"))
 def _(spark, sf_dir):
     got = mining.expansion_edges(mining.substitutions(mining.differences(_found_pairs(spark, sf_dir)[0])), 1)
     return got.select("token", _join("alternates").alias("alternates"))
 
 
-@query("tune_variants")
-def _(spark, sf_dir):
-    """All ranking formulas over the shortlist of 200."""
+def _shortlist(spark, sf_dir):
+    """(masses of the shortlist of 200, source 1, pool)."""
     raw, s1, pool, w = found(spark, sf_dir, capped=False)
-    short = blocking.top_k(raw, 200).drop("rank")
-    rows = tuning.masses(short, s1, pool, w)
+    return written(tuning.masses(blocking.top_k(raw, 200).drop("rank"), s1, pool, w), "masses"), s1, pool
+
+
+def _variants_sql() -> str:
+    def field(f: str, mode: str, pen: float) -> str:
+        v = {"cover": "i_{0} / b_{0}", "cosine": "i_{0} / sqrt(b_{0} * c_{0})", "dice": "2.0 * i_{0} / (b_{0} + c_{0})"}[mode].format(f) + (f" / pow(c_{f}, {pen})" if pen else "")
+        return f"CASE WHEN i_{f} > 0 AND b_{f} > 0 AND c_{f} > 0 THEN {v} ELSE 0.0 END"
+
+    made = {"keys": "block_score"} | {n: " + ".join([f"{w} * ({field(f, m, p)})" for f, w in zip("nwd", (wn, ww, wd), strict=True)] + [f"{wk} * block_score"]) for n, (m, p, wn, ww, wd, wk) in tuning.VARIANTS.items()}
+    rows = " UNION ALL ".join(f"SELECT '{n}' AS variant, s1_id, cand_id, round({e}, 9) AS score FROM m" for n, e in made.items())
+    of = lambda f, t, k: f"coalesce((SELECT mass FROM {t} q WHERE {k} AND q.f = '{f}'), 0)"
+    m = ", ".join(f"{of(f, 'both2', 'q.s1_id = s.s1_id AND q.cand_id = s.cand_id')} AS i_{f}, {of(f, 'sums', 'q.id = s.s1_id')} AS b_{f}, {of(f, 'sums', 'q.id = s.cand_id')} AS c_{f}" for f in "nwd")
+    return f"""SELECT variant, count(e.s1_id)::BIGINT AS found, (SELECT count(*) FROM edges)::BIGINT AS pairs, round(count(e.s1_id) / greatest((SELECT count(*) FROM edges), 1), 6) AS recall FROM (
+      SELECT *, row_number() OVER (PARTITION BY variant, s1_id ORDER BY score DESC, cand_id) AS r FROM ({rows})) v LEFT JOIN edges e ON e.s1_id = v.s1_id AND e.cand_id = v.cand_id AND v.r <= 20 GROUP BY variant""".replace(
+        "FROM m", f"FROM (WITH short AS (SELECT * FROM ranked WHERE rank < 200), both2 AS (SELECT c.s1_id, c.cand_id, x.f, sum(w.idf) AS mass FROM short c JOIN each x ON x.id = c.s1_id JOIN each y ON y.id = c.cand_id AND y.f = x.f AND y.token = x.token JOIN w ON w.country = x.country AND w.token = x.token GROUP BY c.s1_id, c.cand_id, x.f) SELECT s.s1_id, s.cand_id, s.block_score, {m} FROM short s)")
+
+
+@query("tune_variants", sql(_variants_sql(), "ranked", "each", "w", "sums", "edges"))
+def _(spark, sf_dir):
+    rows, s1, pool = _shortlist(spark, sf_dir)
+    return tuning.compare(rows, truth_edges(s1.unionByName(pool)), 20).withColumn("recall", F.round("recall", 6))
+
+
+@query("tune_char_blends")
+def _(spark, sf_dir):
+    """The same with the blends of a fuzzy measure."""
+    rows, s1, pool = _shortlist(spark, sf_dir)
     names = lambda d, k, c: d.select(F.col("entity_id").alias(k), F.array_join(F.array_sort("name_toks"), " ").alias(c))
     rows = rows.join(names(s1, "s1_id", "_a"), "s1_id").join(names(pool, "cand_id", "_b"), "cand_id").withColumn("csim", similarity.string_similarities("_a", "_b")["token_sort"])
-    got = tuning.compare(written(rows.drop("_a", "_b"), "masses"), truth_edges(s1.unionByName(pool)), 20, True)
+    got = tuning.compare(written(rows.drop("_a", "_b"), "blends"), truth_edges(s1.unionByName(pool)), 20, True)
     return got.withColumn("recall", F.round("recall", 6))
 
 
