@@ -20,7 +20,8 @@ CHUNKS = {
     "byte": re.compile(f" ?[^{_WS}]+|[{_WS}]+(?![^{_WS}])|[{_WS}]+").findall,
     "word": re.compile(f"[^{_WS}]+").findall,
 }
-#: Chunks remembered at most. When the table is full, those met most often since the last time stay, half of it at most.
+#: Chunks remembered at most, about 200 bytes each. When the table is full, those met most often since the last time stay,
+#: half of it at most.
 MOST = 1_000_000
 _MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 
@@ -46,11 +47,12 @@ class _Index(dict):
 
 
 class Encoder:
-    def __init__(self, path: str, kind: str):
+    def __init__(self, path: str, kind: str, most: int | None = None):
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
         self.library.encode_special_tokens = False
+        self.most = most or MOST
         self.model, self.kind, self.find, self.marks = self.library.model, kind, CHUNKS[kind], {}
         self.special = re.compile("|".join(re.escape(x.content) for x in self.library.get_added_tokens_decoder().values()) or r"(?!)")
         self.index, self.ids, self.ends = _Index(), np.zeros(0, np.uint32), np.zeros(1, np.int64)
@@ -89,10 +91,10 @@ class Encoder:
             self.index.new = []
 
     def _shrink(self):
-        if len(self.index) <= MOST:
+        if len(self.index) <= self.most:
             return
         least = 2
-        while (kept := np.flatnonzero(self.uses[: len(self.index)] >= least)).size > MOST // 2:
+        while (kept := np.flatnonzero(self.uses[: len(self.index)] >= least)).size > self.most // 2:
             least += 1
         stays = np.zeros(len(self.index), bool)
         stays[kept] = True
@@ -146,8 +148,8 @@ class Encoder:
 _made: dict[tuple[str, str], Encoder] = {}
 
 
-def encoder(path: str, kind: str) -> Encoder:
+def encoder(path: str, kind: str, most: int | None = None) -> Encoder:
     """One for each Python worker; it keeps its table from task to task."""
     if (path, kind) not in _made:
-        _made[path, kind] = Encoder(path, kind)
+        _made[path, kind] = Encoder(path, kind, most)
     return _made[path, kind]

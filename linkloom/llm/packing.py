@@ -28,6 +28,8 @@ from . import common
 from .encoding import encoder
 
 STEP = 8
+#: Chunks that a worker remembers: fewer than the encoder's default, as later stages run beside its table.
+REMEMBER = 300_000
 
 
 # --- the plan, on the histogram ------------------------------------------------------------------------
@@ -160,7 +162,7 @@ def pieces(docs: DataFrame, tokenizer: str, kind: str = "word", end: int = 1, si
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
 
     def run(batches):
-        made = encoder(tokenizer, kind)
+        made = encoder(tokenizer, kind, REMEMBER)
         for b in batches:
             ids, counts = made.encode(b.column("text").to_pylist(), end)
             cuts = -(-counts // size)

@@ -440,7 +440,7 @@ def test_pipeline_equals_its_parts(spark, tmp_path):
     spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
     got = corpus_pipeline.run(spark, str(tmp_path)).collect()
     left = [(d, t) for d, t, *_ in docs if t and any(c.isalpha() for c in t)]
-    first = wide_classes([t for _, t in left], 8)
+    first = wide_classes([t for _, t in left], 4)
     kept = [x for i, x in enumerate(left) if first[i] == i]
     cut = [(d, k.decode()) for d, n, g, k in plain_dedup(kept) if g == 0 or g < n]
     clean = [(d, t) for d, t in cut if item not in t]
