@@ -181,6 +181,24 @@ def test_near_duplicates(spark, odd, none):
     assert simhash.one_of_each(none).count() == 0
 
 
+def test_edited_copies_by_any_of_eight_fingerprints(spark):
+    """Copies that only the fingerprints after the fourth link go as well."""
+    r = random.Random(31)
+    words = [f"w{i}" for i in range(500)]
+    docs = []
+    while len(docs) < 12:
+        w = r.choices(words, k=200)
+        v = list(w)
+        for i in r.sample(range(200), 4):
+            v[i] = "edited"
+        a, b = (simhash.fingerprint(" ".join(x).encode(), 5, 8) for x in (w, v))
+        near = [(x ^ y).bit_count() <= 3 for x, y in zip(a, b, strict=True)]
+        if any(near[4:]) and not any(near[:4]):
+            docs += [" ".join(w), " ".join(v)]
+    df = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string")
+    assert sorted(r["doc_id"] for r in simhash.one_of_each(df).collect()) == [0, 2, 4, 6, 8, 10]
+
+
 # --- 4 substring dedup
 
 
