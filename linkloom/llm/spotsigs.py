@@ -2,11 +2,14 @@
 
 A spot is a common function word; its signature is the word and the chain of the next ``CHAIN`` content words (those
 that are not common). A document's fingerprint is the set of its signatures, 32 bits each, sorted and written in
-base64; two fingerprints are as alike as their sets' Jaccard similarity. Sets are partitioned by length: the shorter
-set's share of the longer bounds the similarity, so pairs too far apart in length are told unlike without a look at
-the signatures. A text without a common word takes every word for a spot, and a chain that the text's end cuts short
+base64; two fingerprints are as alike as their sets' Jaccard similarity. A text without a common word takes every word for a spot, and a chain that the text's end cuts short
 counts as it is.
 
+``near_classes`` finds all near duplicates: sets are partitioned by length, as the shorter set's share of the longer
+bounds the similarity, so a set meets only those of its own partition and the next; within them sets meet by inverted
+lists of their rarest signatures, of which two sets alike enough share one. Whatever meets is tested exactly, and links
+become classes. Copies with equal fingerprints are one set; the pairs of a group of near copies grow with its square.
+
 Defined cases: null text is empty; a text without words has the empty fingerprint; two empty fingerprints are alike
 to 1, an empty and another to 0; equal texts have equal fingerprints; other columns are ignored.
 """
@@ -15,6 +18,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import math
 
 import numpy as np
 import pyarrow as pa
@@ -22,6 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import common
+from .components import components
 
 CHAIN = 2
 #: Common function words of English, French, German and Spanish.
@@ -97,6 +102,48 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     return base.mapInArrow(run, common.extended(base, "fingerprint string"))
 
 
+# --- near duplicates ------------------------------------------------------------------------------------
+
+
+def alike(sets: DataFrame, least: float) -> DataFrame:
+    """(a, b, likeness): all pairs of ``sets`` (g long, sigs array<long> without repeats) that are alike to ``least``
+    (over 0) or more, the shorter first (ties: the lesser g). Empty sets are alike to none."""
+    n = F.size("sigs")
+    sets = common.written(sets.where(n > 0).select("g", "sigs", n.alias("n")), "spot-sets")
+    each = sets.select("g", "n", F.explode("sigs").alias("sig"))
+    ranked = each.join(each.groupBy("sig").agg(F.count("*").alias("df")), "sig").groupBy("g", "n").agg(F.array_sort(F.collect_list(F.struct("df", "sig"))).alias("s"))
+    prefix = (F.col("n") - F.ceil(F.col("n") * least - 1e-9) + 1).cast("int")
+    step = math.log(1 / least) if least < 1 else math.inf
+    part = lambda c: F.floor(c / step + 1e-9).cast("int")
+    size = F.log(F.col("n").cast("double"))
+    rare = ranked.select("g", "n", F.explode(F.slice("s", 1, F.least(prefix, F.col("n")))).alias("x"), part(size).alias("part"), (part(size + step) if least < 1 else part(size)).alias("last"))
+    rare = common.written(rare.select("g", "n", F.col("x.sig").alias("sig"), "part", "last"), "spot-lists")
+    short = rare.select("sig", F.col("g").alias("a"), F.col("n").alias("na"), F.explode(F.sequence("part", "last")).alias("part"))
+    long = rare.select("sig", F.col("g").alias("b"), F.col("n").alias("nb"), "part")
+    met = short.join(long, ["sig", "part"]).where((F.col("na") < F.col("nb")) | ((F.col("na") == F.col("nb")) & (F.col("a") < F.col("b"))))
+    met = met.where(F.col("na") >= F.col("nb") * least - 1e-9).select("a", "b").distinct()
+    side = lambda c: sets.select(F.col("g").alias(c), F.col("sigs").alias(f"s{c}"))
+    both = F.size(F.array_intersect("sa", "sb"))
+    got = met.join(side("a"), "a").join(side("b"), "b").select("a", "b", (both / (F.size("sa") + F.size("sb") - both)).alias("likeness"))
+    return got.where(F.col("likeness") >= least)
+
+
+def near_classes(docs: DataFrame, least: float = 0.6) -> DataFrame:
+    """(doc_id, fingerprint, component_id): the least doc_id of all that links of likeness ``least`` or more reach."""
+    made = fingerprints(docs.select("doc_id", "text")).select("doc_id", "fingerprint", F.xxhash64("fingerprint").alias("g"))
+    made = common.written(made, "spotsigs")
+
+    def run(batches):
+        for b in batches:
+            sigs = [read_form(x).astype(np.int64) for x in b.column("fingerprint").to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column("g"), pa.array(sigs, pa.list_(pa.int64()))], ["g", "sigs"])
+
+    groups = made.groupBy("g").agg(F.first("fingerprint").alias("fingerprint"))
+    roots = components(alike(groups.mapInArrow(run, "g long, sigs array<long>"), least))
+    named = made.join(roots.withColumnRenamed("node", "g"), "g", "left").withColumn("root", F.coalesce("root", "g"))
+    return named.join(named.groupBy("root").agg(F.min("doc_id").alias("component_id")), "root").select("doc_id", "fingerprint", "component_id")
+
+
 # --- each document and the next ---------------------------------------------------------------------------
 
 

@@ -267,6 +267,24 @@ def test_spotsigs(spark, odd, none):
     assert spotsigs.likeness(np.arange(5), np.arange(10), 0.8) == 0 and spotsigs.likeness(np.arange(9), np.arange(10), 0.8) == 0.9
 
 
+@pytest.mark.parametrize("least", [0.5, 1.0])
+def test_spotsigs_join_equals_brute_force(spark, least):
+    r = random.Random(6)
+    sets = [set(r.sample(range(400), r.randint(1, 40))) for _ in range(60)]
+    sets += [(s | set(r.sample(range(400), r.randint(0, 6)))) - set(r.sample(sorted(s), len(s) // 5)) for s in sets] + [set(range(10)), set(range(20)), set(range(10)), set()]
+    got = {(*sorted((x["a"], x["b"])), x["likeness"]) for x in spotsigs.alike(spark.createDataFrame([(i, sorted(s)) for i, s in enumerate(sets)], "g long, sigs array<long>"), least).collect()}
+    plain = {(i, j, len(a & b) / len(a | b)) for j, b in enumerate(sets) for i, a in enumerate(sets[:j]) if a & b}
+    assert got == {x for x in plain if x[2] >= least} and (120, 122, 1.0) in got
+
+
+def test_spotsigs_classes(spark, none):
+    more = EN + " today"
+    df = spark.createDataFrame([(5, EN), (3, more), (4, DE), (9, EN), (7, None), (6, "")], "doc_id long, text string")
+    assert spotsigs.likeness(spotsigs.signatures(EN), spotsigs.signatures(more)) >= 0.6
+    assert {x["doc_id"]: x["component_id"] for x in spotsigs.near_classes(df).collect()} == {5: 3, 3: 3, 9: 3, 4: 4, 7: 6, 6: 6}
+    assert spotsigs.near_classes(none).count() == 0
+
+
 # --- 6 decontamination
 
 
