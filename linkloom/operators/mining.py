@@ -33,6 +33,11 @@ def substitutions(diffs: DataFrame) -> DataFrame:
     return one.groupBy(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).agg(F.count("*").alias("n"))
 
 
+def related_pairs(subst: DataFrame) -> DataFrame:
+    """(a, b, n, related) of every substitution, whatever its tokens' length, script or first letters."""
+    return subst.select("a", "b", "n", tokens.related(F.col("a"), F.col("b")).alias("related"))
+
+
 def expansion_edges(subst: DataFrame, least: int = MIN_SUBST) -> DataFrame:
     """(token, alternates) both ways; numbers never, and only related spellings. Alternates of alternates don't join."""
     ok = subst.where((F.col("n") >= least) & ~normalize.is_number(F.col("a")) & ~normalize.is_number(F.col("b")) & tokens.related(F.col("a"), F.col("b")))

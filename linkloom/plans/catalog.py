@@ -215,6 +215,11 @@ def _(spark, sf_dir):
     return rows.select("a", "b", tokens.related(F.col("a"), F.col("b")).alias("related"))
 
 
+@query("mine_related_substitutions")
+def _(spark, sf_dir):
+    return mining.related_pairs(mining.substitutions(mining.differences(_found_pairs(spark, sf_dir)[0])))
+
+
 @query("mine_acronyms", "SELECT p_partkey, p_name, len(w) = 2 AND starts_with(w[1], 'b') AND starts_with(w[2], 's') AS bs FROM (SELECT p_partkey, p_name, string_split(lower(p_name), ' ') AS w FROM part)")
 def _(spark, sf_dir):
     w = F.split(F.lower("p_name"), " ")

@@ -160,3 +160,10 @@ def test_stream_equals_batch(spark, sides, tmp_path):
     got = {(r["s1_id"], r["cand_id"]) for r in spark.read.parquet(str(tmp_path / "out")).collect()}
     assert got == {(r["s1_id"], r["cand_id"]) for r in stream.batch_candidates(spark.createDataFrame(ONE, SCHEMA), index, RULES).collect()}
     assert ("S1-1", "S2-1") in got
+
+
+def test_related_pairs_have_no_limits_of_length_prefix_or_script(spark):
+    diffs = [("addr", [x], [y]) for x, y in (("road", "raod"), ("street", "st"), ("international", "internationa"), ("étoile", "etoile"), ("dr", "ltd"), ("road", "raod"))]
+    got = mining.related_pairs(mining.substitutions(spark.createDataFrame(diffs, "field string, x array<string>, y array<string>"))).collect()
+    assert {(r["a"], r["b"]): (r["n"], r["related"]) for r in got} == {
+        ("raod", "road"): (2, True), ("st", "street"): (1, True), ("internationa", "international"): (1, True), ("etoile", "étoile"): (1, True), ("dr", "ltd"): (1, False)}
