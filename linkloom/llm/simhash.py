@@ -66,18 +66,20 @@ def fingerprint(data: bytes | None, words: int = 3, blocks: int = 1) -> int | li
 
 
 def fingerprints(docs: DataFrame, words: int = 3, blocks: int = 1) -> DataFrame:
-    """(doc_id, fps array<bigint>) of ``docs``' (doc_id, text)."""
+    """(doc_id, fps array<bigint>) of ``docs``' (doc_id, text); a column ``__tie`` goes along."""
     common.small_batches(docs.sparkSession)
-    rows = docs.select("doc_id", F.col("text").cast("binary").alias("data"))
+    ids = docs.select("doc_id", *[c for c in docs.columns if c == "__tie"])
+    names = ids.columns
+    rows = docs.select(*names, F.col("text").cast("binary").alias("data"))
 
     def run(batches):
         for b in batches:
             fps = [f if blocks > 1 else [f] for f in (fingerprint(x, words, blocks) for x in b.column("data").to_pylist())]
             flat = np.array(fps, np.uint64).reshape(-1).view(np.int64)
             lists = pa.ListArray.from_arrays(pa.array(np.arange(b.num_rows + 1, dtype=np.int32) * blocks), pa.array(flat))
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), lists], ["doc_id", "fps"])
+            yield pa.RecordBatch.from_arrays([*[b.column(c) for c in names], lists], [*names, "fps"])
 
-    return rows.mapInArrow(run, common.extended(docs.select("doc_id"), "fps array<bigint>"))
+    return rows.mapInArrow(run, common.extended(ids, "fps array<bigint>"))
 
 
 def ring_keys(fp: F.Column, block: F.Column) -> F.Column:
@@ -178,7 +180,7 @@ def _block_links(groups: DataFrame, k: int) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, words: int = 3, blocks: int = 1) -> DataFrame:
-    """(doc_id, fps, component_id): the fingerprints and the least doc_id of all that links reach. With several blocks
+    """(doc_id, fps, component_id, root): the fingerprints, the least doc_id of all that links reach, and the component. With several blocks
     (independent fingerprints) two texts link if any block does: an edited copy whose first fingerprint drifts a bit
     too far is caught by another. Blocks are searched one after another, so memory doesn't grow with their number."""
     docs_fps = common.written(fingerprints(docs, words, blocks), "simhash")
@@ -190,19 +192,19 @@ def near_duplicates(docs: DataFrame, words: int = 3, blocks: int = 1) -> DataFra
     roots = components(found)
     named = groups.join(roots.withColumnRenamed("node", "g"), "g", "left").withColumn("root", F.coalesce("root", "g"))
     names = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    by_fps = named.join(names, "root").select("fps", "component_id")
-    return docs_fps.join(by_fps, "fps").select("doc_id", "fps", "component_id")
+    by_fps = named.join(names, "root").select("fps", "component_id", "root")
+    return docs_fps.join(by_fps, "fps").select(*docs_fps.columns, "component_id", "root")
 
 
 def one_of_each(docs: DataFrame, words: int = 5, blocks: int = 8) -> DataFrame:
-    """One document of each near-duplicate group stays: the one of least doc_id (rows of one id:
-    the first by hash of all columns). Rows of null doc_id can't be named, so they stay. Shingles of five words; with
+    """One document of each near-duplicate group stays: the one of least doc_id (of several: the first by hash of all
+    columns), so unlike rows of one id all stay. Rows of null doc_id can't be named, so they stay. Shingles of five words; with
     eight fingerprints, copies of similarity 0.98, 0.95, 0.9 and 0.8 were linked in 1.00, 0.96, 0.60 and 0.06 of cases."""
     columns = docs.columns
     rows = docs.withColumn("__tie", F.xxhash64(*[F.col(f"`{c}`") for c in columns]))
-    found = near_duplicates(docs.select("doc_id", "text"), words, blocks).where("doc_id = component_id").select("doc_id").distinct()
-    # rows of one id: the first by hash of all columns; narrow columns settle it, so the texts move once
-    first = rows.select("doc_id", "__tie").join(found, "doc_id", "left_semi").groupBy("doc_id").agg(F.min("__tie").alias("__tie"))
+    found = near_duplicates(rows.select("doc_id", "text", "__tie"), words, blocks).where("doc_id is not null")
+    # narrow columns settle it, so the texts move once
+    first = found.groupBy("root").agg(F.min(F.struct("doc_id", "__tie")).alias("m")).select("m.doc_id", "m.__tie")
     kept = rows.join(first, ["doc_id", "__tie"], "left_semi").dropDuplicates(["doc_id", "__tie"])
     return kept.unionByName(rows.where("doc_id is null")).select(*columns)
 

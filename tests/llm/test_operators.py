@@ -199,6 +199,12 @@ def test_edited_copies_by_any_of_eight_fingerprints(spark):
     assert sorted(r["doc_id"] for r in simhash.one_of_each(df).collect()) == [0, 2, 4, 6, 8, 10]
 
 
+def test_unlike_rows_of_one_id_stay(spark):
+    other = " ".join(f"w{i}" for i in range(50))
+    df = spark.createDataFrame([(5, EN), (5, other), (5, other), (6, EN), (7, DE)], "doc_id long, text string")
+    assert sorted((r["doc_id"], r["text"]) for r in simhash.one_of_each(df).collect()) == sorted([(5, EN), (5, other), (7, DE)])
+
+
 # --- 4 substring dedup
 
 
