@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
 import uuid
@@ -46,6 +47,13 @@ def written(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark drop the shuffle files of plans that nothing refers to any more; it does so when the driver's heap is
+    collected, which a large one rarely is."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def small_batches(spark: SparkSession, rows: int = 1000) -> None:
     """Bound the Arrow batches that Python workers get, as a single text may be very long, and let workers import
     this package where it lies (a cluster gets it by --py-files)."""

@@ -27,18 +27,16 @@ def _small(edges: DataFrame) -> DataFrame:
     return met.select(F.col("b").alias("a"), F.col("m").alias("b")).where("a != b").unionByName(least.select("a", F.col("m").alias("b"))).distinct()
 
 
-def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
-    """``edges`` (a, b of one orderable type) to (node, root): the least node of each component. A node without
-    a link doesn't occur."""
+def components(edges: DataFrame) -> DataFrame:
+    """``edges`` (a, b of one orderable type, structs too) to (node, root): the least node of each component. A node
+    without a link doesn't occur. It ends when a round changes nothing."""
     now = edges.select("a", "b").where("a is not null and b is not null and a != b").distinct()
     stamp = None
-    for k in range(rounds):
+    while True:
         now = common.written(_small(_large(now)), "star")
         seen = now.agg(F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("s")).first()
         if stamp == tuple(seen):
             break
         stamp = tuple(seen)
-    else:
-        raise RuntimeError(f"components did not settle in {rounds} rounds")
     roots = now.select(F.col("a").alias("node"), F.col("b").alias("root"))
     return roots.unionByName(roots.select(F.col("root").alias("node"), "root").distinct())

@@ -1,24 +1,27 @@
 """Near-duplicate documents by SimHash, with pigeonring filtering.
 
-Fingerprint: 64 bits, each set where over half of the text's word shingles have it set in their XXH64. Two
-fingerprints link at ``radius`` or fewer differing bits.
-
-Search. The 64 bits are a ring of 8 segments of 8 bits. If two fingerprints differ in at most 3 bits, there is a
-segment i from which every chain of l consecutive segments differs in at most ``floor(3 l / 8)`` bits (the
-pigeonring principle): 0, 0, 1, 1, 1, 2, 2, 3 for l = 1 to 8. So the segments i and i + 1 are equal, and of
-i + 2, i + 3, i + 4 at most one differs: 8 starts times 3 choices give 24 keys of 32 bits by which all partners
-meet. Rows that meet are tested against the chain's budgets, the last of which is the full Hamming check.
-
-For edited copies, ``near_duplicates`` takes several independent fingerprints (blocks) and links by any of them.
-
-Only distinct fingerprints are searched. Keys that few of them share are dealt with in one row; a key that many
-share is dealt out in chunks (salted), each pair of chunks is tested in one vectorised step, and of the links
-found only a spanning forest leaves that step, so neither links nor memory grow with the square of a group.
-Links become classes in ``components``; only the classes matter, and no link between two is lost.
+Fingerprint: blocks of 64 bits, each bit set where over half of the text's word shingles have it set in their hash
+(XXH64; further blocks mix it again). Two texts link if their fingerprints differ in at most ``radius`` bits a block,
+over all blocks together: 3 of 64 with one block, 132 of 768 with twelve, which is where texts lie whose five-word
+shingles are about 0.78 alike.
+
+Search. A block is a ring of 8 segments of 8 bits. If two fingerprints differ in at most ``radius`` bits a block, some
+block does, and in it there is a segment i from which every chain of l consecutive segments differs in at most
+``floor(radius l / 8)`` bits (the pigeonring principle). With radius 3 the budgets are 0, 0, 1, 1, 1, 2, 2, 3: the segments
+i and i + 1 are equal, and of i + 2, i + 3, i + 4 at most one differs: 8 starts times 3 choices give 24 keys of 32 bits
+by which all partners meet, so the search with one block is exact. With more blocks the same keys find the pairs that
+have such a chain in any block, which isn't all of them: README has the recall by similarity. What meets is held
+against the chains' budgets, then against the full Hamming distance.
+
+Only distinct fingerprints are searched, in two steps, so that a key that thousands share costs no square:
+1. by each key, every fingerprint meets the key's least one (a star), and links make components;
+2. where a key's fingerprints still lie in several components, those outside the key's largest component meet all of
+   other components. Pairs inside one component can't change it, so no link is lost.
 
 Defined cases: null text counts as empty; a text without words has fingerprint 0, linked like any other; a text of
 fewer words than a shingle is one shingle; repeated rows give repeated result rows; a null doc_id is never a
-component's name unless all ids of the component are null; extra columns are ignored.
+component's name unless all ids of the component are null; rows of one doc_id and unlike texts are told apart; extra
+columns are ignored.
 """
 
 from __future__ import annotations
@@ -35,14 +38,10 @@ from . import common
 from .components import components
 
 SEGMENTS, WIDTH, RADIUS = 8, 8, 3
-#: Differing bits allowed to a chain of 1 to 8 segments.
-BUDGET = [RADIUS * n // SEGMENTS for n in range(1, SEGMENTS + 1)]
-#: Fingerprints in a chunk of a key that many share.
-CHUNK = 256
-
-
+#: Of edited copies: differing bits allowed a block, blocks, and how many of them are searched at once.
+NEAR, BLOCKS, AT_ONCE = 11, 12, 3
 #: Constants by which further fingerprints of a text derive their hashes from the first one's.
-_SEEDS = [0] + [(0x9E3779B97F4A7C15 * (2 * k + 1)) & ((1 << 64) - 1) for k in range(1, 10)]
+_SEEDS = [0] + [(0x9E3779B97F4A7C15 * (2 * k + 1)) & ((1 << 64) - 1) for k in range(1, 64)]
 
 
 def fingerprint(data: bytes | None, words: int = 3, blocks: int = 1) -> int | list[int]:
@@ -52,16 +51,13 @@ def fingerprint(data: bytes | None, words: int = 3, blocks: int = 1) -> int | li
         return 0 if blocks == 1 else [0] * blocks
     grams = map(b" ".join, zip(*(w[k:] for k in range(words)), strict=False)) if len(w) >= words else [b" ".join(w)]
     h = np.fromiter((xxhash.xxh64_intdigest(g, 42) for g in grams), np.uint64)
-    out = []
-    for k in range(blocks):
-        counts = np.zeros(64, np.int64)
-        for at in range(0, len(h), 65280):  # 256 times 255
-            part = h[at : at + 65280] if k == 0 else common.mix64(h[at : at + 65280] ^ np.uint64(_SEEDS[k]))
-            full = np.zeros(-(-len(part) // 255) * 255, np.uint64)
-            full[: len(part)] = part
-            bits = np.unpackbits(full.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-            counts += bits.reshape(-1, 255, 64).sum(1, dtype=np.uint8).sum(0, dtype=np.int64)
-        out.append(int(np.packbits(counts * 2 > len(h), bitorder="little").view(np.uint64)[0]))
+    seeds, counts = np.array(_SEEDS[1:blocks], np.uint64), np.zeros(64 * blocks, np.int64)
+    for at in range(0, len(h), 255):  # as many as a byte counts
+        first = h[at : at + 255, None]
+        part = np.concatenate([first, common.mix64(first ^ seeds)], axis=1) if blocks > 1 else first
+        bits = np.unpackbits(np.ascontiguousarray(part).view(np.uint8), axis=1, bitorder="little")
+        counts += bits.sum(0, dtype=np.uint8)
+    out = np.packbits(counts * 2 > len(h), bitorder="little").view(np.uint64).tolist()
     return out[0] if blocks == 1 else out
 
 
@@ -93,120 +89,99 @@ def ring_keys(fp: F.Column, block: F.Column) -> F.Column:
     return F.array(*out)
 
 
-def _near(x: np.ndarray, y: np.ndarray, start: int) -> np.ndarray:
-    """Which of the pairs hold every chain's budget from the segment ``start`` on, so differ in 3 bits at most."""
-    d = x ^ y
-    d = (d >> np.uint64(WIDTH * start)) | (d << np.uint64((64 - WIDTH * start) % 64)) if start else d
-    ok = np.ones(d.shape, bool)
-    for n in range(2, SEGMENTS + 1):
-        mask = np.uint64((1 << (WIDTH * n)) - 1)
-        ok &= np.bitwise_count(d & mask) <= BUDGET[n - 1]
-    return ok
-
-
-def _forest(x: np.ndarray, y: np.ndarray, start: int) -> list[tuple[int, int]]:
-    """A spanning forest of the links between x and y, or within x where both are the same."""
-    adj = _near(x[:, None], y[None, :], start)
-    rows, cols = np.arange(len(x)), len(x) + np.arange(len(y))
-    while True:  # labels sink to the least of each component
-        low_r = np.minimum(rows, np.where(adj, cols[None, :], 1 << 30).min(1, initial=1 << 30))
-        low_c = np.minimum(cols, np.where(adj, low_r[:, None], 1 << 30).min(0, initial=1 << 30))
-        if (low_r == rows).all() and (low_c == cols).all():
-            break
-        rows, cols = low_r, low_c
-    every = np.concatenate([x, y])
-    links = [(every[i], every[r]) for i, r in enumerate(np.concatenate([rows, cols])) if every[i] != every[r]]
-    return links
-
-
-def links(distinct: DataFrame) -> DataFrame:
-    """(block, a, b) of distinct fingerprints (columns block, fp): pairs within a block that connect just what links of at most 3 bits connect. In a
-    crowded key a pair may stand for a chain of links."""
-    spark = distinct.sparkSession
-    keyed = distinct.select("fp", F.explode(ring_keys(F.col("fp"), F.col("block"))).alias("key"))
-    shared = keyed.groupBy("key").agg(F.count("*").alias("n"), F.min("fp").alias("lo"), F.max("fp").alias("hi")).where("n > 1")
-    shared = common.written(shared, "ring-keys")
-    pairs = shared.where("n = 2").select(F.lit(None).cast("array<bigint>").alias("x"), F.lit(None).cast("array<bigint>").alias("y"), "key", "lo", "hi")
-    # a key that more share: its fingerprints in chunks, every two chunks in one row
-    many = keyed.join(shared.where("n > 2").select("key", "n"), "key").select(
-        "key", "fp", F.ceil(F.col("n") / CHUNK).cast("int").alias("chunks"))
-    many = many.withColumn("c", F.pmod(F.xxhash64("fp"), F.col("chunks")).cast("int"))
-    met = many.select("key", "fp", "c", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("o"))
-    low, high = F.least("c", "o"), F.greatest("c", "o")
-    blocks = met.groupBy("key", low.alias("low"), high.alias("high")).agg(
-        F.collect_list(F.when(F.col("c") == low, F.col("fp"))).alias("x"),
-        F.collect_list(F.when((F.col("c") == high) & (F.col("c") != low), F.col("fp"))).alias("y"))
-    blocks = blocks.select("x", "y", "key", F.lit(None).cast("bigint").alias("lo"), F.lit(None).cast("bigint").alias("hi"))
-    common.small_batches(spark)
+def _chained(x: F.Column, radius: int) -> F.Column:
+    """Whether some start in one block has every chain within its budget; ``x``: the block's differing bits."""
+    starts = []
+    for i in range(SEGMENTS):
+        turned = x if i == 0 else F.shiftrightunsigned(x, WIDTH * i).bitwiseOR(F.shiftleft(x, 64 - WIDTH * i))
+        within = [F.bit_count(turned.bitwiseAND(F.lit((1 << WIDTH * n) - 1).cast("long"))) <= radius * n // SEGMENTS for n in range(1, SEGMENTS)]
+        starts.append(reduce(lambda p, q: p & q, within) & (F.bit_count(x) <= radius))
+    return reduce(lambda p, q: p | q, starts)
 
-    def run(batches):
-        for b in batches:
-            a, z, blk = [], [], []
-            lo, hi, key = (b.column(c) for c in ("lo", "hi", "key"))
-            plain = np.flatnonzero(np.asarray(lo.is_valid()))
-            if len(plain):
-                at = pa.array(plain)
-                u, v = (c.take(at).to_numpy().view(np.uint64) for c in (lo, hi))
-                k = key.take(at).to_numpy() >> 40
-                for s in range(SEGMENTS):
-                    own = k % 24 // 3 == s
-                    ok = _near(u[own], v[own], s)
-                    a.append(u[own][ok]), z.append(v[own][ok]), blk.append(k[own][ok] // 24)
-            x, y = b.column("x"), b.column("y")
-            for i in np.flatnonzero(np.asarray(x.is_valid())):
-                p = x[i].values.to_numpy().view(np.uint64)
-                q = y[i].values.to_numpy().view(np.uint64)
-                k = key[i].as_py() >> 40
-                got = _forest(p, q if len(q) else p, k % 24 // 3)
-                if got:
-                    e = np.array(got, np.uint64)
-                    a.append(e[:, 0]), z.append(e[:, 1]), blk.append(np.full(len(e), k // 24))
-            a, z = (np.concatenate(v) if v else np.zeros(0, np.uint64) for v in (a, z))
-            blk = np.concatenate(blk).astype(np.int32) if blk else np.zeros(0, np.int32)
-            yield pa.RecordBatch.from_arrays([pa.array(blk), pa.array(a.view(np.int64)), pa.array(z.view(np.int64))], ["block", "a", "b"])
-
-    return pairs.unionByName(blocks).mapInArrow(run, "block int, a long, b long")
-
-
-def _block_links(groups: DataFrame, k: int) -> DataFrame:
-    """(a, b) of the groups (g, fps) that fingerprint ``k`` links, written to the shared folder."""
-    own = groups.select("g", F.col("fps")[k].alias("fp"))
-    hubs = common.written(own.groupBy("fp").agg(F.min("g").alias("hub"), F.count("*").alias("n")), "simhash-hubs")
-    same = own.join(hubs.where("n > 1"), "fp").where("g != hub").select(F.col("g").alias("a"), F.col("hub").alias("b"))
-    met = common.written(links(hubs.select(F.lit(k).alias("block"), "fp")).select("a", "b").distinct(), "simhash-links")
-    at = lambda c: hubs.select(F.col("fp").alias(c), F.col("hub").alias(f"h{c}"))
-    near = met.join(at("a"), "a").join(at("b"), "b").select(F.col("ha").alias("a"), F.col("hb").alias("b"))
-    return common.written(same.unionByName(near), "simhash-edges")
+
+def _distance(x: F.Column, y: F.Column, blocks: int) -> F.Column:
+    return reduce(lambda p, q: p + q, [F.bit_count(x[k].bitwiseXOR(y[k])) for k in range(blocks)])
+
+
+def _near(x: F.Column, y: F.Column, blocks: int, radius: int) -> F.Column:
+    """Chains first, then the full Hamming check."""
+    chained = F.exists(F.zip_with(x, y, lambda p, q: p.bitwiseXOR(q)), lambda d: _chained(d, radius))
+    return chained & (_distance(x, y, blocks) <= radius * blocks)
+
+
+def _linked(pairs: DataFrame, groups: DataFrame, blocks: int, radius: int) -> DataFrame:
+    """(a, b): the groups' nodes of those pairs (of g) that are near."""
+    at = lambda c: groups.select(F.col("g").alias(c), F.col("fps").alias(f"f{c}"), F.col("node").alias(f"n{c}"))
+    met = pairs.join(at("a"), "a").join(at("b"), "b")
+    return met.where(_near(F.col("fa"), F.col("fb"), blocks, radius)).select(F.col("na").alias("a"), F.col("nb").alias("b"))
+
+
+def _stars(groups: DataFrame, part: range, blocks: int, radius: int) -> tuple[DataFrame, DataFrame]:
+    """For the keys of some blocks: links of each key's fingerprints to its least one, and (key, g) of the keys that
+    more than two share. Both are written."""
+    own = F.array(*[F.struct(F.lit(k).alias("block"), F.col("fps")[k].alias("fp")) for k in part])
+    keyed = groups.select("g", F.explode(own).alias("o")).select("g", F.explode(ring_keys(F.col("o.fp"), F.col("o.block"))).alias("key"))
+    shared = keyed.groupBy("key").agg(F.count("*").alias("n"), F.min("g").alias("lo"), F.max("g").alias("hi")).where("n > 1")
+    shared = common.written(shared, "ring-keys")
+    members = common.written(keyed.join(shared.where("n > 2").select("key", "lo"), "key"), "ring-members")
+    two = shared.where("n = 2").select(F.col("lo").alias("a"), F.col("hi").alias("b"))
+    more = members.where("g != lo").select(F.col("lo").alias("a"), F.col("g").alias("b"))
+    found = _linked(two.unionByName(more).distinct(), groups, blocks, radius)
+    return common.written(found, "star-links"), members.select("key", "g")
+
+
+def _across(groups: DataFrame, members: DataFrame, roots: DataFrame, blocks: int, radius: int) -> DataFrame:
+    """Links between groups of different components that share a key of more than two."""
+    named = groups.join(roots, "node", "left").select("g", "fps", F.xxhash64(F.coalesce("root", "node")).alias("c"))
+    rows = members.join(named.select("g", "c"), "g")
+    sizes = rows.groupBy("key", "c").agg(F.count("*").alias("n"))
+    mixed = sizes.groupBy("key").agg(F.max_by("c", "n").alias("major"), F.count("*").alias("parts")).where("parts > 1").drop("parts")
+    left = common.written(rows.join(mixed, "key"), "mixed-keys").join(named.select("g", "fps"), "g")
+    x = left.where("c != major").select("key", F.col("g").alias("a"), F.col("c").alias("ca"), F.col("fps").alias("fa"))
+    y = left.select("key", F.col("g").alias("b"), F.col("c").alias("cb"), F.col("fps").alias("fb"), "major")
+    once = (F.col("cb") == F.col("major")) | (F.col("a") < F.col("b"))
+    near = _distance(F.col("fa"), F.col("fb"), blocks) <= radius * blocks
+    met = x.join(y, (x["key"] == y["key"]) & (F.col("ca") != F.col("cb")) & once & near)
+    return common.written(_linked(met.select("a", "b").distinct(), groups, blocks, radius), "cross-links")
+
+
+def _searched(fps: DataFrame, blocks: int) -> tuple[DataFrame, DataFrame]:
+    """The distinct fingerprints (fps, g, node) of (doc_id, __tie, fps), and (node, root) of those that have a link. A
+    node is the least of a fingerprint's rows, so a component's root is the least of its rows."""
+    radius = RADIUS if blocks == 1 else NEAR
+    node = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", F.col("__tie").alias("tie"))
+    g = F.col("fps")[0] if blocks == 1 else F.xxhash64("fps")
+    groups = common.written(fps.groupBy("fps").agg(F.min(node).alias("node")).withColumn("g", g), "simhash-groups")
+    links, members = [], []
+    for at in range(0, blocks, AT_ONCE):
+        found, shared = _stars(groups, range(at, min(at + AT_ONCE, blocks)), blocks, radius)
+        links.append(found), members.append(shared)
+        common.release(fps.sparkSession)
+    roots = components(reduce(DataFrame.unionByName, links))
+    more = _across(groups, reduce(DataFrame.unionByName, members), roots, blocks, radius)
+    if not more.isEmpty():
+        roots = components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more))
+    return groups, roots
 
 
 def near_duplicates(docs: DataFrame, words: int = 3, blocks: int = 1) -> DataFrame:
-    """(doc_id, fps, component_id, root): the fingerprints, the least doc_id of all that links reach, and the component. With several blocks
-    (independent fingerprints) two texts link if any block does: an edited copy whose first fingerprint drifts a bit
-    too far is caught by another. Blocks are searched one after another, so memory doesn't grow with their number."""
-    docs_fps = common.written(fingerprints(docs, words, blocks), "simhash")
-    groups = common.written(docs_fps.groupBy("fps").agg(F.min("doc_id").alias("least")).withColumn("g", F.xxhash64("fps") if blocks > 1 else F.col("fps")[0]), "simhash-groups")
-    if blocks == 1:
-        found = links(groups.select(F.lit(0).alias("block"), F.col("g").alias("fp"))).select("a", "b")
-    else:
-        found = reduce(DataFrame.unionByName, [_block_links(groups, k) for k in range(blocks)])
-    roots = components(found)
-    named = groups.join(roots.withColumnRenamed("node", "g"), "g", "left").withColumn("root", F.coalesce("root", "g"))
-    names = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    by_fps = named.join(names, "root").select("fps", "component_id", "root")
-    return docs_fps.join(by_fps, "fps").select(*docs_fps.columns, "component_id", "root")
-
-
-def one_of_each(docs: DataFrame, words: int = 5, blocks: int = 8) -> DataFrame:
+    """(doc_id, fps, component_id): the fingerprints, and the least doc_id of all that links reach."""
+    fps = common.written(fingerprints(docs, words, blocks), "simhash")
+    groups, roots = _searched(fps.withColumn("__tie", F.xxhash64("fps")), blocks)
+    names = groups.join(roots, "node", "left").select("fps", F.coalesce("root.doc_id", "node.doc_id").alias("component_id"))
+    return fps.join(names, "fps").select("doc_id", "fps", "component_id")
+
+
+def one_of_each(docs: DataFrame, words: int = 5, blocks: int = BLOCKS) -> DataFrame:
     """One document of each near-duplicate group stays: the one of least doc_id (of several: the first by hash of all
-    columns), so unlike rows of one id all stay. Rows of null doc_id can't be named, so they stay. Shingles of five words; with
-    eight fingerprints, copies of similarity 0.98, 0.95, 0.9 and 0.8 were linked in 1.00, 0.96, 0.60 and 0.06 of cases."""
+    columns), so unlike rows of one id all stay. Rows of null doc_id can't be named, so they stay."""
     columns = docs.columns
     rows = docs.withColumn("__tie", F.xxhash64(*[F.col(f"`{c}`") for c in columns]))
-    found = near_duplicates(rows.select("doc_id", "text", "__tie"), words, blocks).where("doc_id is not null")
+    groups, roots = _searched(common.written(fingerprints(rows.select("doc_id", "text", "__tie"), words, blocks), "simhash"), blocks)
     # narrow columns settle it, so the texts move once
-    first = found.groupBy("root").agg(F.min(F.struct("doc_id", "__tie")).alias("m")).select("m.doc_id", "m.__tie")
-    kept = rows.join(first, ["doc_id", "__tie"], "left_semi").dropDuplicates(["doc_id", "__tie"])
-    return kept.unionByName(rows.where("doc_id is null")).select(*columns)
+    first = groups.select("node").join(roots.where("node != root"), "node", "left_anti").select("node.doc_id", F.col("node.tie").alias("__tie"))
+    kept = rows.join(first.where("doc_id is not null"), ["doc_id", "__tie"], "left_semi").dropDuplicates(["doc_id", "__tie"])
+    return kept.unionByName(rows.where("doc_id is null")).select(*[F.col(f"`{c}`") for c in columns])
 
 
 def query(spark, sf_dir):
