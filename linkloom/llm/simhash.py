@@ -40,6 +40,8 @@ from .components import components
 SEGMENTS, WIDTH, RADIUS = 8, 8, 3
 #: Of edited copies: differing bits allowed a block, blocks, and how many of them are searched at once.
 NEAR, BLOCKS, AT_ONCE = 11, 12, 3
+#: Rows of keys that more than two fingerprints share, up to which they are sent to every task instead of shuffling all keys again.
+BROADCAST_ROWS = 500_000
 #: Constants by which further fingerprints of a text derive their hashes from the first one's.
 _SEEDS = [0] + [(0x9E3779B97F4A7C15 * (2 * k + 1)) & ((1 << 64) - 1) for k in range(1, 64)]
 
@@ -109,40 +111,51 @@ def _near(x: F.Column, y: F.Column, blocks: int, radius: int) -> F.Column:
     return chained & (_distance(x, y, blocks) <= radius * blocks)
 
 
-def _linked(pairs: DataFrame, groups: DataFrame, blocks: int, radius: int) -> DataFrame:
-    """(a, b): the groups' nodes of those pairs (of g) that are near."""
+def _held(pairs: DataFrame, groups: DataFrame, blocks: int, radius: int) -> DataFrame:
+    """``pairs`` (a, b: two g) with the groups' nodes (na, nb) and whether they are ``near``."""
     at = lambda c: groups.select(F.col("g").alias(c), F.col("fps").alias(f"f{c}"), F.col("node").alias(f"n{c}"))
     met = pairs.join(at("a"), "a").join(at("b"), "b")
-    return met.where(_near(F.col("fa"), F.col("fb"), blocks, radius)).select(F.col("na").alias("a"), F.col("nb").alias("b"))
+    return met.select("a", "b", "na", "nb", _near(F.col("fa"), F.col("fb"), blocks, radius).alias("near"))
+
+
+def _few(df: DataFrame) -> DataFrame:
+    """Broadcast where a count proves it small; otherwise Spark shuffles both sides."""
+    return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
 
 
 def _stars(groups: DataFrame, part: range, blocks: int, radius: int) -> tuple[DataFrame, DataFrame]:
-    """For the keys of some blocks: links of each key's fingerprints to its least one, and (key, g) of the keys that
-    more than two share. Both are written."""
+    """For the keys of some blocks: each key's fingerprints against its least one (a, b, na, nb, near), and (key, lo, g) of
+    the keys that more than two share. Both are written."""
     own = F.array(*[F.struct(F.lit(k).alias("block"), F.col("fps")[k].alias("fp")) for k in part])
     keyed = groups.select("g", F.explode(own).alias("o")).select("g", F.explode(ring_keys(F.col("o.fp"), F.col("o.block"))).alias("key"))
     shared = keyed.groupBy("key").agg(F.count("*").alias("n"), F.min("g").alias("lo"), F.max("g").alias("hi")).where("n > 1")
     shared = common.written(shared, "ring-keys")
-    members = common.written(keyed.join(shared.where("n > 2").select("key", "lo"), "key"), "ring-members")
+    members = common.written(keyed.join(_few(shared.where("n > 2").select("key", "lo")), "key").where("g != lo"), "ring-members")
     two = shared.where("n = 2").select(F.col("lo").alias("a"), F.col("hi").alias("b"))
-    more = members.where("g != lo").select(F.col("lo").alias("a"), F.col("g").alias("b"))
-    found = _linked(two.unionByName(more).distinct(), groups, blocks, radius)
-    return common.written(found, "star-links"), members.select("key", "g")
-
-
-def _across(groups: DataFrame, members: DataFrame, roots: DataFrame, blocks: int, radius: int) -> DataFrame:
-    """Links between groups of different components that share a key of more than two."""
+    more = members.select(F.col("lo").alias("a"), F.col("g").alias("b"))
+    return common.written(_held(two.unionByName(more).distinct(), groups, blocks, radius), "stars"), members
+
+
+def _across(groups: DataFrame, held: DataFrame, members: DataFrame, roots: DataFrame, blocks: int, radius: int) -> DataFrame:
+    """(a, b): links between fingerprints of different components that share a key of more than two. Such a key has one that
+    isn't near the key's least one, nor in its component."""
+    of = lambda c: roots.select(F.col("node").alias(f"n{c}"), F.col("root").alias(f"r{c}"))
+    apart = held.where("not near").join(of("a"), "na", "left").join(of("b"), "nb", "left")
+    apart = apart.where(F.coalesce("ra", "na") != F.coalesce("rb", "nb")).select(F.col("a").alias("lo"), F.col("b").alias("g")).distinct()
+    mixed = members.join(apart, ["lo", "g"], "left_semi").select("key").distinct()
+    own = members.join(mixed, "key", "left_semi")
+    all_ = own.select("key", "g").unionByName(own.select("key", F.col("lo").alias("g")).distinct())
     named = groups.join(roots, "node", "left").select("g", "fps", F.xxhash64(F.coalesce("root", "node")).alias("c"))
-    rows = members.join(named.select("g", "c"), "g")
+    rows = common.written(all_.join(named, "g"), "mixed-keys")
     sizes = rows.groupBy("key", "c").agg(F.count("*").alias("n"))
-    mixed = sizes.groupBy("key").agg(F.max_by("c", "n").alias("major"), F.count("*").alias("parts")).where("parts > 1").drop("parts")
-    left = common.written(rows.join(mixed, "key"), "mixed-keys").join(named.select("g", "fps"), "g")
-    x = left.where("c != major").select("key", F.col("g").alias("a"), F.col("c").alias("ca"), F.col("fps").alias("fa"))
-    y = left.select("key", F.col("g").alias("b"), F.col("c").alias("cb"), F.col("fps").alias("fb"), "major")
+    rows = rows.join(sizes.groupBy("key").agg(F.max_by("c", "n").alias("major")), "key")
+    x = rows.where("c != major").select("key", F.col("g").alias("a"), F.col("c").alias("ca"), F.col("fps").alias("fa"))
+    y = rows.select("key", F.col("g").alias("b"), F.col("c").alias("cb"), F.col("fps").alias("fb"), "major")
     once = (F.col("cb") == F.col("major")) | (F.col("a") < F.col("b"))
     near = _distance(F.col("fa"), F.col("fb"), blocks) <= radius * blocks
     met = x.join(y, (x["key"] == y["key"]) & (F.col("ca") != F.col("cb")) & once & near)
-    return common.written(_linked(met.select("a", "b").distinct(), groups, blocks, radius), "cross-links")
+    found = _held(met.select("a", "b").distinct(), groups, blocks, radius).where("near")
+    return common.written(found.select(F.col("na").alias("a"), F.col("nb").alias("b")), "cross-links")
 
 
 def _searched(fps: DataFrame, blocks: int) -> tuple[DataFrame, DataFrame]:
@@ -152,13 +165,14 @@ def _searched(fps: DataFrame, blocks: int) -> tuple[DataFrame, DataFrame]:
     node = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", F.col("__tie").alias("tie"))
     g = F.col("fps")[0] if blocks == 1 else F.xxhash64("fps")
     groups = common.written(fps.groupBy("fps").agg(F.min(node).alias("node")).withColumn("g", g), "simhash-groups")
-    links, members = [], []
+    held, members = [], []
     for at in range(0, blocks, AT_ONCE):
-        found, shared = _stars(groups, range(at, min(at + AT_ONCE, blocks)), blocks, radius)
-        links.append(found), members.append(shared)
+        one, two = _stars(groups, range(at, min(at + AT_ONCE, blocks)), blocks, radius)
+        held.append(one), members.append(two)
         common.release(fps.sparkSession)
-    roots = components(reduce(DataFrame.unionByName, links))
-    more = _across(groups, reduce(DataFrame.unionByName, members), roots, blocks, radius)
+    held, members = (reduce(DataFrame.unionByName, x) for x in (held, members))
+    roots = components(held.where("near").select(F.col("na").alias("a"), F.col("nb").alias("b")))
+    more = _across(groups, held, members, roots, blocks, radius)
     if not more.isEmpty():
         roots = components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more))
     return groups, roots
