@@ -1,6 +1,7 @@
 """Language identification by string kernels.
 
-A text is the set of the 1- to 3-grams of letters that occur in it (blended spectrum, presence only), and the
+A text is the set of the 1- to 3-grams of its code points, lower-cased, with a blank for whatever is no letter
+(blended spectrum, presence only; grams of blanks alone don't count). Grams of any script are hashed to ``IDS`` ids. The
 kernel of two texts is the share they have in common, ``|A & B| / sqrt(|A| |B|)``. Landmark texts give the
 Nystroem approximation; one-versus-rest kernel ridge regression is solved on it. Documents are scored in
 batches: a presence matrix times the landmarks' matrix, then times the coefficients.
@@ -9,12 +10,14 @@ The model is fitted on the driver from a bounded sample: at most ``per_lang`` di
 language (those with the least text hash), whole texts. Everything else runs over all rows.
 
 Defined cases: a text that is null or has no letter is ``und`` with score 0; repeated rows get one result each;
-with no labelled rows every document is ``und``; rows of null ``doc_id`` are kept; other columns are ignored.
+with no labelled rows every document is ``und``; rows of null ``doc_id`` are kept; other columns are kept as they are, but
+columns named ``lang_pred`` and ``score`` are replaced.
 """
 
 from __future__ import annotations
 
 from collections import Counter
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -23,13 +26,18 @@ from pyspark.sql import functions as F
 
 from . import common
 
-A = 64  # letter classes: 0 is "no letter", A - 1 any letter outside the alphabet
-GRAMS = A + A**2 + A**3
+IDS = 1 << 19
+
+
+@lru_cache(1)
+def letters() -> np.ndarray:
+    """Which code points are letters."""
+    return np.array([chr(i).isalpha() for i in range(0x110000)])
 
 
 class KernelModel:
-    def __init__(self, langs, table, columns, landmarks, coef):
-        self.langs, self.table, self.columns, self.landmarks, self.coef = langs, table, columns, landmarks, coef
+    def __init__(self, langs, columns=None, landmarks=None, coef=None):
+        self.langs, self.columns, self.landmarks, self.coef = langs, columns, landmarks, coef
 
     def score(self, texts: list[str | None], rows: int = 256) -> tuple[list[str], np.ndarray]:
         """Language and score (the winner's share of the positive ridge outputs) of each text."""
@@ -41,7 +49,7 @@ class KernelModel:
             x, norm = np.zeros((len(part), self.landmarks.shape[1]), np.float32), np.ones(len(part), np.float32)
             real = np.zeros(len(part), bool)
             for i, t in enumerate(part):
-                g = presence(t, self.table)
+                g = presence(t)
                 if len(g):
                     c = self.columns[g]
                     x[i, c[c >= 0]] = 1
@@ -55,55 +63,41 @@ class KernelModel:
         return out, best
 
 
-def classes(text: str, table: np.ndarray) -> np.ndarray:
-    u = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), np.uint32)
-    return table[np.minimum(u, len(table) - 1)]
+_MIX = [np.uint64(k) for k in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
 
 
-def presence(text: str | None, table: np.ndarray) -> np.ndarray:
-    """Sorted ids of the 1-, 2- and 3-grams in the text; grams that start at no letter are left out."""
+def presence(text: str | None) -> np.ndarray:
+    """Sorted ids of the 1-, 2- and 3-grams in the text; none if it has no letter."""
     if not text:
         return np.zeros(0, np.int64)
-    c = classes(text, table).astype(np.int32)
-    if not c.any():
+    u = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), np.uint32)
+    u = np.where(letters()[u], u, 0)
+    if not u.any():
         return np.zeros(0, np.int64)
-    c = np.concatenate([[0], c, [0, 0]]).astype(np.int32)
-    seen = np.zeros(A**3, bool)
-    seen[(c[:-2] << 12) | (c[1:-1] << 6) | c[2:]] = True
-    tri = np.flatnonzero(seen)
-    bi = np.unique(tri >> 6)
-    uni = np.unique(tri >> 12)
-    return np.concatenate([uni[uni > 0], A + bi[bi > 0], A + A**2 + tri[tri > 0]])
-
-
-def alphabet(texts: list[str]) -> np.ndarray:
-    """Class of each code point below 2**16, the last entry for all above: the A - 2 most frequent letters of the
-    sample have their own, other letters share one, anything else is 0."""
-    count = Counter()
-    for t in texts:
-        count.update(t.lower())
-    letters = sorted((c for c in count if c.isalpha() and ord(c) < 65535), key=lambda c: (-count[c], c))[: A - 2]
-    table = np.array([A - 1 if chr(i).isalpha() else 0 for i in range(65536)], np.uint8)
-    table[65535] = A - 1
-    for k, c in enumerate(letters):
-        table[ord(c)] = k + 1
-    return table
+    seen = np.zeros(IDS, bool)
+    u = np.concatenate([[0], u, [0]]).astype(np.uint64)
+    gram, some = u * _MIX[0], u > 0
+    for n in (1, 2, 3):
+        seen[(common.mix64(gram[some]) >> np.uint64(45)).astype(np.int64)] = True
+        if n < 3:
+            gram = gram[:-1] + (u[n:] + np.uint64(1)) * _MIX[n]
+            some = some[:-1] | (u[n:] > 0)
+    return np.flatnonzero(seen)
 
 
 def fit(sample: list[tuple[str, str]], landmarks_per_lang: int = 32, ridge: float = 1e-3) -> KernelModel:
     """Fit on (text, lang) pairs, in the given order."""
-    table = alphabet([t for t, _ in sample])
-    sets = [(presence(t, table), lang) for t, lang in sample]
+    sets = [(presence(t), lang) for t, lang in sample]
     sets = [(g, lang) for g, lang in sets if len(g)]
     langs = sorted({lang for _, lang in sets})
     if not langs:
-        return KernelModel([], table, None, None, None)
+        return KernelModel([])
     chosen, taken = [], Counter()
     for g, lang in sets:
         if taken[lang] < landmarks_per_lang:
             taken[lang] += 1
             chosen.append(g)
-    columns = np.full(GRAMS, -1, np.int32)
+    columns = np.full(IDS, -1, np.int32)
     used = np.unique(np.concatenate(chosen))
     columns[used] = np.arange(len(used))
     z = np.zeros((len(chosen), len(used)), np.float32)
@@ -118,7 +112,7 @@ def fit(sample: list[tuple[str, str]], landmarks_per_lang: int = 32, ridge: floa
     weight = 1 / y.sum(0)[y.argmax(1)] / len(langs)  # each language counts alike
     left = knm.T @ (knm * weight[:, None]) + ridge * kmm / len(chosen) + 1e-9 * np.eye(len(chosen))
     coef = np.linalg.lstsq(left, knm.T @ (y * weight[:, None]), rcond=None)[0]
-    return KernelModel(langs, table, columns, z, coef.astype(np.float32))
+    return KernelModel(langs, columns, z, coef.astype(np.float32))
 
 
 def training_sample(docs: DataFrame, per_lang: int = 300) -> list[tuple[str, str]]:
@@ -146,7 +140,7 @@ def identify(docs: DataFrame, train: DataFrame, per_lang: int = 300, landmarks_p
     model = fit(training_sample(train, per_lang), landmarks_per_lang)
     sent = spark.sparkContext.broadcast(model)
     names = [c for c in docs.columns if c not in ("lang_pred", "score")]
-    base = docs.select(*names)
+    base = docs.select(*[F.col(f"`{c}`") for c in names])
     schema = common.extended(base, "lang_pred string, score double")
 
     def run(batches):
