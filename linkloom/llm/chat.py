@@ -1,18 +1,19 @@
 """Chat formatting with typed content parts, by DataFrame operations alone.
 
 A message's content is an array of parts, each text, image, audio or document. A visitor flattens them in order: text
-is escaped; any other part becomes a numbered placeholder, its reference is recorded, and the tokens it will expand to
-are counted by kind and units (tiles, seconds, pages).
+is escaped; any other part becomes a numbered placeholder ``<|kind:number|>``, its reference is recorded, and the tokens it
+will expand to are counted by kind and units (tiles, seconds, pages).
 
 Template: ``<|turn|>role\\ncontent<|end|>\\n`` for each turn, in order of ``turn`` (ties: by role, then content).
 Escaping writes ``&``, ``<`` and ``[`` as ``&amp;``, ``&lt;`` and ``&#91;`` (and a line break in a role as ``&#10;``),
 so neither this template's control strings nor those of others (``</s>``, ``[INST]``) can stand in a text, and it is
-undone exactly. The loss mask covers the content of assistant turns, escaped as it stands in the output.
+undone exactly. A kind is escaped in the same way, as are its ``|``, ``:`` and line breaks, so no kind can close its placeholder. The loss mask covers the content of assistant turns, escaped as it stands in the output.
 
 Each conversation is one output row; positions are running sums over its turns, made before the turns are gathered.
 
 Defined cases: null text is empty, null role is the empty role, null parts are no parts; a null conv_id is a
-conversation like any other; repeated rows are turns each; no rows give no conversation; other columns are ignored.
+conversation like any other; a part of null kind is text; a part of a kind that ``EXPANDS`` doesn't have is kept as a
+placeholder with null ``tokens``, which ``expanded_tokens`` counts as 0; repeated rows are turns each; no rows give no conversation; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -35,13 +36,21 @@ def unescape(text: Column) -> Column:
     return F.replace(plain, F.lit("&amp;"), F.lit("&"))
 
 
+def _kind(kind: Column) -> Column:
+    """A kind inside a placeholder."""
+    got = escape(kind)
+    for mark, code in (("|", "&#124;"), (":", "&#58;"), ("\n", "&#10;")):
+        got = F.replace(got, F.lit(mark), F.lit(code))
+    return got
+
+
 def text_parts(text: Column) -> Column:
     """Plain text as one part."""
     return F.array(F.struct(F.lit("text").alias("kind"), F.coalesce(text, F.lit("")).alias("text"), F.lit(None).cast("string").alias("ref"), F.lit(None).cast("int").alias("units"))).cast(PARTS)
 
 
 def _cost(part: Column) -> Column:
-    each = F.lit(0)
+    each = F.lit(None).cast("int")
     for kind, n in EXPANDS.items():
         each = F.when(part["kind"] == kind, F.lit(n)).otherwise(each)
     return (each * F.greatest(F.coalesce(part["units"], F.lit(1)), F.lit(0))).cast("long")
@@ -60,7 +69,7 @@ def format_conversations(messages: DataFrame, loss_roles: tuple[str, ...] = ("as
     rows = rows.withColumn("flat", F.array_join(F.transform("parts", lambda p: F.when(is_text(p), F.coalesce(p["text"], F.lit(""))).otherwise(F.lit(""))), ""))
     rows = rows.withColumn("k", F.coalesce(F.sum(F.size("files")).over(upto), F.lit(0)).cast("int")).withColumn("n", F.row_number().over(order) - 1)
     number = lambda i: F.size(F.filter(F.slice(F.col("parts"), F.lit(1), i + 1), lambda p: ~is_text(p))) + F.col("k")
-    content = F.array_join(F.transform("parts", lambda p, i: F.when(is_text(p), escape(F.coalesce(p["text"], F.lit("")))).otherwise(F.concat(F.lit("<|"), p["kind"], F.lit(":"), number(i).cast("string"), F.lit("|>")))), "")
+    content = F.array_join(F.transform("parts", lambda p, i: F.when(is_text(p), escape(F.coalesce(p["text"], F.lit("")))).otherwise(F.concat(F.lit("<|"), _kind(p["kind"]), F.lit(":"), number(i).cast("string"), F.lit("|>")))), "")
     head = F.concat(F.lit(TURN), F.replace(escape(F.col("role")), F.lit("\n"), F.lit("&#10;")), F.lit("\n"))
     rows = rows.withColumn("head", F.length(head)).withColumn("content", content)
     rows = rows.withColumn("segment", F.concat(head, F.col("content"), F.lit(END + "\n")))
@@ -72,7 +81,7 @@ def format_conversations(messages: DataFrame, loss_roles: tuple[str, ...] = ("as
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("n", "segment"))), lambda x: x["segment"]), "").alias("formatted"),
         F.array_sort(F.collect_list(F.when(F.col("role").isin(*loss_roles), span))).alias("loss"),
         F.array_sort(F.flatten(F.collect_list(files))).alias("attachments"),
-    ).withColumn("expanded_tokens", F.aggregate("attachments", F.lit(0).cast("long"), lambda s, a: s + a["tokens"]))
+    ).withColumn("expanded_tokens", F.aggregate("attachments", F.lit(0).cast("long"), lambda s, a: s + F.coalesce(a["tokens"], F.lit(0))))
 
 
 def segments(formatted: Column) -> Column:
@@ -85,7 +94,7 @@ def parse(segment: Column) -> Column:
     body = F.substring(segment, F.lit(len(TURN) + 1), F.length(segment) - len(TURN) - len(END) - 1)
     role = F.substring_index(body, "\n", 1)
     text = F.substring(body, F.length(role) + 2, F.length(body))
-    return F.struct(unescape(role).alias("role"), unescape(F.regexp_replace(text, r"<\|\w+:\d+\|>", "")).alias("text"))
+    return F.struct(unescape(role).alias("role"), unescape(F.regexp_replace(text, r"<\|[^|:<]*:\d+\|>", "")).alias("text"))
 
 
 def loss_text(segs: Column, loss: Column) -> Column:
