@@ -1,6 +1,8 @@
 """Benchmark decontamination: size-partitioned MinHash containment search, verified by exact shingle containment.
 
-Texts are lower-cased, ASCII punctuation goes, and the five-word shingles of what is left are hashed. Items are
+Texts are lower-cased, ASCII punctuation goes, and the five-word shingles of what is left are hashed. An item of fewer
+words is one shingle, its whole sequence; documents then have the shingles of that many words as well, so it is found
+wherever it stands word by word. Items are
 partitioned by the size of their shingle set (powers of two). An item's MinHash sketch is its k least hashes, and k
 follows from its partition: with at most u shingles, an item that a document contains to ``least`` misses at most
 ``u - ceil(least u)`` of them, so of one more least hashes at least one is in the document. The search looks the
@@ -10,7 +12,8 @@ whole set. No contained item is lost, and the long document's size plays no part
 All of it is DataFrame operations. The sketches are broadcast while they have at most ``BROADCAST_ROWS`` rows;
 beyond, the same join is left to Spark's shuffle joins.
 
-Defined cases: null texts and texts of fewer than five words (item or document) have no shingle and match nothing;
+Defined cases: null texts and texts without a word (item or document) have no shingle and match nothing; a very short item
+is found in every document that has its words in a row, so a one-word item matches all documents with that word;
 repeated rows of a document or item are compared each and count once; null ids are kept apart as ids of their own
 in the search but name no row of ``contained``; extra columns are ignored, or kept by ``clean``; an empty benchmark
 matches nothing.
@@ -18,7 +21,7 @@ matches nothing.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import common
@@ -28,20 +31,33 @@ BROADCAST_ROWS = 1_000_000
 _MARKS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
-def _shingled(rows: DataFrame, words: int) -> DataFrame:
-    """Adds ``w`` and ``h``: rows of at least ``words`` words only, as a descending sequence would not be empty."""
+def _words(rows: DataFrame) -> DataFrame:
+    """Adds ``w``, the words; rows without one go."""
     plain = F.translate(F.lower("text"), _MARKS, "")
     w = F.filter(F.split(plain, r"[\x20\x09-\x0D]+"), lambda x: x != "")
-    some = rows.where("text is not null").withColumn("w", w).where(F.size("w") >= words)
-    return some.select(*rows.columns, F.explode(F.transform(F.sequence(F.lit(1), F.size("w") - (words - 1)), lambda i: F.xxhash64(F.slice("w", i, words)))).alias("h"))
+    return rows.where("text is not null").withColumn("w", w).where(F.size("w") > 0)
+
+
+def _runs(n: int) -> Column:
+    """The hashes of all runs of n words of ``w``; a descending sequence would not be empty, so none where w is shorter."""
+    some = F.transform(F.sequence(F.lit(1), F.greatest(F.size("w") - (n - 1), F.lit(1))), lambda i: F.xxhash64(F.slice("w", i, n)))
+    return F.when(F.size("w") >= n, some).otherwise(F.array().cast("array<bigint>"))
+
+
+def _shingled(rows: DataFrame, sizes: list[int]) -> DataFrame:
+    """Adds ``h``, a row for each run of as many words as any of ``sizes``."""
+    runs = [_runs(n) for n in sizes] or [F.array().cast("array<bigint>")]
+    return _words(rows).select(*rows.columns, F.explode(runs[0] if len(runs) == 1 else F.concat(*runs)).alias("h"))
 
 
 def item_sketches(items: DataFrame, words: int = WORDS, least: float = LEAST) -> DataFrame:
-    """(item, size, hashes, sketch) of each distinct item; ``items``: item_id, text."""
-    sets = _shingled(items.select(F.col("item_id").alias("item"), "text").distinct(), words).groupBy("item", "text").agg(F.array_sort(F.collect_set("h")).alias("hashes"))
+    """(item, words, size, hashes, set_id, sketch) of each distinct item; ``items``: item_id, text. ``words``: those of a shingle."""
+    rows = _words(items.select(F.col("item_id").alias("item"), "text").distinct())
+    own = F.when(F.size("w") < words, F.array(F.xxhash64("w"))).otherwise(_runs(words))
+    sets = rows.select("item", F.least(F.size("w"), F.lit(words)).alias("words"), F.array_sort(F.array_distinct(own)).alias("hashes"))
     upper = F.pow(F.lit(2.0), F.floor(F.log2(F.size("hashes").cast("double"))) + 1) - 1
     k = (upper - F.ceil(upper * least) + 1).cast("int")
-    return sets.select("item", F.size("hashes").alias("size"), "hashes", F.expr("xxhash64(hashes)").alias("set_id"), k.alias("k")).withColumn("sketch", F.slice("hashes", 1, F.least("k", "size")))
+    return sets.select("item", "words", F.size("hashes").alias("size"), "hashes", F.expr("xxhash64(hashes)").alias("set_id"), k.alias("k")).withColumn("sketch", F.slice("hashes", 1, F.least("k", "size")))
 
 
 def _small(df: DataFrame) -> DataFrame:
@@ -53,13 +69,14 @@ def contained(docs: DataFrame, items: DataFrame, words: int = WORDS, least: floa
     """(doc_id, tag, item_id, n_shared, n_shingles): items that a document contains to ``least`` or more. ``tag`` is
     the text's hash, which tells rows of one id apart."""
     known = common.written(item_sketches(items, words, least), "item-sketches")
+    sizes = sorted(r["words"] for r in known.select("words").distinct().collect())  # 1 to ``words``
     rows = docs.select("doc_id", F.xxhash64("text").alias("tag"), "text")
     probe = known.select("item", "set_id", F.explode("sketch").alias("h"))
-    hits = _shingled(rows, words).select("doc_id", "tag", "h").join(_small(probe), "h").groupBy("doc_id", "tag").agg(F.collect_set("set_id").alias("sets"))
+    hits = _shingled(rows, sizes).select("doc_id", "tag", "h").join(_small(probe), "h").groupBy("doc_id", "tag").agg(F.collect_set("set_id").alias("sets"))
     hits = common.written(hits, "sketch-hits")
     met = _again(rows, hits)
     whole = known.select("item", "set_id", "size", F.explode("hashes").alias("h"))
-    shared = _shingled(met, words).join(_small(whole), "h").where(F.array_contains("sets", F.col("set_id")))
+    shared = _shingled(met, sizes).join(_small(whole), "h").where(F.array_contains("sets", F.col("set_id")))
     exact = shared.groupBy("doc_id", "tag", "item", "set_id", "size").agg(F.count_distinct("h").alias("n"))
     return exact.where(F.col("n") >= F.ceil(F.col("size") * least)).select("doc_id", "tag", F.col("item").alias("item_id"), F.col("n").alias("n_shared"), F.col("size").cast("long").alias("n_shingles"))
 
@@ -86,12 +103,13 @@ def query(spark, sf_dir):
 _MARKS_SQL = _MARKS.replace("'", "''")
 _WORDS_SQL = rf"list_filter(regexp_split_to_array(translate(lower(text), '{_MARKS_SQL}', ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')"
 ORACLE = f"""
-WITH d AS (
-  SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS s
-  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS i FROM (SELECT doc_id, {_WORDS_SQL} AS w FROM documents))
+WITH i AS (
+  SELECT item_id, w, least(len(w), 5) AS n FROM (SELECT item_id, {_WORDS_SQL} AS w FROM benchmark) WHERE len(w) > 0
+), d AS (
+  SELECT DISTINCT doc_id, array_to_string(w[k:k + n - 1], ' ') AS s
+  FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS k FROM (SELECT doc_id, {_WORDS_SQL} AS w FROM documents), (SELECT DISTINCT n FROM i))
 ), b AS (
-  SELECT DISTINCT item_id, array_to_string(w[i:i + 4], ' ') AS s
-  FROM (SELECT item_id, w, unnest(range(1, len(w) - 3)) AS i FROM (SELECT item_id, {_WORDS_SQL} AS w FROM benchmark))
+  SELECT DISTINCT item_id, array_to_string(w[k:k + n - 1], ' ') AS s FROM (SELECT item_id, w, n, unnest(range(1, len(w) - n + 2)) AS k FROM i)
 ), n AS (
   SELECT item_id, count(*) AS n_shingles FROM b GROUP BY item_id
 )
