@@ -1,6 +1,8 @@
 """Packing of documents into sequences by cutting-stock column generation.
 
-A document's tokens are cut into full sequences and a rest. The rests' lengths, in classes of ``STEP`` tokens, make a
+A document's tokens are cut into full sequences and a rest. Where rests of over half a sequence can't be packed tightly
+(their dual price in the program is above their volume, and the program's bound above the whole volume), those of such a
+class are cut once more, after half a sequence. The rests' lengths, in classes of ``STEP`` tokens, make a
 histogram (at most ``size / STEP`` classes, whatever the input). On it, a linear program over patterns (how many
 pieces of each class share a sequence) is solved by column generation: the revised simplex method keeps the basis,
 and an unbounded-knapsack dynamic program prices the next pattern. Patterns are rounded down; what is left of the
@@ -28,6 +30,8 @@ from . import common
 from .encoding import encoder
 
 STEP = 8
+#: Padding, as a share of the volume, from which rests of over half a sequence are cut.
+LOOSE = 0.005
 #: Chunks that a worker remembers: fewer than the encoder's default, as later stages run beside its table.
 REMEMBER = 300_000
 
@@ -56,9 +60,9 @@ def _patterns(sizes: np.ndarray, value: np.ndarray, room: int) -> tuple[float, n
     return float(best[room]), columns
 
 
-def solve(sizes: np.ndarray, demand: np.ndarray, room: int, slack: float = 5e-4, pivots: int = 12_000, smooth: float = 0.9) -> tuple[np.ndarray, np.ndarray]:
-    """Column generation for min sum(x), A x = demand, sizes ascending: the basis' patterns (a column each) and their
-    (fractional) numbers. Pricing is stabilised: it is done at a mix of the basis' duals and the best dual point so
+def solve(sizes: np.ndarray, demand: np.ndarray, room: int, slack: float = 5e-4, pivots: int = 12_000, smooth: float = 0.9) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Column generation for min sum(x), A x = demand, sizes ascending: the basis' patterns (a column each), their
+    (fractional) numbers and the duals, a price for each size. Pricing is stabilised: it is done at a mix of the basis' duals and the best dual point so
     far, which starts at the volumes. Each pricing yields many patterns, among which simplex pivots go on until none is
     worth more than 1. It ends within ``slack`` of the best lower bound that the dual points have proven. ``pivots``
     bounds the work; any basis is a valid packing."""
@@ -99,7 +103,30 @@ def solve(sizes: np.ndarray, demand: np.ndarray, room: int, slack: float = 5e-4,
             mix = mix / 2 if mix > 0.05 else 0.0
         else:
             mix = smooth
-    return basis, x
+    return basis, x, inverse.sum(0)
+
+
+def halved(histogram: dict[int, int], size: int = 2048) -> set[int]:
+    """The classes of over half a sequence whose pieces are to be cut after ``size / 2``, so that all pack tightly."""
+    cut: set[int] = set()
+    while True:
+        now = dict(histogram)
+        for c in cut:
+            n = now.pop(c)
+            for part in (size // 2, c - size // 2):
+                now[part] = now.get(part, 0) + n
+        now = {c: n for c, n in now.items() if n > 0}
+        if not now:
+            return cut
+        classes = np.array(sorted(now))
+        demand = np.array([now[c] for c in classes], float)
+        _, x, price = solve(classes // STEP, demand, size // STEP)
+        if x.sum() <= (1 + LOOSE) * (classes @ demand) / size:
+            return cut
+        over = {int(c) for c, p in zip(classes, price, strict=True) if size // 2 < c < size and p > (1 + LOOSE) * c / size}
+        if not over:
+            return cut
+        cut |= over
 
 
 def plan(histogram: dict[int, int], size: int = 2048) -> list[tuple[int, dict[int, int]]]:
@@ -109,7 +136,7 @@ def plan(histogram: dict[int, int], size: int = 2048) -> list[tuple[int, dict[in
     out: list[tuple[int, dict[int, int]]] = []
     if left:
         classes = np.array(sorted(left))
-        patterns, x = solve(classes // STEP, np.array([left[c] for c in classes], float), size // STEP)
+        patterns, x, _ = solve(classes // STEP, np.array([left[c] for c in classes], float), size // STEP)
         for j in np.argsort(-x, kind="stable"):
             own = {int(classes[i]): int(a) for i, a in enumerate(patterns[:, j]) if a}
             times = min([int(x[j] + 1e-6), *(left[c] // a for c, a in own.items())])
@@ -157,7 +184,8 @@ class Slots:
 
 
 def pieces(docs: DataFrame, tokenizer: str, kind: str = "word", end: int = 1, size: int = 2048) -> DataFrame:
-    """(doc_id, start, length, ids_crc32, doc_tokens): each document's full sequences and its rest."""
+    """(doc_id, start, length, ids_crc32, doc_tokens, halves): each document's full sequences and its rest. ``halves``: of a
+    rest of over half a sequence, the crc32 of its first ``size / 2`` ids and of the others, in case it is cut."""
     common.small_batches(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
 
@@ -172,19 +200,34 @@ def pieces(docs: DataFrame, tokenizer: str, kind: str = "word", end: int = 1, si
             at = (np.cumsum(counts) - counts)[doc] + start
             raw = memoryview(ids.astype("<u4").tobytes())
             crc = [zlib.crc32(raw[4 * a : 4 * (a + n)]) for a, n in zip(at.tolist(), length.tolist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([b.column("doc_id").take(pa.array(doc)), pa.array(start), pa.array(length), pa.array(crc, pa.int64()), pa.array(counts[doc])], ["doc_id", "start", "length", "ids_crc32", "doc_tokens"])
+            half = [[zlib.crc32(raw[4 * a : 4 * a + 2 * size]), zlib.crc32(raw[4 * a + 2 * size : 4 * (a + n)])] if size // 2 < n < size else None for a, n in zip(at.tolist(), length.tolist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([b.column("doc_id").take(pa.array(doc)), pa.array(start), pa.array(length), pa.array(crc, pa.int64()), pa.array(counts[doc]), pa.array(half, pa.list_(pa.int64()))], ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "halves"])
 
-    return rows.mapInArrow(run, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long")
+    return rows.mapInArrow(run, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, halves array<long>")
 
 
 def pack(cut: DataFrame, size: int = 2048) -> DataFrame:
-    """Adds ``sequence_id`` and ``offset`` to pieces (length at most ``size``; doc_id, start and ids_crc32 rank them)."""
+    """Adds ``sequence_id`` and ``offset`` to pieces (length at most ``size``; doc_id, start and ids_crc32 rank them). Pieces
+    that are cut once more are two rows; ``halves`` goes."""
     spark = cut.sparkSession
     salts = common.least_tasks(spark)
     cls = (F.ceil(F.col("length") / STEP) * STEP).cast("long")
-    ranked = common.written(cut, "pieces").withColumn("cls", cls).withColumn("salt", F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"), F.lit(salts)).cast("int"))
+    made = common.written(cut, "pieces")
+    histogram = {r["cls"]: r["n"] for r in made.groupBy(cls.alias("cls")).agg(F.count("*").alias("n")).collect()}  # size / STEP rows at most
+    over = halved(histogram, size)
+    if over:
+        part = lambda start, length, crc: F.struct(start.alias("start"), length.cast("long").alias("length"), crc.alias("ids_crc32"))
+        whole = F.array(part(F.col("start"), F.col("length"), F.col("ids_crc32")))
+        two = F.array(part(F.col("start"), F.lit(size // 2), F.col("halves")[0]), part(F.col("start") + size // 2, F.col("length") - size // 2, F.col("halves")[1]))
+        same = [c for c in cut.columns if c not in ("start", "length", "ids_crc32", "halves")]
+        split = made.select(*same, F.explode(F.when(cls.isin(*over), two).otherwise(whole)).alias("p")).select(*same, "p.*")
+        made = split.select(*[c for c in cut.columns if c != "halves"])
+        histogram = {r["cls"]: r["n"] for r in made.groupBy(cls.alias("cls")).agg(F.count("*").alias("n")).collect()}
+    else:
+        made = made.drop("halves")
+    cut = made
+    ranked = cut.withColumn("cls", cls).withColumn("salt", F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"), F.lit(salts)).cast("int"))
     counts = ranked.groupBy("cls", "salt").agg(F.count("*").alias("n"))
-    histogram = {r["cls"]: r["n"] for r in counts.groupBy("cls").agg(F.sum("n").alias("n")).collect()}  # size / STEP rows at most
     slots = Slots(plan(histogram, size))
     before = Window.partitionBy("cls").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0))).drop("n")
