@@ -15,21 +15,20 @@ from pyspark.sql import types as T
 
 _ROOT = str(Path(__file__).resolve().parents[2])
 
+#: Bytes of the rows that a Python worker gets at once.
+BATCH_BYTES = 16 << 20
 #: ASCII white space, the separators of a "word" in every contract here.
 WORD = r"[^\x20\x09-\x0D]+"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share, from ``spark.checkpoint.dir``; a local one only where
-    that is unset (tests on one machine)."""
-    got = spark.conf.get("spark.checkpoint.dir", None)
+    """The folder that driver and executors share, from ``spark.checkpoint.dir``. Where that is unset, a local one if
+    all run on this machine (tests), else an error, as each machine would write to a folder of its own."""
+    got = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not got:
-        made = spark.sparkContext.getCheckpointDir()
-        if made:
-            return made
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         got = tempfile.mkdtemp(prefix="linkloom-")
-        spark.sparkContext.setCheckpointDir(got)
-        return spark.sparkContext.getCheckpointDir()
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(got)
     return got
@@ -54,13 +53,15 @@ def release(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
-def small_batches(spark: SparkSession, rows: int = 1000) -> None:
-    """Bound the Arrow batches that Python workers get, as a single text may be very long, and let workers import
-    this package where it lies (a cluster gets it by --py-files)."""
+def small_batches(spark: SparkSession) -> None:
+    """Bound the Arrow batches that Python workers get, by rows and by bytes, as a single text may be very long; the
+    same bounds for every operator, as plans run long after they are built. And let workers import this package where
+    it lies (a cluster gets it by --py-files)."""
     path = spark.sparkContext.environment.get("PYTHONPATH", "")
     if _ROOT not in path.split(os.pathsep):
         spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(x for x in (path, _ROOT) if x)
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -73,7 +73,6 @@ def _documents(shards: DataFrame, of, more: str) -> DataFrame:
                 got = {"doc_id": pa.array(r["doc_ids"], pa.int64()), "part": pa.array([r["part"]] * len(counts), pa.int32()), "seq": pa.array([r["seq"]] * len(counts), pa.int32()), "before": pa.array(ends - counts), "n_tokens": pa.array(counts)} | of(each)
                 yield pa.RecordBatch.from_pydict(got)
 
-    common.small_batches(spark, 4)  # a shard row is a batch of documents
     docs = shards.mapInArrow(run_, f"doc_id long, part int, seq int, before long, n_tokens long, {more}")
     names = [c.split()[0] for c in more.split(", ")]
     return docs.join(placed, ["part", "seq"]).select("doc_id", (F.col("first") + F.col("before")).alias("start"), "n_tokens", *names)
