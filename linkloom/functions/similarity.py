@@ -1,4 +1,4 @@
-"""Fuzzy string similarities, all in one Arrow UDF; Spark has only Levenshtein built in.
+"""Fuzzy string similarities, those asked for in one Arrow UDF; Spark has only Levenshtein built in.
 
 Conventions on empty strings: ratio, token_sort and partial of two empty ones are 1, Jaro-Winkler and OSA too; token_set
 is 0 if either is empty.
@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])  # workers need no copy of this package
 
-SCHEMA = T.StructType([T.StructField(c, T.DoubleType()) for c in ("ratio", "token_sort", "token_set", "partial", "jw", "osa")])
+NAMES = ("ratio", "token_sort", "token_set", "partial", "jw", "osa")
 
 
 def _masks(s: str) -> dict[str, int]:
@@ -58,25 +58,29 @@ def token_set_ratio(a: str, b: str) -> float:
     return max(best, indel_ratio(both, with_x), indel_ratio(both, with_y)) if both else best
 
 
+def _best_window(a: str, b: str) -> float:
+    """Of ``a`` against the windows of ``b`` that are as long, or cut short at an end. A window whose outer character doesn't
+    occur in ``a`` is no better than its neighbour without it, so it is left out."""
+    masks, n, best = _masks(a), len(a), 0.0
+    for start in range(1 - n, len(b)):
+        end = start + n
+        window = b[max(0, start) : end]
+        if (window[-1] if end <= len(b) else window[0]) not in masks or 2 * min(n, len(window)) / (n + len(window)) <= best:
+            continue
+        best = max(best, 2 * lcs_length(a, window, masks) / (n + len(window)))
+        if best == 1.0:
+            break
+    return best
+
+
 def partial_ratio(a: str, b: str) -> float:
     """The shorter string against its best window in the longer, windows at the ends being cut short."""
     if len(a) > len(b):
         a, b = b, a
     if not a:
         return 1.0 if not b else 0.0
-    masks, best = _masks(a), 0.0
-    for start in range(1 - len(a), len(b)):
-        window = b[max(0, start) : start + len(a)]
-        if 2 * min(len(a), len(window)) / (len(a) + len(window)) > best:
-            best = max(best, 2 * lcs_length(a, window, masks) / (len(a) + len(window)))
-            if best == 1.0:
-                break
-    if len(a) == len(b) and best < 1.0:
-        masks = _masks(b)
-        for start in range(1 - len(b), len(a)):
-            window = a[max(0, start) : start + len(b)]
-            best = max(best, 2 * lcs_length(b, window, masks) / (len(b) + len(window)))
-    return best
+    best = _best_window(a, b)
+    return max(best, _best_window(b, a)) if len(a) == len(b) and best < 1.0 else best
 
 
 def jaro_winkler(a: str, b: str) -> float:
@@ -104,16 +108,20 @@ def jaro_winkler(a: str, b: str) -> float:
 
 
 def osa_distance(a: str, b: str) -> int:
-    """Edits and swaps of neighbours, no part edited twice."""
-    before, row = [], list(range(len(b) + 1))
-    for i, c in enumerate(a, 1):
-        older, before, row = before, row, [i]
-        for j, d in enumerate(b, 1):
-            best = min(before[j] + 1, row[j - 1] + 1, before[j - 1] + (c != d))
-            if i > 1 and j > 1 and c == b[j - 2] and a[i - 2] == d:
-                best = min(best, older[j - 2] + 1)
-            row.append(best)
-    return row[-1]
+    """Edits and swaps of neighbours, no part edited twice; a bit for each character of ``a`` (Hyyrö 2003)."""
+    if not a or not b:
+        return max(len(a), len(b))
+    masks, full, last = _masks(a), (1 << len(a)) - 1, 1 << (len(a) - 1)
+    up, down, diagonal, before, distance = full, 0, 0, 0, len(a)
+    for c in b:
+        own = masks.get(c, 0)
+        swapped = (((full ^ diagonal) & own) << 1) & before
+        diagonal = ((((own & up) + up) ^ up) | own | down | swapped) & full
+        right, left = down | (full ^ (diagonal | up)), diagonal & up
+        distance += bool(right & last) - bool(left & last)
+        right, left = (right << 1 | 1) & full, (left << 1) & full
+        up, down, before = left | (full ^ (diagonal | right)), right & diagonal, own
+    return distance
 
 
 def osa_similarity(a: str, b: str) -> float:
@@ -121,12 +129,19 @@ def osa_similarity(a: str, b: str) -> float:
     return 1 - osa_distance(a, b) / n if n else 1.0
 
 
-@F.pandas_udf(SCHEMA)
-def string_similarities(a: pd.Series, b: pd.Series) -> pd.DataFrame:
-    seen: dict[tuple[str, str], tuple] = {}
-    out = []
-    for x, y in zip(a.fillna(""), b.fillna(""), strict=True):
-        if (x, y) not in seen:
-            seen[x, y] = (1.0 if x and x == y else indel_ratio(x, y), token_sort_ratio(x, y), token_set_ratio(x, y), partial_ratio(x, y), jaro_winkler(x, y), osa_similarity(x, y))
-        out.append(seen[x, y])
-    return pd.DataFrame(out, columns=["ratio", "token_sort", "token_set", "partial", "jw", "osa"])
+_MEASURES = {"ratio": indel_ratio, "token_sort": token_sort_ratio, "token_set": token_set_ratio, "partial": partial_ratio, "jw": jaro_winkler, "osa": osa_similarity}
+
+
+def measures(names: tuple[str, ...]):
+    """A column function of two strings: a struct of these measures and no others. Each distinct pair of a batch is measured once."""
+    schema = T.StructType([T.StructField(n, T.DoubleType()) for n in names])
+
+    def run(a: pd.Series, b: pd.Series) -> pd.DataFrame:
+        pairs = list(zip(a.fillna(""), b.fillna(""), strict=True))
+        known = {p: tuple(_MEASURES[n](*p) for n in names) for p in set(pairs)}
+        return pd.DataFrame([known[p] for p in pairs], columns=list(names))
+
+    return F.pandas_udf(run, schema)
+
+
+string_similarities = measures(NAMES)

@@ -91,6 +91,11 @@ def safe_div(a: Column, b: Column) -> Column:
     return F.when(b != 0, a / b).otherwise(F.lit(0.0))
 
 
-def mass(tokens: Column, idf: Column) -> Column:
-    """Sum of the distinct tokens' weights, from a map; unknown ones weigh nothing."""
-    return F.aggregate(F.array_distinct(tokens), F.lit(0.0), lambda s, t: s + F.coalesce(F.try_element_at(idf, t), F.lit(0.0)))
+def weighted(token: Column, weight: Column) -> Column:
+    """A token that carries its weight, so that set operations on such tokens keep it."""
+    return F.concat(token, F.lit("\x01"), weight.cast("string"))
+
+
+def mass(weighted_tokens: Column) -> Column:
+    """Sum of the weights that tokens carry."""
+    return F.aggregate(weighted_tokens, F.lit(0.0), lambda s, t: s + F.substring_index(t, "\x01", -1).cast("double"))

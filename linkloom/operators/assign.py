@@ -42,10 +42,11 @@ def independent(triples: DataFrame, threshold: float, all_s1: DataFrame | None =
     return rows.where(cap.isNull() | (F.col("k") <= cap)).drop("k")
 
 
-def _stable(claims: DataFrame, keep, rounds: int) -> DataFrame:
-    """``keep``: from rows with ``k`` (the place among a group's proposers) to a condition; group columns in ``keep.by``."""
+def _stable(claims: DataFrame, keep) -> DataFrame:
+    """``keep``: from rows with ``k`` (the place among a group's proposers) to a condition; group columns in ``keep.by``. Every
+    round but the last refuses a claim for good, so it ends."""
     open_ = claims.withColumn("dead", F.lit(False))
-    for _ in range(rounds):
+    while True:
         proposed = open_.where(~F.col("dead")).withColumn("p", F.row_number().over(_by("cand_id"))).where("p = 1").drop("p")
         judged = proposed.withColumn("k", F.row_number().over(_by(*keep["by"]))).withColumn("ok", F.coalesce(keep["if"], F.lit(True)))
         judged = written(judged.select("s1_id", "cand_id", "score", "src", "ok"), "proposals")
@@ -53,21 +54,20 @@ def _stable(claims: DataFrame, keep, rounds: int) -> DataFrame:
         if refused.isEmpty():
             return judged.where("ok").select("s1_id", "cand_id", "score", "src")
         open_ = written(open_.join(refused.withColumn("no", F.lit(True)), ["s1_id", "cand_id"], "left").withColumn("dead", F.col("dead") | F.coalesce("no", F.lit(False))).drop("no").where(~F.col("dead")), "claims")
-    raise RuntimeError(f"assignment did not settle in {rounds} rounds")
 
 
-def one_to_one(triples: DataFrame, threshold: float, all_s1: DataFrame | None = None, caps: dict[str, int] | None = None, rounds: int = 1000) -> DataFrame:
+def one_to_one(triples: DataFrame, threshold: float, all_s1: DataFrame | None = None, caps: dict[str, int] | None = None) -> DataFrame:
     """(s1_id, cand_id, score, src): greedy by score, a candidate used once. Each round rejects at least one claim."""
     cap = _cap(caps or CAPS)
-    return _stable(_claims(triples, all_s1, threshold), {"by": ("s1_id", "src"), "if": cap.isNull() | (F.col("k") <= cap)}, rounds)
+    return _stable(_claims(triples, all_s1, threshold), {"by": ("s1_id", "src"), "if": cap.isNull() | (F.col("k") <= cap)})
 
 
-def rescue(triples: DataFrame, taken: DataFrame, all_s1: DataFrame, threshold: float, floor: float, exclusive: bool = True, rounds: int = 1000) -> DataFrame:
+def rescue(triples: DataFrame, taken: DataFrame, all_s1: DataFrame, threshold: float, floor: float, exclusive: bool = True) -> DataFrame:
     """Records without a claim get their best candidate in [floor, threshold) that nobody has, one each, greedily."""
     rest = _claims(triples, all_s1, floor).where(F.col("score") < threshold).join(taken.select("s1_id").distinct(), "s1_id", "left_anti")
     if exclusive:
         rest = rest.join(taken.select("cand_id").distinct(), "cand_id", "left_anti").select("s1_id", "cand_id", "score", "src")
-        return _stable(rest, {"by": ("s1_id",), "if": F.col("k") <= 1}, rounds)
+        return _stable(rest, {"by": ("s1_id",), "if": F.col("k") <= 1})
     return rest.withColumn("k", F.row_number().over(_by("s1_id"))).where("k = 1").drop("k")
 
 

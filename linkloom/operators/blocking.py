@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import minhash, normalize, tokens
+from ..sources.storage import few, written
 from .rules import RuleSet
 
 #: Key families and the weight of a shared key. Fixed values.
@@ -54,7 +55,7 @@ def document_frequency(pool: DataFrame) -> DataFrame:
 def idf(pool: DataFrame, s1: DataFrame) -> DataFrame:
     """(country, token, df, idf) of all tokens of either side: ``ln(1 + n / (1 + df))``; source-1-only tokens have df 0."""
     df = document_frequency(pool)
-    n = pool.groupBy("country").agg(F.count("*").alias("n"))
+    n = few(pool.groupBy("country").agg(F.count("*").alias("n")), "pool-sizes")
     only = s1.select("country", F.explode(_all_tokens()).alias("token")).distinct()
     every = df.join(only, ["country", "token"], "full_outer").withColumn("df", F.coalesce("df", F.lit(0)))
     return every.join(n, "country", "left").select("country", "token", "df", F.log(1.0 + F.greatest(F.coalesce("n", F.lit(0)), F.lit(1)) / (1.0 + F.col("df"))).alias("idf"))
@@ -68,12 +69,15 @@ def rarest(prepared: DataFrame, weights: DataFrame, k: int = 3) -> DataFrame:
 
     each = prepared.select("country", "entity_id", F.explode(F.flatten(F.array(tagged("n", "name_toks"), tagged("w", "word_toks"), tagged("d", "num_toks")))).alias("x"))
     each = each.select("country", "entity_id", "x.field", "x.token").join(weights, ["country", "token"])
+    # a record's rows meet once: the window and the lists stand on one partitioning, and only k rows a field are gathered
+    own = Window.partitionBy("country", "entity_id", "field").orderBy(F.when(F.col("field") != "d", F.col("df")), "token")
+    best = each.repartition("country", "entity_id").withColumn("at", F.row_number().over(own)).where(F.col("at") <= k)
 
-    def first(field: str, *order: str) -> Column:
-        rows = F.array_sort(F.collect_list(F.when(F.col("field") == field, F.struct(*order, F.col("token").alias("t"), F.col("idf").alias("i")))))
-        return F.transform(F.slice(rows, 1, k), lambda x: F.struct(x["t"].alias("token"), x["i"].alias("idf")))
+    def first(field: str) -> Column:
+        rows = F.array_sort(F.collect_list(F.when(F.col("field") == field, F.struct("at", "token", "idf"))))
+        return F.transform(rows, lambda x: F.struct(x["token"].alias("token"), x["idf"].alias("idf")))
 
-    got = each.groupBy("country", "entity_id").agg(first("n", "df", "token").alias("names"), first("w", "df", "token").alias("words"), first("d", "token").alias("nums"))
+    got = best.groupBy("country", "entity_id").agg(first("n").alias("names"), first("w").alias("words"), first("d").alias("nums"))
     return prepared.select("country", "entity_id", "name_key", "name_toks").join(got, ["country", "entity_id"], "left")
 
 
@@ -107,9 +111,11 @@ def keys(rare: DataFrame, top_idf: DataFrame | None, config: Config = Config())
     return rows.select("country", "entity_id", F.explode(F.flatten(F.array(*[made[f] for f in config.families]))).alias("k")).select("country", "entity_id", "k.*")
 
 
-def postings(pool_keys: DataFrame, max_posting: int = 400) -> DataFrame:
-    """The pool's keys without those that more than ``max_posting`` records have. Counting first combines on the map
+def postings(pool_keys: DataFrame, max_posting: int | None = 400) -> DataFrame:
+    """The pool's keys without those that more than ``max_posting`` records have; None or 0 keeps every key. Counting first combines on the map
     side, so a key that a third of all records share costs a row a task, and its rows are gone before the join."""
+    if not max_posting:
+        return pool_keys.select("country", "fam", "a", "b", F.col("entity_id").alias("cand_id"))
     fine = pool_keys.groupBy("country", "fam", "a", "b").agg(F.count("*").alias("n")).where(F.col("n") <= max_posting).drop("n")
     return pool_keys.join(fine, ["country", "fam", "a", "b"], "left_semi").select("country", "fam", "a", "b", F.col("entity_id").alias("cand_id"))
 
@@ -120,12 +126,16 @@ def top_k(scored: DataFrame, k: int) -> DataFrame:
     return scored.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).withColumn("rank", F.col("rank") - 1)
 
 
-def candidates(s1: DataFrame, pool: DataFrame, rules: RuleSet = RuleSet(), config: Config = Config(), capped: bool = True) -> DataFrame:
+def greatest_idf(weights: DataFrame) -> DataFrame:
+    """(country, max_idf), a row a country."""
+    return few(weights.groupBy("country").agg(F.max("idf").alias("max_idf")), "greatest-idf")
+
+
+def candidates(s1: DataFrame, pool: DataFrame, rules: RuleSet = RuleSet(), config: Config = Config(), capped: bool = True, weights: DataFrame | None = None) -> DataFrame:
     """(country, s1_id, cand_id, block_score, rank) from two prepared sides; ``capped`` False keeps every candidate,
-    without ranks."""
-    weights = idf(pool, s1)
-    top_idf = weights.groupBy("country").agg(F.max("idf").alias("max_idf"))  # a row a country
+    without ranks. ``weights``: those of ``idf``, written, if they are at hand."""
+    weights = written(idf(pool, s1), "weights") if weights is None else weights
     index = postings(keys(rarest(pool, weights, config.rarest), None, config), config.max_posting)
-    probe = keys(expand_words(rarest(s1, weights, config.rarest), weights, rules, config.rarest), top_idf, config).withColumnRenamed("entity_id", "s1_id")
+    probe = keys(expand_words(rarest(s1, weights, config.rarest), weights, rules, config.rarest), greatest_idf(weights), config).withColumnRenamed("entity_id", "s1_id")
     met = probe.join(index, ["country", "fam", "a", "b"]).groupBy("country", "s1_id", "cand_id").agg(F.round(F.sum("w"), 9).alias("block_score"))
     return top_k(met, config.top_k) if capped else met

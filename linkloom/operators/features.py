@@ -9,11 +9,14 @@ from ..functions import similarity, tokens
 
 #: Columns of the feature matrix, in order. Fixed values.
 FEATURE_NAMES = (
-    "name_ratio name_token_sort name_token_set name_partial name_jw name_osa addr_ratio addr_token_sort addr_token_set addr_partial addr_osa "
-    "name_idf_overlap name_cover_s1 name_cover_cand name_jaccard addr_idf_overlap addr_cover_s1 addr_cover_cand addr_jaccard num_shared num_jaccard num_any "
-    "cand_addr_empty s1_name_len cand_name_len name_len_diff s1_ntok cand_ntok ntok_diff is_s2 "
-    "block_score rank score_ratio_to_top score_gap_to_top score_z group_size"
-).split()
+    "name_ratio", "name_token_sort", "name_token_set", "name_partial", "name_jw", "name_osa",
+    "addr_ratio", "addr_token_sort", "addr_token_set", "addr_partial", "addr_osa",
+    "name_idf_overlap", "name_cover_s1", "name_cover_cand", "name_jaccard",
+    "addr_idf_overlap", "addr_cover_s1", "addr_cover_cand", "addr_jaccard",
+    "num_shared", "num_jaccard", "num_any",
+    "cand_addr_empty", "s1_name_len", "cand_name_len", "name_len_diff", "s1_ntok", "cand_ntok", "ntok_diff", "is_s2",
+    "block_score", "rank", "score_ratio_to_top", "score_gap_to_top", "score_z", "group_size",
+)
 STRING = FEATURE_NAMES[:11]
 
 
@@ -28,43 +31,52 @@ def listwise(cands: DataFrame) -> DataFrame:
     }).drop("_t", "_m", "_s")
 
 
-def _with_idf(prepared: DataFrame, weights: DataFrame) -> DataFrame:
-    """Adds maps from a record's distinct name and address tokens to their idf."""
+def weighed(prepared: DataFrame, weights: DataFrame) -> DataFrame:
+    """(country, entity_id, n, w, d, n_mass, w_mass, d_mass): a record's distinct name, word and number tokens, each with
+    its weight, and their sums, which all pairs of the record share."""
     def tagged(field: str, c: str) -> Column:
         return F.transform(F.array_distinct(c), lambda t: F.struct(F.lit(field).alias("f"), t.alias("token")))
 
-    each = prepared.select("country", "entity_id", F.explode(F.flatten(F.array(tagged("n", "name_toks"), tagged("w", "word_toks")))).alias("x"))
-    got = each.select("country", "entity_id", "x.f", "x.token").join(weights.select("country", "token", "idf"), ["country", "token"]).groupBy("country", "entity_id").agg(
-        *[F.map_from_entries(F.collect_list(F.when(F.col("f") == f, F.struct("token", "idf")))).alias(c) for f, c in (("n", "n_idf"), ("w", "w_idf"))])
-    none = F.create_map().cast("map<string,double>")
-    rows = prepared.join(got, ["country", "entity_id"], "left")
-    return rows.select("country", "entity_id", "norm_name", "norm_addr", *[F.array_distinct(c).alias(c) for c in ("name_toks", "word_toks", "num_toks")], F.coalesce("n_idf", none).alias("n_idf"), F.coalesce("w_idf", none).alias("w_idf"))
+    each = prepared.select("country", "entity_id", F.explode(F.concat(tagged("n", "name_toks"), tagged("w", "word_toks"), tagged("d", "num_toks"))).alias("x"))
+    known = each.select("country", "entity_id", "x.f", "x.token").join(weights.select("country", "token", "idf"), ["country", "token"], "left").withColumn("idf", F.coalesce("idf", F.lit(0.0)))
+    of = lambda f, c: F.when(F.col("f") == f, c)
+    lists = [F.collect_list(of(f, tokens.weighted(F.col("token"), F.col("idf")))).alias(f) for f in "nwd"]
+    got = known.groupBy("country", "entity_id").agg(*lists, *[F.coalesce(F.sum(of(f, F.col("idf"))), F.lit(0.0)).alias(f"{f}_mass") for f in "nwd"])
+    rows = prepared.select("country", "entity_id").join(got, ["country", "entity_id"], "left")
+    none = F.array().cast("array<string>")
+    return rows.select("country", "entity_id", *[F.coalesce(f, none).alias(f) for f in "nwd"], *[F.coalesce(f"{f}_mass", F.lit(0.0)).alias(f"{f}_mass") for f in "nwd"])
 
 
 def pair_features(cands: DataFrame, s1: DataFrame, pool: DataFrame, weights: DataFrame, strings: bool = True) -> DataFrame:
-    """(country, s1_id, cand_id) and the features; ``strings`` False leaves the eleven string similarities out and the
-    plan free of Python."""
-    a = _with_idf(s1, weights)
-    b = _with_idf(pool, weights)
-    a = a.select("country", F.col("entity_id").alias("s1_id"), *[F.col(c).alias(f"a_{c}") for c in a.columns[2:]])
-    b = b.select("country", F.col("entity_id").alias("cand_id"), *[F.col(c).alias(f"b_{c}") for c in b.columns[2:]])
-    rows = listwise(cands).join(a, ["country", "s1_id"]).join(b, ["country", "cand_id"])
+    """(country, s1_id, cand_id) and the features; ``strings`` False leaves the eleven string similarities out, the plan
+    free of Python and the texts out of the pairs."""
+    def side(d: DataFrame, key: str, p: str) -> DataFrame:
+        text = ["norm_name", "norm_addr"] if strings else []
+        own = d.select("country", "entity_id", F.length("norm_name").cast("double").alias("chars"), (F.col("norm_addr") == "").alias("blank"), *text)
+        rows = weighed(d, weights).join(own, ["country", "entity_id"])
+        return rows.select("country", F.col("entity_id").alias(key), *[F.col(c).alias(f"{p}{c}") for c in rows.columns[2:]])
+
+    rows = listwise(cands).join(side(s1, "s1_id", "a_"), ["country", "s1_id"]).join(side(pool, "cand_id", "b_"), ["country", "cand_id"])
     d = lambda c: c.cast("double")
     out: dict[str, Column] = {}
     if strings:
-        rows = rows.withColumn("_n", similarity.string_similarities("a_norm_name", "b_norm_name")).withColumn("_a", similarity.string_similarities("a_norm_addr", "b_norm_addr"))
+        rows = rows.withColumn("_n", similarity.string_similarities("a_norm_name", "b_norm_name"))
+        rows = rows.withColumn("_a", similarity.measures(similarity.NAMES[:4] + ("osa",))("a_norm_addr", "b_norm_addr"))
         out |= {f"name_{k}": F.col(f"_n.{k}") for k in ("ratio", "token_sort", "token_set", "partial", "jw", "osa")}
         out |= {f"addr_{k}": F.col(f"_a.{k}") for k in ("ratio", "token_sort", "token_set", "partial", "osa")}
-    for part, toks, idf in (("name", "name_toks", "n_idf"), ("addr", "word_toks", "w_idf")):
-        x, y = F.col(f"a_{toks}"), F.col(f"b_{toks}")
-        both, mine, other = tokens.mass(F.array_intersect(x, y), F.col(f"a_{idf}")), tokens.mass(x, F.col(f"a_{idf}")), tokens.mass(y, F.col(f"b_{idf}"))
-        out |= {f"{part}_idf_overlap": both, f"{part}_cover_s1": tokens.safe_div(both, mine), f"{part}_cover_cand": tokens.safe_div(both, other), f"{part}_jaccard": tokens.jaccard(x, y)}
-    x, y = F.col("a_num_toks"), F.col("b_num_toks")
-    shared = F.size(F.array_intersect(x, y))
-    la, lb, na, nb = F.length("a_norm_name"), F.length("b_norm_name"), F.size("a_name_toks"), F.size("b_name_toks")
+    rows = rows.withColumns({f"both_{f}": F.array_intersect(f"a_{f}", f"b_{f}") for f in "nwd"})
+
+    def jaccard(f: str) -> Column:
+        both = F.size(f"both_{f}")
+        return tokens.safe_div(d(both), d(F.size(f"a_{f}") + F.size(f"b_{f}") - both))
+
+    for part, f in (("name", "n"), ("addr", "w")):
+        both = tokens.mass(F.col(f"both_{f}"))
+        out |= {f"{part}_idf_overlap": both, f"{part}_cover_s1": tokens.safe_div(both, F.col(f"a_{f}_mass")), f"{part}_cover_cand": tokens.safe_div(both, F.col(f"b_{f}_mass")), f"{part}_jaccard": jaccard(f)}
+    shared, na, nb = F.size("both_d"), F.size("a_n"), F.size("b_n")
     out |= {
-        "num_shared": d(shared), "num_jaccard": tokens.jaccard(x, y), "num_any": d(F.when(shared > 0, 1).otherwise(0)),
-        "cand_addr_empty": d(F.when(F.col("b_norm_addr") == "", 1).otherwise(0)), "s1_name_len": d(la), "cand_name_len": d(lb), "name_len_diff": d(F.abs(la - lb)),
+        "num_shared": d(shared), "num_jaccard": jaccard("d"), "num_any": d(F.when(shared > 0, 1).otherwise(0)),
+        "cand_addr_empty": d(F.when(F.col("b_blank"), 1).otherwise(0)), "s1_name_len": F.col("a_chars"), "cand_name_len": F.col("b_chars"), "name_len_diff": F.abs(F.col("a_chars") - F.col("b_chars")),
         "s1_ntok": d(na), "cand_ntok": d(nb), "ntok_diff": d(F.abs(na - nb)), "is_s2": d(F.when(F.startswith("cand_id", F.lit("S2-")), 1).otherwise(0)),
         **{c: F.col(c) for c in FEATURE_NAMES[-6:]},
     }

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import normalize, tokens
+from ..sources.storage import written
 from .rules import RuleSet
 
 #: How often a difference must be seen. Fixed values.
@@ -90,8 +91,9 @@ def mine(truth: DataFrame, s1: DataFrame, pool: DataFrame, least: dict[str, int]
     m = {"subst": MIN_SUBST, "drop": MIN_DROP, "translit": MIN_TRANSLIT} | (least or {})
     rows = truth.where(F.size("ids") > 0)
     rows = by_hash(rows, "s1_id", sample, seed) if sample else rows
-    found = pairs(rows.select("s1_id", F.explode("ids").alias("cand_id")), s1, pool)
-    diffs = differences(found)
+    rows = written(rows, "mined-truth")
+    found = written(pairs(rows.select("s1_id", F.explode("ids").alias("cand_id")), s1, pool), "true-pairs")
+    diffs = written(differences(found), "differences")
     return RuleSet(
         frozenset(r[0] for r in droppable(drop_counts(diffs), seen_tokens(s1, rows), m["drop"]).collect()),
         {r[0]: list(r[1]) for r in expansion_edges(substitutions(diffs), m["subst"]).collect()},
@@ -100,8 +102,20 @@ def mine(truth: DataFrame, s1: DataFrame, pool: DataFrame, least: dict[str, int]
 
 
 def by_hash(rows: DataFrame, key: str, n: int, seed: str = "17") -> DataFrame:
-    """A reproducible sample: the n rows whose seeded key hash is least."""
-    return rows.orderBy(_seeded(key, seed), key).limit(n)
+    """A reproducible sample: the n rows whose seeded key hash is least (ties by key). Rows are counted by the hash's first
+    four digits; whole classes are taken while they fit, and only the class at the border is sorted."""
+    hashed = rows.withColumn("_h", _seeded(key, seed)).withColumn("_c", F.substring("_h", 1, 4))
+    counts = sorted(map(tuple, hashed.groupBy("_c").count().collect()))  # 65,536 rows at most
+    taken, border = 0, None
+    for c, m in counts:
+        if taken + m > n:
+            border = c
+            break
+        taken += m
+    if border is None:
+        return rows
+    edge = hashed.where(F.col("_c") == border).orderBy("_h", key).limit(n - taken)
+    return hashed.where(F.col("_c") < border).unionByName(edge).drop("_h", "_c")
 
 
 def _seeded(key: str, seed: str) -> Column:

@@ -2,19 +2,26 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from . import assign, metrics
+from ..functions import similarity, tokens
+from ..sources.storage import written
+from . import assign, features, metrics
 
+RESCUES = (0.2, 0.3, 0.4, 0.5, 0.6)
 GRID = tuple(k / 100 for k in range(5, 100, 5))
 
 
-def sweep_independent(triples: DataFrame, truth: DataFrame, grid=GRID, caps: dict[str, int] | None = None) -> DataFrame:
-    """(threshold, macro_f05, mean_precision, mean_recall) where candidates may be shared. A record's best claims don't
-    depend on the threshold, so places are ranked once and each threshold cuts them."""
-    top = assign.independent(triples, min(grid), truth.select("s1_id"), caps)
-    edges = top.join(truth.select("s1_id", F.explode("ids").alias("cand_id")).distinct().withColumn("hit", F.lit(1)), ["s1_id", "cand_id"], "left")
+def curve(triples: DataFrame, truth: DataFrame, grid=GRID, caps: dict[str, int] | None = None, exclusive: bool = True) -> DataFrame:
+    """(threshold, macro_f05, mean_precision, mean_recall). Claims are taken in order of score, so what is taken above a
+    threshold doesn't depend on claims below it: one assignment at the lowest threshold holds those of all, and each
+    threshold cuts it."""
+    taken = (assign.one_to_one if exclusive else assign.independent)(triples, min(grid), truth.select("s1_id"), caps)
+    edges = taken.join(truth.select("s1_id", F.explode("ids").alias("cand_id")).distinct().withColumn("hit", F.lit(1)), ["s1_id", "cand_id"], "left")
     cut = [F.struct(F.lit(float(t)).alias("threshold"), F.count_if(F.col("score") >= t).alias("p"), F.count_if((F.col("score") >= t) & (F.col("hit") == 1)).alias("tp")) for t in grid]
     per = truth.select("s1_id", F.size(F.array_distinct("ids")).alias("t")).join(edges.groupBy("s1_id").agg(F.array(*cut).alias("cuts")), "s1_id", "left")
     none = F.array(*[F.struct(F.lit(float(t)).alias("threshold"), F.lit(0).cast("long").alias("p"), F.lit(0).cast("long").alias("tp")) for t in grid])
@@ -24,14 +31,8 @@ def sweep_independent(triples: DataFrame, truth: DataFrame, grid=GRID, caps: dic
 
 
 def sweep(triples: DataFrame, truth: DataFrame, grid=GRID, caps: dict[str, int] | None = None, exclusive: bool = True) -> list[tuple[float, float, float, float]]:
-    """The same under one-to-one assignment, a run for each threshold: (threshold, F0.5, precision, recall)."""
-    if not exclusive:
-        return [tuple(r) for r in sweep_independent(triples, truth, grid, caps).sort("threshold").collect()]  # a row a threshold
-    out = []
-    for t in grid:
-        r = metrics.score_matching(assign.assign(triples, t, truth, caps), truth).first()
-        out.append((t, r["macro_f05"], r["mean_precision"], r["mean_recall"]))
-    return out
+    """The curve by threshold: (threshold, F0.5, precision, recall), a row a threshold."""
+    return [tuple(r) for r in curve(triples, truth, grid, caps, exclusive).sort("threshold").collect()]
 
 
 def best_of(curve) -> tuple[float, float]:
@@ -47,71 +48,105 @@ def tune(triples: DataFrame, truth: DataFrame, caps: dict[str, int] | None = Non
     """Coarse, then fine around the best, then rescue levels, of which one is kept only if it is better."""
     coarse, _ = best_of(sweep(triples, truth, GRID, caps))
     fine, f = best_of(sweep(triples, truth, [round(coarse + d / 100, 2) for d in range(-4, 5)], caps))
+    known = written(triples.where(F.col("score") >= min(RESCUES)), "above-floor")
     rescue = None
-    for level in (0.2, 0.3, 0.4, 0.5, 0.6):
-        got = metrics.score_matching(assign.assign(triples, fine, truth, caps, True, level), truth).first()["macro_f05"]
+    for level in RESCUES:
+        got = metrics.score_matching(assign.assign(known, fine, truth, caps, True, level), truth).first()["macro_f05"]
         if got > f:
             f, rescue = got, level
     return {"threshold": fine, "rescue": rescue, "macro_f05": f}
 
 
-# --- ranking formulas -----------------------------------------------------------------------------------
+def evaluate(triples: DataFrame, truth: DataFrame, threshold: float, caps: dict[str, int] | None = None) -> dict:
+    """Matching metrics at a threshold, and what exclusiveness is worth: F0.5 one-to-one less F0.5 with shared candidates."""
+    got = metrics.score_matching(assign.assign(triples, threshold, truth, caps), truth).first().asDict()
+    shared = metrics.score_matching(assign.assign(triples, threshold, truth, caps, exclusive=False), truth).first()["macro_f05"]
+    return got | {"one_to_one_delta": got["macro_f05"] - shared}
 
 
-def field_score(inter: Column, mine: Column, other: Column, mode: str, penalty: float) -> Column:
-    """Overlap of one field by mode, less for long candidates; 0 where any mass is."""
-    value = {"cover": inter / mine, "cosine": inter / F.sqrt(mine * other), "dice": 2.0 * inter / (mine + other)}[mode]
-    value = value / F.pow(other, F.lit(penalty)) if penalty else value
-    return F.when((inter > 0) & (mine > 0) & (other > 0), value).otherwise(F.lit(0.0))
+# --- ranking formulas -----------------------------------------------------------------------------------
 
 
-#: (mode, length penalty, weights of name, words and numbers, weight of the key score). Fixed values.
-VARIANTS = {
-    "cosine": ("cosine", 0.0, 3.0, 2.0, 2.5, 1e-6), "dice": ("dice", 0.0, 3.0, 2.0, 2.5, 1e-6), "cover": ("cover", 0.0, 3.0, 2.0, 2.5, 1e-6),
-    "cover_pen15": ("cover", 0.15, 3.0, 2.0, 2.5, 1e-6), "cover_pen25": ("cover", 0.25, 3.0, 2.0, 2.5, 1e-6), "cover_pen35": ("cover", 0.35, 3.0, 2.0, 2.5, 1e-6),
-    "cover_keys": ("cover", 0.15, 3.0, 2.0, 2.5, 0.02), "cover_keys_high": ("cover", 0.15, 3.0, 2.0, 2.5, 0.08),
-    "cover_address": ("cover", 0.15, 2.0, 3.0, 3.0, 0.02), "cover_name": ("cover", 0.15, 4.0, 1.5, 2.0, 0.02),
-}
+@dataclass(frozen=True)
+class Formula:
+    """A ranking score: overlap of the fields' idf masses, weighted, plus the key score times ``keys``."""
+
+    overlap: str  # cosine, dice or cover
+    penalty: float  # exponent of the candidate's mass that divides the overlap
+    weights: dict[str, float]  # of name (n), word (w) and number (d) tokens
+    keys: float
+
+    def field(self, f: str) -> Column:
+        """Overlap of one field; 0 where either side or the shared part has no mass."""
+        shared, own, cand = F.col(f"i_{f}"), F.col(f"b_{f}"), F.col(f"c_{f}")
+        by = {"cover": own, "cosine": F.sqrt(own * cand), "dice": (own + cand) / 2.0}[self.overlap]
+        return F.when((shared > 0) & (own > 0) & (cand > 0), shared / (by * F.pow(cand, F.lit(self.penalty)))).otherwise(F.lit(0.0))
+
+    def score(self) -> Column:
+        return reduce(lambda x, y: x + y, [F.lit(w) * self.field(f) for f, w in self.weights.items()]) + F.lit(self.keys) * F.col("block_score")
+
+
+_EVEN = {"n": 3.0, "w": 2.0, "d": 2.5}
+#: The weighted formulas, by number. Fixed values.
+FORMULAS = {
+    "f01": Formula("cosine", 0.0, _EVEN, 1e-6),
+    "f02": Formula("dice", 0.0, _EVEN, 1e-6),
+    "f03": Formula("cover", 0.0, _EVEN, 1e-6),
+    "f04": Formula("cover", 0.15, _EVEN, 1e-6),
+    "f05": Formula("cover", 0.25, _EVEN, 1e-6),
+    "f06": Formula("cover", 0.35, _EVEN, 1e-6),
+    "f07": Formula("cover", 0.15, _EVEN, 0.02),
+    "f08": Formula("cover", 0.15, _EVEN, 0.08),
+    "f09": Formula("cover", 0.15, {"n": 2.0, "w": 3.0, "d": 3.0}, 0.02),
+    "f10": Formula("cover", 0.15, {"n": 4.0, "w": 1.5, "d": 2.0}, 0.02),
+}
 BLENDS = (0.5, 1.0, 2.0, 4.0, 8.0)
 
 
 def variants(char_similarity: bool = False) -> dict[str, Column]:
     """Score expressions over i_f, b_f, c_f (shared, source-1 and candidate mass of fields n, w, d), block_score and,
-    for the blends, ``csim``."""
-    out = {"keys": F.col("block_score")}
-    for name, (mode, pen, wn, ww, wd, wk) in VARIANTS.items():
-        parts = [F.lit(w) * field_score(F.col(f"i_{f}"), F.col(f"b_{f}"), F.col(f"c_{f}"), mode, pen) for f, w in (("n", wn), ("w", ww), ("d", wd))]
-        out[name] = parts[0] + parts[1] + parts[2] + F.lit(wk) * F.col("block_score")
+    for the blends, ``csim``. ``keys`` is the key score alone."""
+    out = {"keys": F.col("block_score")} | {name: f.score() for name, f in FORMULAS.items()}
     if char_similarity:
         out |= {f"keys_csim_{w}": F.col("block_score") + w * F.col("csim") for w in BLENDS} | {"csim": F.col("csim")}
     return out
 
 
-def compare(rows: DataFrame, edges: DataFrame, k: int = 20, char_similarity: bool = False) -> DataFrame:
+def compare(rows: DataFrame, edges: DataFrame, k: int = 20, char_similarity: bool = False, truth: DataFrame | None = None) -> DataFrame:
     """(variant, found, pairs, recall) of the best k of each record by each formula; ``rows`` is the shortlist with its
-    masses. All formulas are scored in one scan."""
+    masses. All formulas are scored in one scan. With ``truth`` (s1_id, ids) also ``ceiling_f05``, the mean F0.5 that a
+    perfect choice among those k would reach."""
     made = variants(char_similarity)
     scored = rows.select("s1_id", "cand_id", F.explode(F.array(*[F.struct(F.lit(n).alias("variant"), F.round(v, 9).alias("score")) for n, v in made.items()])).alias("x")).select("s1_id", "cand_id", "x.*")
     best = scored.withColumn("r", F.row_number().over(Window.partitionBy("variant", "s1_id").orderBy(F.desc("score"), "cand_id"))).where(F.col("r") <= k)
-    hit = best.join(edges, ["s1_id", "cand_id"], "left_semi").groupBy("variant").agg(F.count("*").alias("found"))
+    per = best.join(edges, ["s1_id", "cand_id"], "left_semi").groupBy("variant", "s1_id").agg(F.count("*").alias("tp"))
     names = rows.sparkSession.createDataFrame([(n,) for n in made], "variant string")
     pairs = edges.agg(F.count("*").alias("pairs")).first()["pairs"]
     found = F.coalesce("found", F.lit(0).cast("long"))
-    return names.join(hit, "variant", "left").select("variant", found.alias("found"), F.lit(pairs).alias("pairs"), (found / F.lit(max(pairs, 1))).alias("recall"))
+    more = []
+    if truth is None:
+        hit = per.groupBy("variant").agg(F.sum("tp").alias("found"))
+    else:
+        sizes = truth.select("s1_id", F.size(F.array_distinct("ids")).alias("t"))
+        n, alone = sizes.agg(F.count("*"), F.count_if(F.col("t") == 0)).first()
+        hit = per.join(sizes, "s1_id").groupBy("variant").agg(F.sum("tp").alias("found"), F.sum(metrics.fbeta_half(F.col("tp"), F.col("tp"), F.col("t"))).alias("c"))
+        more = [((F.coalesce("c", F.lit(0.0)) + F.lit(alone)) / F.lit(max(n, 1))).alias("ceiling_f05")]
+    return names.join(F.broadcast(hit), "variant", "left").select("variant", found.alias("found"), F.lit(pairs).alias("pairs"), (found / F.lit(max(pairs, 1))).alias("recall"), *more)  # a row a formula
+
+
+def with_char_similarity(rows: DataFrame, s1: DataFrame, pool: DataFrame) -> DataFrame:
+    """Adds ``csim``, the token-sort ratio of the two names."""
+    names = lambda d, k, c: d.select(F.col("entity_id").alias(k), F.array_join(F.array_sort("name_toks"), " ").alias(c))
+    met = rows.join(names(s1, "s1_id", "_a"), "s1_id").join(names(pool, "cand_id", "_b"), "cand_id")
+    return met.withColumn("csim", similarity.measures(("token_sort",))("_a", "_b")["token_sort"]).drop("_a", "_b")
 
 
 def masses(cands: DataFrame, s1: DataFrame, pool: DataFrame, weights: DataFrame) -> DataFrame:
     """Shared and own idf mass of name, word and number tokens for each candidate pair."""
-    from ..functions import tokens
-
     def side(d: DataFrame, key: str, p: str) -> DataFrame:
-        each = d.select("country", "entity_id", F.explode(F.array_distinct(F.concat("name_toks", "word_toks", "num_toks"))).alias("token")).join(weights.select("country", "token", "idf"), ["country", "token"])
-        maps = each.groupBy("country", "entity_id").agg(F.map_from_entries(F.collect_list(F.struct("token", "idf"))).alias("m"))
-        return d.join(maps, ["country", "entity_id"], "left").select("country", F.col("entity_id").alias(key), *[F.array_distinct(c).alias(f"{p}{f}") for f, c in (("n", "name_toks"), ("w", "word_toks"), ("d", "num_toks"))], F.coalesce("m", F.create_map().cast("map<string,double>")).alias(f"{p}m"))
-
-    rows = cands.join(side(s1, "s1_id", "a"), ["country", "s1_id"]).join(side(pool, "cand_id", "b"), ["country", "cand_id"])
-    out = []
-    for f in "nwd":
-        x, y = F.col(f"a{f}"), F.col(f"b{f}")
-        out += [tokens.mass(F.array_intersect(x, y), F.col("am")).alias(f"i_{f}"), tokens.mass(x, F.col("am")).alias(f"b_{f}"), tokens.mass(y, F.col("bm")).alias(f"c_{f}")]
-    return rows.select("country", "s1_id", "cand_id", "block_score", *out)
+        rows = features.weighed(d, weights)
+        return rows.select("country", F.col("entity_id").alias(key), *[F.col(c).alias(f"{p}{c}") for c in rows.columns[2:]])
+
+    rows = cands.join(side(s1, "s1_id", "a_"), ["country", "s1_id"]).join(side(pool, "cand_id", "b_"), ["country", "cand_id"])
+    out = [(tokens.mass(F.array_intersect(f"a_{f}", f"b_{f}")).alias(f"i_{f}"), F.col(f"a_{f}_mass").alias(f"b_{f}"), F.col(f"b_{f}_mass").alias(f"c_{f}")) for f in "nwd"]
+    return rows.select("country", "s1_id", "cand_id", "block_score", *[c for three in out for c in three])

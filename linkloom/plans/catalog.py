@@ -12,7 +12,7 @@ from ..operators import assign, blocking, features, metrics, mining, model, tuni
 from ..operators.rules import RuleSet
 from ..sources import records as files
 from ..sources.storage import fresh_path, written
-from . import views
+from . import jobs, views
 from .views import RULES, sql
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -45,7 +45,8 @@ def prepared(spark, sf_dir, source=views.records) -> DataFrame:
 def found(spark, sf_dir, source=views.records, capped=True):
     """(candidates, source 1, pool, weights)."""
     s1, pool = views.sides(prepared(spark, sf_dir, source))
-    return written(blocking.candidates(s1, pool, RULES, CONFIG, capped), "candidates"), s1, pool, blocking.idf(pool, s1)
+    weights = written(blocking.idf(pool, s1), "weights")
+    return written(blocking.candidates(s1, pool, RULES, CONFIG, capped, weights), "candidates"), s1, pool, weights
 
 
 def truth_edges(norms: DataFrame) -> DataFrame:
@@ -88,10 +89,11 @@ def _tsv(rows: DataFrame) -> str:
     return path
 
 
-@query("src_read_records", "SELECT 'S' || (doc_id % 3 + 1) || '-' || doc_id AS entity_id, md5(split_part(text, '.', 1)) AS name_md5, lang AS country FROM documents WHERE text IS NOT NULL AND lang IN ('en', 'fr')")
+@query("src_read_records", "SELECT 'S' || (doc_id % 3 + 1) || '-' || doc_id AS entity_id, md5(split_part(text, '.', 1)) AS name_md5, md5(substr(text, length(split_part(text, '.', 1)) + 2)) AS address_md5, lang AS country FROM documents WHERE text IS NOT NULL AND lang IN ('en', 'fr')")
 def _(spark, sf_dir):
-    got = files.read_records(spark, _tsv(views.records(spark, sf_dir).drop("address").withColumn("address", F.lit("-")).select(*files.RECORD)), ["en", "fr"])
-    return got.select("entity_id", F.md5(F.encode("name", "UTF-8")).alias("name_md5"), "country")
+    got = files.read_records(spark, _tsv(views.records(spark, sf_dir).select(*files.RECORD)), ["en", "fr"], multi_line=True)
+    md5 = lambda c: F.md5(F.encode(c, "UTF-8")).alias(f"{c}_md5")
+    return got.select("entity_id", md5("name"), md5("address"), "country")
 
 
 @query("src_ground_truth", sql("SELECT id AS s1_id, coalesce(string_agg(cand_id, ' ' ORDER BY cand_id), '') AS ids FROM recs LEFT JOIN edges ON s1_id = id WHERE id LIKE 'S1-%' GROUP BY id", "edges"))
@@ -103,9 +105,43 @@ def _(spark, sf_dir):
 
 @query("src_last_wins", "SELECT s1_id, arg_max(v, p) AS ids FROM (SELECT 'S1-' || (doc_id % 50) AS s1_id, doc_id AS p, 'S2-' || doc_id AS v FROM documents) GROUP BY s1_id")
 def _(spark, sf_dir):
-    d = views.table(spark, sf_dir, "documents")
-    rows = d.select(F.concat(F.lit("S1-"), F.col("doc_id") % 50).alias("s1_id"), F.concat(F.lit("S2-"), "doc_id").alias("ids"), "doc_id")
-    return files.last_wins(rows, "s1_id", "doc_id").select("s1_id", "ids")
+    """A truth file whose records repeat: the last row of each stands. Files are named in order, as the range partitions are."""
+    d = views.table(spark, sf_dir, "documents").repartitionByRange("doc_id").sortWithinPartitions("doc_id")
+    path = _tsv(d.select(F.concat(F.lit("S1-"), F.col("doc_id") % 50).alias("s1_id"), F.concat(F.lit("S2-"), "doc_id").alias("ids")))
+    return files.load_ground_truth(spark, path).select("s1_id", _join("ids").alias("ids"))
+
+
+def _catalog(spark, sf_dir, source=views.records) -> files.Catalog:
+    """The records as three source files, and the truth."""
+    root = fresh_path(spark, "catalog")
+    rows = source(spark, sf_dir).select(*files.RECORD)
+    put = lambda d, what: d.write.csv(f"{root}/test/test_{what}.tsv", sep="\t", header=True, quote='"', escape='"', emptyValue="", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+    for k in (1, 2, 3):
+        put(rows.withColumns({c: F.translate(c, "\n\r", "  ") for c in ("name", "address")}).where(F.startswith("entity_id", F.lit(f"S{k}-"))), f"source{k}")
+    norms = written(rows.select("entity_id", "country", normalize.norm_text(F.col("name")).alias("norm_name"), normalize.norm_text(F.col("address")).alias("norm_addr")), "norms")
+    ids = truth_edges(norms).groupBy("s1_id").agg(F.array_join(F.array_sort(F.collect_set("cand_id")), ",").alias("ids"))
+    put(norms.where(F.startswith("entity_id", F.lit("S1-"))).select(F.col("entity_id").alias("s1_id")).join(ids, "s1_id", "left"), "ground_truth")
+    return files.Catalog(root, "test")
+
+
+@query("src_pool_union", "SELECT 'S' || (p_partkey % 3 + 1) AS source, substr(p_brand, 1, 7) AS country, count(*)::BIGINT AS n, count(DISTINCT p_name)::BIGINT AS names FROM part WHERE p_partkey % 3 > 0 AND substr(p_brand, 1, 7) <> 'Brand#1' GROUP BY 1, 2")
+def _(spark, sf_dir):
+    """The pool of sources 2 and 3 from their files, of all countries but one."""
+    wanted = [r[0] for r in views.goods(spark, sf_dir).select("country").distinct().collect() if r[0] != "Brand#1"]
+    pool = _catalog(spark, sf_dir, views.goods).sources(spark, wanted)[1]
+    return pool.groupBy(F.substring("entity_id", 1, 2).alias("source"), "country").agg(F.count("*").alias("n"), F.count_distinct("name").alias("names"))
+
+
+@query("lim_per_country", "SELECT country, id AS entity_id FROM (SELECT id, country, row_number() OVER (PARTITION BY country ORDER BY id) AS r FROM (" + views._GOODS + ") WHERE id LIKE 'S1-%') WHERE r <= 3")
+def _(spark, sf_dir):
+    return jobs.limited(_catalog(spark, sf_dir, views.goods).sources(spark)[0], 3).select("country", "entity_id")
+
+
+@query("flt_entity_list", "SELECT 'S1-' || p_partkey AS entity_id, p_name AS name FROM part WHERE p_partkey % 3 = 0 AND p_partkey IN (SELECT s_suppkey FROM supplier)")
+def _(spark, sf_dir):
+    """Source-1 records that a list of ids names."""
+    only = views.table(spark, sf_dir, "supplier").select(F.concat(F.lit("S1-"), "s_suppkey").alias("entity_id"))
+    return jobs.listed(_catalog(spark, sf_dir, views.goods).sources(spark)[0], only).select("entity_id", "name")
 
 
 @query("src_countries", sql("SELECT DISTINCT country FROM recs"))
@@ -163,9 +199,14 @@ def _(spark, sf_dir):
     return _norms(spark, sf_dir).select("entity_id", F.size(normalize.words_of(t)).cast("long").alias("n_words"), _join(normalize.numbers_of(t)).alias("nums"))
 
 
-@query("str_non_latin", "SELECT lang, count(*)::BIGINT AS n, 0::BIGINT AS non_latin FROM documents WHERE text IS NOT NULL GROUP BY lang")
+#: Texts with letters below and beyond the border, and a mark beyond it that is no letter.
+_SCRIPTS = ("दिल्ली", "привет", "中文 abc", "İstanbul", "dash – only", "ﬁne", "")
+
+
+@query("str_non_latin", "SELECT lang, count(*)::BIGINT AS n, count(*) FILTER (len(list_filter(regexp_extract_all(text, '\\p{L}'), lambda c: unicode(c) >= 2304)) > 0)::BIGINT AS non_latin FROM (SELECT lang, text FROM documents WHERE text IS NOT NULL UNION ALL SELECT 'script ' || (i - 1), t FROM (SELECT unnest([" + ", ".join(f"'{t}'" for t in _SCRIPTS) + f"]) AS t, unnest(range(1, {len(_SCRIPTS) + 1})) AS i)) GROUP BY lang")
 def _(spark, sf_dir):
-    d = views.table(spark, sf_dir, "documents").where("text is not null")
+    more = spark.createDataFrame([(f"script {i}", t) for i, t in enumerate(_SCRIPTS)], "lang string, text string")
+    d = views.table(spark, sf_dir, "documents").where("text is not null").select("lang", "text").unionByName(more)
     return d.groupBy("lang").agg(F.count("*").alias("n"), F.count_if(normalize.is_non_latin(F.col("text"))).alias("non_latin"))
 
 
@@ -196,7 +237,13 @@ def _(spark, sf_dir):
     return p.select("entity_id", _join(minhash.md5_bands(F.col("name_toks"))).alias("bands"))
 
 
-@query("str_lsh_crc32")
+_CRC32 = """steps AS MATERIALIZED (SELECT list(c ORDER BY n) AS t FROM (SELECT n, list_reduce(range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, n) AS c FROM (SELECT unnest(range(256)) AS n))),
+known AS MATERIALIZED (SELECT g, seed, xor(list_reduce([('0x' || substr(h, 2 * i + 1, 2))::BIGINT FOR i IN range(length(h) // 2)], lambda c, b: xor(c >> 8, list_extract(t, 1 + (xor(c, b) & 255))), xor(seed, 4294967295)), 4294967295) AS crc
+  FROM (SELECT DISTINCT g, hex(encode(g)) AS h FROM (SELECT unnest(g) AS g FROM grams)), (SELECT unnest(range(1, 9)) AS seed), steps),
+lows AS (SELECT id, seed, min(crc) AS h FROM (SELECT id, unnest(g) AS g FROM grams) JOIN known USING (g) GROUP BY id, seed)"""
+
+
+@query("str_lsh_crc32", sql(_CRC32 + " SELECT a.id AS entity_id, ((a.seed - 1) // 2)::INTEGER AS band, a.h AS h1, b.h AS h2 FROM lows a JOIN lows b ON a.id = b.id AND b.seed = a.seed + 1 WHERE a.seed % 2 = 1", "grams").replace("\nsteps AS", ",\nsteps AS", 1))
 def _(spark, sf_dir):
     p = blocking.prepare(views.records(spark, sf_dir), RULES)
     return p.select("entity_id", F.explode(minhash.crc32_bands(F.col("name_toks"))).alias("b")).select("entity_id", "b.*")
@@ -238,7 +285,7 @@ def _(spark, sf_dir):
 
 @query("sim_jaro_winkler", "SELECT p_partkey, round(jaro_winkler_similarity(lower(p_name), lower(p_type)), 6) AS jw FROM part")
 def _(spark, sf_dir):
-    return views.table(spark, sf_dir, "part").select("p_partkey", F.round(similarity.string_similarities(F.lower("p_name"), F.lower("p_type"))["jw"], 6).alias("jw"))
+    return views.table(spark, sf_dir, "part").select("p_partkey", F.round(similarity.measures(("jw",))(F.lower("p_name"), F.lower("p_type"))["jw"], 6).alias("jw"))
 
 
 @query("set_jaccard", sql("SELECT c.s1_id, c.cand_id, round(CASE WHEN u = 0 THEN 0.0 ELSE i::DOUBLE / u END, 6) AS name_jaccard FROM (SELECT s1_id, cand_id, len(list_intersect(a.names, b.names)) AS i, len(list_distinct(a.names || b.names)) AS u FROM cand JOIN prep a ON a.id = s1_id JOIN prep b ON b.id = cand_id) c", "cand", "prep"))
@@ -273,16 +320,15 @@ def _(spark, sf_dir):
 @query("rule_expand_probe", sql("SELECT id AS entity_id, string_agg(token, ' ' ORDER BY token) AS words FROM probe_words GROUP BY id", "probe_words"))
 def _(spark, sf_dir):
     s1, pool = views.sides(prepared(spark, sf_dir))
-    w = blocking.idf(pool, s1)
+    w = written(blocking.idf(pool, s1), "weights")
     got = blocking.expand_words(blocking.rarest(s1, w), w, RULES).where(F.size("words") > 0)
     return got.select("entity_id", _join(F.array_sort(F.transform("words", lambda x: x["token"]))).alias("words"))
 
 
 def _keys(spark, sf_dir, source=views.records):
     s1, pool = views.sides(prepared(spark, sf_dir, source))
-    w = blocking.idf(pool, s1)
-    top = w.groupBy("country").agg(F.max("idf").alias("max_idf"))
-    return blocking.keys(blocking.expand_words(blocking.rarest(s1, w), w, RULES), top, CONFIG), blocking.keys(blocking.rarest(pool, w), None, CONFIG)
+    w = written(blocking.idf(pool, s1), "weights")
+    return blocking.keys(blocking.expand_words(blocking.rarest(s1, w), w, RULES), blocking.greatest_idf(w), CONFIG), blocking.keys(blocking.rarest(pool, w), None, CONFIG)
 
 
 for _fam, _name in enumerate(("name_addr", "num_addr", "name_num", "name_pair", "exact_name", "name_lsh"), 1):
@@ -433,6 +479,34 @@ def _(spark, sf_dir):
     return assign.assign(t, 0.6, t.select("s1_id").distinct(), {"S2": 1, "S3": 1}, True, 0.3).select("s1_id", _join("ids").alias("ids"))
 
 
+_RIVALS = """rivals AS (SELECT 'S1-' || (s_nationkey + k) % 25 AS s1_id, CASE WHEN s_suppkey % 2 = 0 THEN 'S2-' ELSE 'S3-' END || s_suppkey AS cand_id, round((s_acctbal + 1000) / 12000 - k / 40.0, 6) AS score FROM supplier, (SELECT unnest([0, 1, 2]) AS k))"""
+_GREEDY = f"""WITH RECURSIVE {_RIVALS}, c AS MATERIALIZED (SELECT *, substr(cand_id, 1, 2) AS src, row_number() OVER (ORDER BY score DESC, s1_id, cand_id) AS i FROM rivals WHERE score >= 0.3),
+g(i, used, held, won) AS (SELECT 0::BIGINT, []::VARCHAR[], []::VARCHAR[], []::BIGINT[] UNION ALL
+  SELECT i, CASE WHEN ok THEN list_append(used, cand_id) ELSE used END, CASE WHEN ok THEN list_append(held, s1_id || src) ELSE held END, CASE WHEN ok THEN list_append(won, i) ELSE won END
+  FROM (SELECT c.i, used, held, won, cand_id, s1_id, src, score >= 0.6 AND NOT list_contains(used, cand_id) AND len(list_filter(held, lambda h: h = s1_id || src)) < CASE src WHEN 'S2' THEN 2 ELSE 1 END AS ok FROM g JOIN c ON c.i = g.i + 1)),
+first AS MATERIALIZED (SELECT c.* FROM c WHERE list_contains((SELECT won FROM g ORDER BY i DESC LIMIT 1), c.i)),
+rest AS MATERIALIZED (SELECT s1_id, cand_id, score, row_number() OVER (ORDER BY score DESC, s1_id, cand_id) AS i FROM c WHERE score < 0.6 AND s1_id NOT IN (SELECT s1_id FROM first) AND cand_id NOT IN (SELECT cand_id FROM first)),
+r(i, used, helped, won) AS (SELECT 0::BIGINT, []::VARCHAR[], []::VARCHAR[], []::BIGINT[] UNION ALL
+  SELECT i, CASE WHEN ok THEN list_append(used, cand_id) ELSE used END, CASE WHEN ok THEN list_append(helped, s1_id) ELSE helped END, CASE WHEN ok THEN list_append(won, i) ELSE won END
+  FROM (SELECT rest.i, used, helped, won, cand_id, s1_id, NOT list_contains(used, cand_id) AND NOT list_contains(helped, s1_id) AS ok FROM r JOIN rest ON rest.i = r.i + 1)),
+both_ AS (SELECT s1_id, cand_id, score FROM first UNION ALL SELECT s1_id, cand_id, score FROM rest WHERE list_contains((SELECT won FROM r ORDER BY i DESC LIMIT 1), rest.i))
+SELECT n.s1_id, coalesce(string_agg(cand_id, ' ' ORDER BY score DESC, cand_id), '') AS ids FROM (SELECT DISTINCT s1_id FROM rivals) n LEFT JOIN both_ b ON b.s1_id = n.s1_id GROUP BY n.s1_id"""
+
+
+def rivals(spark, sf_dir) -> DataFrame:
+    """(s1_id, cand_id, score): every supplier wanted by three nations, so caps and exclusiveness bind."""
+    s = views.table(spark, sf_dir, "supplier").select("*", F.explode(F.array(*map(F.lit, range(3)))).alias("k"))
+    score = F.round((F.col("s_acctbal") + 1000) / 12000 - F.col("k") / F.lit(40.0), 6)
+    return s.select(F.concat(F.lit("S1-"), (F.col("s_nationkey") + F.col("k")) % 25).alias("s1_id"), F.concat(F.when(F.col("s_suppkey") % 2 == 0, "S2-").otherwise("S3-"), "s_suppkey").alias("cand_id"), score.alias("score"))
+
+
+@query("asg_rescue", _GREEDY)
+def _(spark, sf_dir):
+    """Greed under binding caps, and rescue of records left without a match, step by step in SQL."""
+    t = written(rivals(spark, sf_dir), "rivals")
+    return assign.assign(t, 0.6, t.select("s1_id").distinct(), {"S2": 2, "S3": 1}, True, 0.3).select("s1_id", _join("ids").alias("ids"))
+
+
 _SWEEP = f"""WITH {_TRIPLES}, truth AS (SELECT DISTINCT s1_id, cand_id FROM t WHERE score >= 0.7), ent AS (SELECT DISTINCT s1_id FROM t), g AS (SELECT unnest([{", ".join(map(str, tuning.GRID))}]) AS th),
 top AS (SELECT * FROM (SELECT t.*, row_number() OVER (PARTITION BY s1_id, src ORDER BY score DESC, s1_id, cand_id) AS k FROM t WHERE score >= 0.05) WHERE k <= CASE src WHEN 'S2' THEN 6 ELSE 7 END),
 p AS (SELECT th, s1_id, count(*) AS p, count(u.cand_id) AS tp FROM g JOIN top ON score >= th LEFT JOIN truth u USING (s1_id, cand_id) GROUP BY th, s1_id),
@@ -446,7 +520,7 @@ SELECT th::DOUBLE AS threshold, round(avg(CASE WHEN p = 0 AND n = 0 THEN 1.0 WHE
 def _(spark, sf_dir):
     t = triples(spark, sf_dir)
     true = t.groupBy("s1_id").agg(F.collect_set(F.when(F.col("score") >= 0.7, F.col("cand_id"))).alias("ids"))
-    return tuning.sweep_independent(t, true).select("threshold", *[F.round(c, 6).alias(c) for c in ("macro_f05", "mean_precision", "mean_recall")])
+    return tuning.curve(t, true, exclusive=False).select("threshold", *[F.round(c, 6).alias(c) for c in ("macro_f05", "mean_precision", "mean_recall")])
 
 
 _SETS = f"""{_TRIPLES}, truth AS (SELECT s1_id, cand_id FROM t WHERE score >= 0.7), pred AS (SELECT s1_id, cand_id FROM t WHERE score * 7 % 1 >= 0.5), ent AS (SELECT DISTINCT s1_id FROM t),
@@ -496,6 +570,17 @@ def _(spark, sf_dir):
     return files.validate(written(assign.assign(t, 0.5, ids), "matches"), lists, s1)
 
 
+@query("val_violations", """WITH m AS (SELECT 'S1-' || o_custkey AS s1_id, 'S2-' || (o_orderkey % 7) AS c FROM orders), s AS (SELECT 'S1-' || c_custkey AS s1_id FROM customer WHERE c_nationkey < 12), d AS (SELECT DISTINCT s1_id, c FROM m)
+SELECT 'a row for each record' AS rule, count(*)::BIGINT AS violations FROM s WHERE s1_id NOT IN (SELECT s1_id FROM m) UNION ALL SELECT 'no other rows', count(DISTINCT s1_id) FROM m WHERE s1_id NOT IN (SELECT s1_id FROM s)
+UNION ALL SELECT 'no repeats in a list', count(*) FROM (SELECT s1_id FROM m GROUP BY s1_id HAVING count(DISTINCT c) < count(*)) UNION ALL SELECT 'matches are candidates', count(*) FROM m WHERE c > 'S2-3'
+UNION ALL SELECT 'a candidate matches once', count(*) FROM (SELECT c FROM m GROUP BY c HAVING count(*) > 1)""")
+def _(spark, sf_dir):
+    """The same rules on lists that break them."""
+    m = views.table(spark, sf_dir, "orders").groupBy(F.concat(F.lit("S1-"), "o_custkey").alias("s1_id")).agg(F.collect_list(F.concat(F.lit("S2-"), F.col("o_orderkey") % 7)).alias("ids"))
+    s1 = views.table(spark, sf_dir, "customer").where("c_nationkey < 12").select(F.concat(F.lit("S1-"), "c_custkey").alias("entity_id"))
+    return files.validate(m, m.select("s1_id", F.filter("ids", lambda c: c <= "S2-3").alias("ids")), s1)
+
+
 @query("agg_run_totals", sql("SELECT count(DISTINCT s1_id)::BIGINT AS records, count(*)::BIGINT AS candidates, round(count(*) / (SELECT count(*) FROM prep WHERE id LIKE 'S1-%'), 6) AS per_record FROM cand", "cand"))
 def _(spark, sf_dir):
     cands, s1, *_ = found(spark, sf_dir)
@@ -540,6 +625,42 @@ def _(spark, sf_dir):
     return got.select("token", _join("alternates").alias("alternates"))
 
 
+@query("mine_droppable_thresholds", "WITH l AS (SELECT split_part(p_name, ' ', 1) AS token, l_quantity > 40 AS more FROM lineitem JOIN part ON p_partkey = l_partkey), n AS (SELECT token, count(*) AS n FROM l WHERE more GROUP BY token), s AS (SELECT token, count(*) AS seen FROM l WHERE NOT more GROUP BY token) SELECT token FROM n LEFT JOIN s USING (token) WHERE n >= 200 AND n / greatest(coalesce(seen, 0), 1) > 0.25")
+def _(spark, sf_dir):
+    """Tokens that one side has on top, often enough and often enough among the names that have them."""
+    li = views.table(spark, sf_dir, "lineitem").join(views.table(spark, sf_dir, "part"), F.col("p_partkey") == F.col("l_partkey"))
+    token = F.substring_index("p_name", " ", 1)
+    diffs = li.where("l_quantity > 40").select(F.lit("name").alias("field"), F.array().cast("array<string>").alias("x"), F.array(token).alias("y"))
+    seen = li.where("l_quantity <= 40").groupBy(token.alias("token")).agg(F.count("*").alias("seen"))
+    return mining.droppable(mining.drop_counts(diffs), seen, 200, 0.25)
+
+
+_LETTERS = "अआइईउऊएऐओऔकखगघचछजझटठडढतथदध"
+
+
+@query("mine_translit", f"""WITH t AS (SELECT translate(split_part(p_name, ' ', 1), 'abcdefghijklmnopqrstuvwxyz', '{_LETTERS}') AS token, CASE WHEN l_linenumber % 3 = 0 THEN split_part(p_name, ' ', 1) || 'a' WHEN l_linenumber % 3 = 1 THEN split_part(p_name, ' ', 1) ELSE reverse(split_part(p_name, ' ', 1)) END AS latin FROM lineitem JOIN part ON p_partkey = l_partkey),
+c AS (SELECT token, latin, count(*) AS n FROM t GROUP BY token, latin) SELECT token, latin FROM (SELECT *, row_number() OVER (PARTITION BY token ORDER BY n DESC, latin) AS r FROM c) WHERE r = 1 AND n >= 15""")
+def _(spark, sf_dir):
+    """The most frequent Latin spelling of each word of another script."""
+    li = views.table(spark, sf_dir, "lineitem").join(views.table(spark, sf_dir, "part"), F.col("p_partkey") == F.col("l_partkey"))
+    word, k = F.substring_index("p_name", " ", 1), F.col("l_linenumber") % 3
+    latin = F.when(k == 0, F.concat(word, F.lit("a"))).when(k == 1, word).otherwise(F.reverse(word))
+    found = li.select(F.array(latin).alias("n1"), F.array(F.translate(word, "abcdefghijklmnopqrstuvwxyz", _LETTERS)).alias("n2"), F.lit(True).alias("foreign"))
+    return mining.transliterations(found)
+
+
+@query("mine_expansion_thresholds", rf"""SELECT token, string_agg(alt, ' ' ORDER BY alt) AS alternates FROM (SELECT DISTINCT unnest([a, b]) AS token, unnest([b, a]) AS alt FROM (
+  SELECT least(x, y) AS a, greatest(x, y) AS b, count(*) AS n FROM (SELECT split_part(p_name, ' ', 1) AS x, substr(split_part(p_name, ' ', 1), 1, (1 + l_linenumber)::INTEGER) AS y FROM lineitem JOIN part ON p_partkey = l_partkey) WHERE x <> y GROUP BY 1, 2)
+  WHERE n >= 40 AND {_related_sql("a", "b")}) GROUP BY token""")
+def _(spark, sf_dir):
+    """Words and their beginnings that stand for one another 40 times or more."""
+    li = views.table(spark, sf_dir, "lineitem").join(views.table(spark, sf_dir, "part"), F.col("p_partkey") == F.col("l_partkey"))
+    word = F.substring_index("p_name", " ", 1)
+    short = F.substring(word, F.lit(1), (F.col("l_linenumber") + 1).cast("int"))
+    diffs = li.where(word != short).select(F.lit("addr").alias("field"), F.array(word).alias("x"), F.array(short).alias("y"))
+    return mining.expansion_edges(mining.substitutions(diffs)).select("token", _join("alternates").alias("alternates"))
+
+
 def _shortlist(spark, sf_dir):
     """(masses of the shortlist of 200, source 1, pool)."""
     raw, s1, pool, w = found(spark, sf_dir, capped=False)
@@ -547,11 +668,11 @@ def _shortlist(spark, sf_dir):
 
 
 def _variants_sql() -> str:
-    def field(f: str, mode: str, pen: float) -> str:
-        v = {"cover": "i_{0} / b_{0}", "cosine": "i_{0} / sqrt(b_{0} * c_{0})", "dice": "2.0 * i_{0} / (b_{0} + c_{0})"}[mode].format(f) + (f" / pow(c_{f}, {pen})" if pen else "")
+    def field(f: str, overlap: str, pen: float) -> str:
+        v = {"cover": "i_{0} / b_{0}", "cosine": "i_{0} / sqrt(b_{0} * c_{0})", "dice": "2.0 * i_{0} / (b_{0} + c_{0})"}[overlap].format(f) + (f" / pow(c_{f}, {pen})" if pen else "")
         return f"CASE WHEN i_{f} > 0 AND b_{f} > 0 AND c_{f} > 0 THEN {v} ELSE 0.0 END"
 
-    made = {"keys": "block_score"} | {n: " + ".join([f"{w} * ({field(f, m, p)})" for f, w in zip("nwd", (wn, ww, wd), strict=True)] + [f"{wk} * block_score"]) for n, (m, p, wn, ww, wd, wk) in tuning.VARIANTS.items()}
+    made = {"keys": "block_score"} | {n: " + ".join([f"{w} * ({field(k, f.overlap, f.penalty)})" for k, w in f.weights.items()] + [f"{f.keys} * block_score"]) for n, f in tuning.FORMULAS.items()}
     rows = " UNION ALL ".join(f"SELECT '{n}' AS variant, s1_id, cand_id, round({e}, 9) AS score FROM m" for n, e in made.items())
     of = lambda f, t, k: f"coalesce((SELECT mass FROM {t} q WHERE {k} AND q.f = '{f}'), 0)"
     m = ", ".join(f"{of(f, 'both2', 'q.s1_id = s.s1_id AND q.cand_id = s.cand_id')} AS i_{f}, {of(f, 'sums', 'q.id = s.s1_id')} AS b_{f}, {of(f, 'sums', 'q.id = s.cand_id')} AS c_{f}" for f in "nwd")
@@ -570,9 +691,7 @@ def _(spark, sf_dir):
 def _(spark, sf_dir):
     """The same with the blends of a fuzzy measure."""
     rows, s1, pool = _shortlist(spark, sf_dir)
-    names = lambda d, k, c: d.select(F.col("entity_id").alias(k), F.array_join(F.array_sort("name_toks"), " ").alias(c))
-    rows = rows.join(names(s1, "s1_id", "_a"), "s1_id").join(names(pool, "cand_id", "_b"), "cand_id").withColumn("csim", similarity.string_similarities("_a", "_b")["token_sort"])
-    got = tuning.compare(written(rows.drop("_a", "_b"), "blends"), truth_edges(s1.unionByName(pool)), 20, True)
+    got = tuning.compare(written(tuning.with_char_similarity(rows, s1, pool), "blends"), truth_edges(s1.unionByName(pool)), 20, True)
     return got.withColumn("recall", F.round("recall", 6))
 
 
@@ -588,3 +707,33 @@ def _(spark, sf_dir):
     RULES.save(spark, path)
     got = RuleSet.load(spark, path)
     return spark.range(1).select(*[F.lit(len(v)).cast("long").alias(k) for k, v in (("droppable", got.droppable), ("expansions", got.expansions), ("phrases", got.phrases), ("translit", got.translit))])
+
+
+# --- jobs -----------------------------------------------------------------------------------------------
+
+
+@query("cli_predict", sql("SELECT id AS s1_id, count(cand_id)::BIGINT AS candidates, 0::BIGINT AS strange, 0::BIGINT AS repeated FROM prep LEFT JOIN cand ON s1_id = id WHERE id LIKE 'S1-%' GROUP BY id", "cand", source="goods"))
+def _(spark, sf_dir):
+    """The jobs in turn over files: a data set, a model with its threshold, and both output lists, read back and held
+    against one another: candidates of each record, matches that are none of them, and matches that it or another has already."""
+    catalog, out = _catalog(spark, sf_dir, views.goods), fresh_path(spark, "jobs")
+    jobs.make_dataset(spark, catalog, RULES, f"{out}/set", config=CONFIG)
+    jobs.train(spark, [f"{out}/set"], f"{out}/trained", rounds=5)
+    jobs.predict(spark, catalog, RULES, f"{out}/trained", f"{out}/got", config=CONFIG)
+    read = lambda what: spark.read.csv(f"{out}/got/{what}", sep="\t", header=True, quote="").toDF("s1_id", "ids").select("s1_id", F.filter(F.split(F.coalesce("ids", F.lit("")), ","), lambda x: x != "").alias("ids"))
+    cands, matches = read("candidate_pairs").withColumnRenamed("ids", "c"), read("matching_results").withColumnRenamed("ids", "m")
+    taken = matches.select("s1_id", F.explode("m").alias("x")).groupBy("x").agg(F.count("*").alias("n"), F.min("s1_id").alias("s1_id")).where("n > 1").groupBy("s1_id").agg(F.count("*").alias("twice"))
+    strange = F.size(F.array_except("m", "c")).cast("long")
+    repeated = F.coalesce("twice", F.lit(0).cast("long")) + F.size("m") - F.size(F.array_distinct("m"))
+    return cands.join(matches, "s1_id", "full_outer").join(taken, "s1_id", "left").select("s1_id", F.size("c").cast("long").alias("candidates"), strange.alias("strange"), repeated.cast("long").alias("repeated"))
+
+
+@query("asg_exclusive_sweep", f"""WITH {_TRIPLES}, best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY cand_id ORDER BY score DESC, s1_id, cand_id) AS k FROM t WHERE score >= 0.05) WHERE k = 1), g AS (SELECT unnest([{', '.join(map(str, tuning.GRID))}]) AS th),
+  c AS (SELECT th, s1_id, count(b.cand_id) AS n, count(CASE WHEN b.score >= th THEN 1 END) AS p FROM g CROSS JOIN (SELECT DISTINCT s1_id FROM t) LEFT JOIN best b USING (s1_id) GROUP BY th, s1_id)
+SELECT th::DOUBLE AS threshold, round(avg(CASE WHEN n = 0 THEN 1.0 WHEN p = 0 THEN 0.0 ELSE 1.25 * (p / n) / (0.25 + p / n) END), 6) AS macro_f05 FROM c GROUP BY th""")
+def _(spark, sf_dir):
+    """A sweep under one-to-one assignment, with the claims that win at the lowest threshold as the truth."""
+    t = written(triples(spark, sf_dir), "triples")
+    won = written(assign.one_to_one(t, min(tuning.GRID), None, {"S2": 50, "S3": 50}), "won")
+    got = tuning.curve(t, files.every_record(t.select(F.col("s1_id").alias("entity_id")).distinct(), won.groupBy("s1_id").agg(F.collect_list("cand_id").alias("ids"))), caps={"S2": 50, "S3": 50})
+    return got.select("threshold", F.round("macro_f05", 6).alias("macro_f05"))

@@ -5,29 +5,32 @@ from __future__ import annotations
 import os
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 RECORD = ["entity_id", "name", "address", "country"]
 
 
-def _table(spark: SparkSession, path: str, names: list[str]) -> DataFrame:
-    """Columns by position whatever the header says; short rows are padded, more columns ignored, blank lines skipped."""
+def _table(spark: SparkSession, path: str, names: list[str], multi_line: bool = False, placed: bool = False) -> DataFrame:
+    """Columns by position whatever the header says; short rows are padded, more columns ignored, blank lines skipped.
+    Files are split among tasks; ``multi_line`` allows quoted line breaks, at the price of one task a file. ``placed`` adds
+    ``at``, which orders rows by file name and by place in the file."""
     schema = ", ".join(f"`{n}` string" for n in names)
-    rows = spark.read.schema(schema).csv(path, sep="\t", header=True, enforceSchema=True, quote='"', escape='"', multiLine=True, mode="PERMISSIVE")
-    return rows.na.fill("")
+    rows = spark.read.schema(schema).csv(path, sep="\t", header=True, enforceSchema=True, quote='"', escape='"', multiLine=multi_line, mode="PERMISSIVE")
+    at = [F.struct("_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id().alias("row")).alias("at")] if placed else []
+    return rows.select(*[F.coalesce(n, F.lit("")).alias(n) for n in names], *at)
 
 
-def read_records(spark: SparkSession, path: str, countries: list[str] | None = None) -> DataFrame:
+def read_records(spark: SparkSession, path: str, countries: list[str] | None = None, multi_line: bool = False) -> DataFrame:
     """Records with empty strings for what is missing; the country filter reaches the scan."""
-    rows = _table(spark, path, RECORD)
+    rows = _table(spark, path, RECORD, multi_line)
     return rows.where(F.col("country").isin(countries)) if countries is not None else rows
 
 
-def read_ground_truth(spark: SparkSession, path: str) -> DataFrame:
+def read_ground_truth(spark: SparkSession, path: str, placed: bool = False) -> DataFrame:
     """(s1_id, ids); no second column is no match, and empty ids go."""
-    rows = _table(spark, path, ["s1_id", "list"]).where("s1_id != '' or list != ''")
-    return rows.select("s1_id", F.filter(F.split("list", ","), lambda x: x != "").alias("ids"))
+    rows = _table(spark, path, ["s1_id", "list"], placed=placed).where("s1_id != '' or list != ''")
+    return rows.select("s1_id", F.filter(F.split("list", ","), lambda x: x != "").alias("ids"), *(["at"] if placed else []))
 
 
 def last_wins(rows: DataFrame, key: str, order: str) -> DataFrame:
@@ -37,9 +40,8 @@ def last_wins(rows: DataFrame, key: str, order: str) -> DataFrame:
 
 
 def load_ground_truth(spark: SparkSession, path: str) -> DataFrame:
-    """Truth with one row for each record; of repeated ones the last in the file stands."""
-    rows = read_ground_truth(spark, path).withColumn("at", F.monotonically_increasing_id())
-    return last_wins(rows, "s1_id", "at").drop("at")
+    """Truth with one row for each record; of repeated ones the last stands: in the last file by name, at the last place."""
+    return last_wins(read_ground_truth(spark, path, placed=True), "s1_id", "at").drop("at")
 
 
 def list_countries(records: DataFrame) -> DataFrame:
@@ -53,8 +55,9 @@ def truth_edges(truth: DataFrame) -> DataFrame:
 def write_id_lists(rows: DataFrame, path: str, header: tuple[str, str]) -> int:
     """(id, ids) as two columns, each list without repeats, in order. Returns the rows written."""
     out = rows.select(F.col(rows.columns[0]).alias(header[0]), F.array_join(F.array_distinct(rows.columns[1]), ",").alias(header[1]))
-    out.write.mode("overwrite").csv(path, sep="\t", header=True, quote="", emptyValue="")
-    return rows.sparkSession.read.csv(path, sep="\t", header=True, quote="").count()
+    seen = Observation()
+    out.observe(seen, F.count("*").alias("n")).write.mode("overwrite").csv(path, sep="\t", header=True, quote="", emptyValue="")
+    return seen.get["n"]
 
 
 def every_record(s1: DataFrame, lists: DataFrame) -> DataFrame:

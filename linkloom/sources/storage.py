@@ -6,12 +6,19 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+#: Rows up to which a table may be broadcast.
+FEW = 10_000
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir`` of the session; a local folder only where it is unset, as in tests."""
+    """``spark.checkpoint.dir`` of the session. Where that is unset: a local folder if all runs on one machine, as in tests,
+    else an error, as each machine would write to a folder of its own."""
     got = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not got:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         got = tempfile.mkdtemp(prefix="linkloom-")
         spark.sparkContext.setCheckpointDir(got)
     return got
@@ -26,3 +33,10 @@ def written(df: DataFrame, name: str) -> DataFrame:
     path = fresh_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def few(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once, and broadcast where its count proves it small. For tables of a row a country: joined by the
+    country alone, a shuffle has no more tasks than there are countries."""
+    kept = written(df, name)
+    return F.broadcast(kept) if kept.count() <= FEW else kept

@@ -53,7 +53,7 @@ def test_rules_modes(spark):
 def test_features_are_finite(spark, sides):
     w = blocking.idf(sides[1], sides[0])
     got = features.pair_features(blocking.candidates(*sides, RULES), *sides, w)
-    assert got.columns[3:] == features.FEATURE_NAMES and len(features.FEATURE_NAMES) == 36
+    assert tuple(got.columns[3:]) == features.FEATURE_NAMES and len(features.FEATURE_NAMES) == 36
     for r in got.collect():
         assert all(isinstance(v, float) and v == v and abs(v) < 1e9 for v in r[3:])
     best = got.where("s1_id = 'S1-1' and cand_id = 'S2-1'").first()
@@ -121,9 +121,9 @@ def test_sweep_keeps_lowest_of_equals(spark):
 def test_files(spark, tmp_path):
     p = tmp_path / "s.tsv"
     p.write_text('id\tn\ta\tc\nS1-1\tAcme, "x"\t1 Oak\tUS\textra\nS1-2\tonly\n\nS1-3\t"a\nb"\tq\tFR\n')
-    got = files.read_records(spark, str(p)).collect()
+    got = files.read_records(spark, str(p), multi_line=True).collect()
     assert [tuple(r) for r in got] == [("S1-1", 'Acme, "x"', "1 Oak", "US"), ("S1-2", "only", "", ""), ("S1-3", "a\nb", "q", "FR")]
-    assert files.read_records(spark, str(p), ["FR"]).count() == 1
+    assert files.read_records(spark, str(p), ["FR"], True).count() == 1
     t = tmp_path / "t.tsv"
     t.write_text("id\tids\nS1-1\tS2-1,,S3-1\nS1-2\t\nS1-3\nS1-1\tS2-9\n")
     assert [tuple(r) for r in files.read_ground_truth(spark, str(t)).collect()] == [("S1-1", ["S2-1", "S3-1"]), ("S1-2", []), ("S1-3", []), ("S1-1", ["S2-9"])]
