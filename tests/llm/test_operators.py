@@ -11,7 +11,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from linkloom.llm import chat, components, decontaminate, encoding, lang_id, packing, simhash, simple8b, spotsigs, substring, token_counts, token_output, toxicity
+from linkloom.llm import chat, common, components, decontaminate, encoding, lang_id, packing, simhash, simple8b, spotsigs, substring, token_counts, token_output, toxicity
 
 P = pytest.importorskip("public_tokenizers")
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, score double, fp string, tag string, data string, found string, n_words string, c0 string"
@@ -497,7 +497,13 @@ def test_toxicity_ratios_are_kneser_ney(spark):
         seen = {p for t in texts for p in zip([None, *t.split()], t.split())}
         return ({w: sum(p[1] == w for p in seen) for w in words}, {w[:4]: sum(p[1][:4] == w[:4] for p in seen) for w in words})
 
-    every = counted(t for _, t in docs)
+    def kind(before):
+        return int(common.mix64(np.array([1 if before is None else toxicity.hashed(before)[0][0]], np.uint64))[0] >> np.uint64(58))
+
+    met = {(kind(a), b) for _, t in docs for a, b in zip([None, *t.split()], t.split())}
+    linear = lambda k: -64 * np.log(max(1 - k / 64, 0.5 / 64))
+    every = {w: linear(sum(b == w for _, b in met)) for w in words}
+    every = (every, {s: sum(n for w, n in every.items() if w[:4] == s) for s in {w[:4] for w in words}})
     total = sum(every[0].values())
     each = [counted(t for i, t in docs if labels.get(i) == c) for c in (1, 0)]
     discount = toxicity.DISCOUNT
