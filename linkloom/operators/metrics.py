@@ -39,9 +39,14 @@ def score_matching(pred: DataFrame, truth: DataFrame) -> DataFrame:
 
 def score_blocking(cands: DataFrame, truth: DataFrame, pool_size: int | Column) -> DataFrame:
     """One row: recall of true pairs, records found whole, candidates, reduction and the best F0.5 still in reach."""
+    return blocking_scores(compared(cands, truth), pool_size)
+
+
+def blocking_scores(counts: DataFrame, pool_size: int | Column) -> DataFrame:
+    """The same from each record's counts: tp, n_pred, n_true."""
     tp, p, t = F.col("tp"), F.col("n_pred"), F.col("n_true")
     size = F.lit(pool_size).cast("long") if isinstance(pool_size, int) else pool_size
-    got = compared(cands, truth).agg(
+    got = counts.agg(
         F.sum("tp").alias("found"), F.sum(t).alias("pairs"), F.count_if(tp == t).alias("full"), F.count("*").alias("n"), F.coalesce(F.sum(p), F.lit(0)).cast("long").alias("total_candidates"),
         F.coalesce(F.max(p), F.lit(0)).cast("long").alias("max_candidates"), F.sum(fbeta_half(tp, tp, t)).alias("ceiling"))
     space = F.col("n") * size
@@ -49,10 +54,11 @@ def score_blocking(cands: DataFrame, truth: DataFrame, pool_size: int | Column)
                       "max_candidates", "total_candidates", space.alias("search_space"), _ratio(F.col("total_candidates"), space).alias("reduction_ratio"), _ratio(F.col("ceiling"), F.col("n")).alias("ceiling_f05"))
 
 
-def recall_curve(ranked: DataFrame, edges: DataFrame, ks: tuple[int, ...] = (5, 10, 15, 20, 25, 30, 50)) -> DataFrame:
-    """(k, found, pairs, recall) off one ranked list (s1_id, cand_id, rank): hits are counted by rank once, then summed."""
+def recall_curve(ranked: DataFrame, edges: DataFrame, ks: tuple[int, ...] = (5, 10, 15, 20, 25, 30, 50), pairs: int | None = None) -> DataFrame:
+    """(k, found, pairs, recall) off one ranked list (s1_id, cand_id, rank): hits are counted by rank once, then summed.
+    ``pairs``: the number of true pairs, where ``edges`` has only those among the ranked ones."""
     hits = edges.join(ranked.select("s1_id", "cand_id", "rank"), ["s1_id", "cand_id"], "left")
-    sums = hits.agg(F.count("*").alias("pairs"), *[F.count_if(F.col("rank") < k).alias(f"k{k}") for k in ks])
+    sums = hits.agg((F.count("*") if pairs is None else F.lit(pairs).cast("long")).alias("pairs"), *[F.count_if(F.col("rank") < k).alias(f"k{k}") for k in ks])
     rows = sums.select("pairs", F.explode(F.array(*[F.struct(F.lit(k).alias("k"), F.col(f"k{k}").alias("found")) for k in ks])).alias("x"))
     return rows.select("x.k", "x.found", "pairs", _ratio(F.col("x.found"), F.col("pairs"), 1.0).alias("recall"))
 

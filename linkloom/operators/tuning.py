@@ -112,16 +112,16 @@ def variants(char_similarity: bool = False) -> dict[str, Column]:
     return out
 
 
-def compare(rows: DataFrame, edges: DataFrame, k: int = 20, char_similarity: bool = False, truth: DataFrame | None = None) -> DataFrame:
+def compare(rows: DataFrame, edges: DataFrame, k: int = 20, char_similarity: bool = False, truth: DataFrame | None = None, pairs: int | None = None) -> DataFrame:
     """(variant, found, pairs, recall) of the best k of each record by each formula; ``rows`` is the shortlist with its
     masses. All formulas are scored in one scan. With ``truth`` (s1_id, ids) also ``ceiling_f05``, the mean F0.5 that a
-    perfect choice among those k would reach."""
+    perfect choice among those k would reach. ``pairs``: the number of true pairs, where ``edges`` has only those of the shortlist."""
     made = variants(char_similarity)
     scored = rows.select("s1_id", "cand_id", F.explode(F.array(*[F.struct(F.lit(n).alias("variant"), F.round(v, 9).alias("score")) for n, v in made.items()])).alias("x")).select("s1_id", "cand_id", "x.*")
     best = scored.withColumn("r", F.row_number().over(Window.partitionBy("variant", "s1_id").orderBy(F.desc("score"), "cand_id"))).where(F.col("r") <= k)
     per = best.join(edges, ["s1_id", "cand_id"], "left_semi").groupBy("variant", "s1_id").agg(F.count("*").alias("tp"))
     names = rows.sparkSession.createDataFrame([(n,) for n in made], "variant string")
-    pairs = edges.agg(F.count("*").alias("pairs")).first()["pairs"]
+    pairs = edges.count() if pairs is None else pairs
     found = F.coalesce("found", F.lit(0).cast("long"))
     more = []
     if truth is None:

@@ -50,12 +50,33 @@ def found(spark, sf_dir, source=views.records, capped=True):
 
 
 def truth_edges(norms: DataFrame) -> DataFrame:
-    """Records of equal normal form in source 1 and the pool, as a stand-in for labels."""
+    """Records of equal normal form in source 1 and the pool, as a stand-in for labels: all pairs, for lists of them."""
     same = norms.select("country", "entity_id", F.md5(F.encode(F.concat_ws("|", "norm_name", "norm_addr"), "UTF-8")).alias("h"))
     a, b = views.sides(same)
     return a.select("country", "h", F.col("entity_id").alias("s1_id")).join(b.select("country", "h", F.col("entity_id").alias("cand_id")), ["country", "h"]).select("s1_id", "cand_id")
 
 
+def _class(norms: DataFrame) -> F.Column:
+    return F.md5(F.encode(F.concat_ws("|", "norm_name", "norm_addr"), "UTF-8"))
+
+
+def hits(cands: DataFrame, s1: DataFrame, pool: DataFrame) -> DataFrame:
+    """The candidate pairs of equal normal form: no more rows than there are candidates, however large a class of copies is."""
+    of = lambda d, k, h: d.select(F.col("entity_id").alias(k), _class(d).alias(h))
+    met = cands.select("s1_id", "cand_id").join(of(s1, "s1_id", "h1"), "s1_id").join(of(pool, "cand_id", "h2"), "cand_id")
+    return met.where("h1 = h2").select("s1_id", "cand_id")
+
+
+def true_sizes(s1: DataFrame, pool: DataFrame) -> DataFrame:
+    """(s1_id, n_true): pool records of equal normal form, by counts of classes."""
+    n = pool.select("country", _class(pool).alias("h")).groupBy("country", "h").agg(F.count("*").alias("n_true"))
+    return s1.select(F.col("entity_id").alias("s1_id"), "country", _class(s1).alias("h")).join(n, ["country", "h"], "left").select("s1_id", F.coalesce("n_true", F.lit(0)).alias("n_true"))
+
+
+def true_pairs(s1: DataFrame, pool: DataFrame) -> int:
+    return int(true_sizes(s1, pool).agg(F.sum("n_true")).first()[0] or 0)
+
+
 def _norms(spark, sf_dir) -> DataFrame:
     r = views.records(spark, sf_dir)
     return r.select("entity_id", "country", normalize.norm_text(F.col("name")).alias("norm_name"), normalize.norm_text(F.col("address")).alias("norm_addr"))
@@ -243,30 +264,12 @@ known AS MATERIALIZED (SELECT g, seed, xor(list_reduce([('0x' || substr(h, 2 * i
 lows AS (SELECT id, seed, min(crc) AS h FROM (SELECT id, unnest(g) AS g FROM grams) JOIN known USING (g) GROUP BY id, seed)"""
 
 
-@query("str_lsh_crc32", sql(_CRC32 + " SELECT a.id AS entity_id, ((a.seed - 1) // 2)::INTEGER AS band, a.h AS h1, b.h AS h2 FROM lows a JOIN lows b ON a.id = b.id AND b.seed = a.seed + 1 WHERE a.seed % 2 = 1", "grams").replace("\nsteps AS", ",\nsteps AS", 1))
+@query("str_lsh_crc32", sql(", " + _CRC32 + " SELECT a.id AS entity_id, ((a.seed - 1) // 2)::INTEGER AS band, a.h AS h1, b.h AS h2 FROM lows a JOIN lows b ON a.id = b.id AND b.seed = a.seed + 1 WHERE a.seed % 2 = 1", "grams"))
 def _(spark, sf_dir):
     p = blocking.prepare(views.records(spark, sf_dir), RULES)
     return p.select("entity_id", F.explode(minhash.crc32_bands(F.col("name_toks"))).alias("b")).select("entity_id", "b.*")
 
 
-_NEIGHBOURS = """(SELECT DISTINCT a.token AS a, b.token AS b FROM (SELECT country, token FROM df WHERE length(token) BETWEEN 1 AND 9 AND regexp_full_match(token, '[ -~]+')) a JOIN (SELECT country, token FROM df WHERE length(token) BETWEEN 1 AND 9 AND regexp_full_match(token, '[ -~]+')) b
-  ON a.country = b.country AND substr(a.token, 1, 5) = substr(b.token, 1, 5) AND a.token < b.token)"""
-
-
-@query("mine_related", sql(r"""SELECT a, b, (length(a) <= length(b) AND regexp_full_match(b, '.*' || array_to_string(string_split(a, ''), '.*') || '.*')) OR (length(b) < length(a) AND regexp_full_match(a, '.*' || array_to_string(string_split(b, ''), '.*') || '.*'))
-  OR (abs(length(a) - length(b)) <= 2 AND least(length(a), length(b)) >= 4 AND levenshtein(a, b) <= 2) AS related FROM """ + _NEIGHBOURS, "df"))
-def _(spark, sf_dir):
-    p = prepared(spark, sf_dir)
-    t = p.select("country", F.explode(F.array_distinct(F.concat("name_toks", "word_toks", "num_toks"))).alias("token")).distinct().where(F.length("token").between(1, 9) & F.col("token").rlike("^[ -~]+$")).withColumn("h", F.substring("token", 1, 5))
-    rows = t.withColumnRenamed("token", "a").join(t.withColumnRenamed("token", "b"), ["country", "h"]).where("a < b").select("a", "b").distinct()
-    return rows.select("a", "b", tokens.related(F.col("a"), F.col("b")).alias("related"))
-
-
-@query("mine_related_substitutions")
-def _(spark, sf_dir):
-    return mining.related_pairs(mining.substitutions(mining.differences(_found_pairs(spark, sf_dir)[0])))
-
-
 @query("mine_acronyms", "SELECT p_partkey, p_name, len(w) = 2 AND starts_with(w[1], 'b') AND starts_with(w[2], 's') AS bs FROM (SELECT p_partkey, p_name, string_split(lower(p_name), ' ') AS w FROM part)")
 def _(spark, sf_dir):
     w = F.split(F.lower("p_name"), " ")
@@ -283,6 +286,63 @@ def _(spark, sf_dir):
     return rows.select("s1_id", "cand_id", similarity.string_similarities("a", "b").alias("s")).select("s1_id", "cand_id", *[F.round(f"s.{c}", 6).alias(c) for c in ("ratio", "token_sort", "token_set", "partial", "jw", "osa")])
 
 
+def _lcs(a: str, b: str) -> str:
+    """Length of the longest common subsequence, a row of the table at a time."""
+    cell = f"CASE WHEN substr({a}, i[1], 1) = substr({b}, j[1], 1) THEN p[j[1]] + 1 ELSE greatest(p[j[1] + 1], r[j[1]]) END"
+    row = f"list_reduce([[k] FOR k IN range(1, length({b}) + 1)], lambda r, j: list_append(r, {cell}), [0::BIGINT])"
+    return f"list_reduce([[k] FOR k IN range(1, length({a}) + 1)], lambda p, i: {row}, [0::BIGINT FOR k IN range(length({b}) + 1)])[-1]"
+
+
+def _indel(a: str, b: str) -> str:
+    return f"CASE WHEN length({a}) + length({b}) = 0 THEN 1.0 ELSE 2.0 * {_lcs(a, b)} / (length({a}) + length({b})) END"
+
+
+def _osa(a: str, b: str) -> str:
+    """Edits with swaps of neighbours; the row before and the one before that, end to end."""
+    n = f"(length({b}) + 1)"
+    left, up, corner = "r[j[1]]", f"p[{n} + j[1] + 1]", f"p[{n} + j[1]]"
+    same = lambda x, y: f"substr({a}, i[1]{x}, 1) = substr({b}, j[1]{y}, 1)"
+    swap = f"CASE WHEN i[1] > 1 AND j[1] > 1 AND {same('', ' - 1')} AND {same(' - 1', '')} THEN p[j[1] - 1] + 1 ELSE 1000000 END"
+    cell = f"least({up} + 1, {left} + 1, {corner} + CASE WHEN {same('', '')} THEN 0 ELSE 1 END, {swap})"
+    row = f"list_reduce([[k] FOR k IN range(1, {n})], lambda r, j: list_append(r, {cell}), [i[1]])"
+    return f"list_reduce([[k] FOR k IN range(1, length({a}) + 1)], lambda p, i: p[{n} + 1:] || {row}, [1000000::BIGINT FOR k IN range({n})] || range({n}))[-1]"
+
+
+_SORTED = lambda x: f"array_to_string(list_sort(list_filter(string_split({x}, ' '), lambda t: t <> '')), ' ')"
+_PARTS = "pairs AS MATERIALIZED (SELECT DISTINCT lower(p_name) AS a, lower(p_type) AS b, lower(p_brand || ' ' || p_name) AS c FROM part)"
+
+
+@query("sim_parts", f"""WITH {_PARTS}, m AS (SELECT a, b, c, {_indel("a", "b")} AS ratio, {_indel(_SORTED("c"), _SORTED("b"))} AS token_sort,
+  CASE WHEN length(a) = 0 AND length(b) = 0 THEN 1.0 ELSE 1.0 - ({_osa("a", "b")})::DOUBLE / greatest(length(a), length(b)) END AS osa FROM pairs)
+SELECT p_partkey, round(ratio, 6) AS ratio, round(token_sort, 6) AS token_sort, round(osa, 6) AS osa FROM part JOIN m ON a = lower(p_name) AND b = lower(p_type) AND c = lower(p_brand || ' ' || p_name)""")
+def _(spark, sf_dir):
+    """Names against types, and against brand and name for the measure that sorts words."""
+    a, b, c = F.lower("p_name"), F.lower("p_type"), F.lower(F.concat("p_brand", F.lit(" "), "p_name"))
+    rows = views.table(spark, sf_dir, "part").select("p_partkey", similarity.measures(("ratio", "osa"))(a, b).alias("s"), similarity.measures(("token_sort",))(c, b).alias("t"))
+    return rows.select("p_partkey", F.round("s.ratio", 6).alias("ratio"), F.round("t.token_sort", 6).alias("token_sort"), F.round("s.osa", 6).alias("osa"))
+
+
+_WINDOWS = f"""sides AS MATERIALIZED (SELECT DISTINCT a, b, CASE WHEN length(a) <= length(b) THEN a ELSE b END AS s, CASE WHEN length(a) <= length(b) THEN b ELSE a END AS l FROM pairs),
+cuts AS (SELECT a, b, x, y FROM (SELECT a, b, s AS x, substr(l, greatest(k, 0)::INTEGER + 1, (least(k + length(s), length(l)) - greatest(k, 0))::INTEGER) AS y FROM sides, LATERAL (SELECT unnest(range(1 - length(s), length(l))) AS k))
+  UNION ALL SELECT a, b, l, substr(s, greatest(k, 0)::INTEGER + 1, (least(k + length(l), length(s)) - greatest(k, 0))::INTEGER) FROM sides, LATERAL (SELECT unnest(range(1 - length(l), length(s))) AS k) WHERE length(s) = length(l)),
+each_cut AS MATERIALIZED (SELECT DISTINCT x, y FROM cuts), best AS (SELECT a, b, max(r) AS partial FROM cuts JOIN (SELECT x, y, {_indel("x", "y")} AS r FROM each_cut) USING (x, y) GROUP BY a, b)"""
+_SETS_OF = lambda x: f"list_sort(list_distinct(list_filter(string_split({x}, ' '), lambda t: t <> '')))"
+_TOKEN_SETS = f"""z AS (SELECT a, b, array_to_string(list_filter(sa, lambda t: list_contains(sb, t)), ' ') AS both_, array_to_string(list_filter(sa, lambda t: NOT list_contains(sb, t)), ' ') AS oa, array_to_string(list_filter(sb, lambda t: NOT list_contains(sa, t)), ' ') AS ob, len(sa) AS na, len(sb) AS nb
+  FROM (SELECT a, b, {_SETS_OF("a")} AS sa, {_SETS_OF("b")} AS sb FROM sides)),
+y AS (SELECT *, trim(both_ || ' ' || oa) AS wa, trim(both_ || ' ' || ob) AS wb FROM z),
+sets AS (SELECT a, b, CASE WHEN na = 0 OR nb = 0 THEN 0.0 WHEN both_ <> '' AND (oa = '' OR ob = '') THEN 1.0 WHEN both_ = '' THEN {_indel("wa", "wb")} ELSE greatest({_indel("wa", "wb")}, {_indel("both_", "wa")}, {_indel("both_", "wb")}) END AS token_set FROM y)"""
+
+
+@query("sim_windows_and_sets", f"""WITH pairs AS MATERIALIZED (SELECT DISTINCT lower(p_name) AS a, lower(p_type || ' ' || split_part(p_name, ' ', 1 + p_partkey::INTEGER % 2)) AS b FROM part), {_WINDOWS}, {_TOKEN_SETS}
+SELECT p_partkey, round(partial, 6) AS partial, round(token_set, 6) AS token_set FROM part JOIN best ON best.a = lower(p_name) AND best.b = lower(p_type || ' ' || split_part(p_name, ' ', 1 + p_partkey::INTEGER % 2)) JOIN sets ON sets.a = best.a AND sets.b = best.b""")
+def _(spark, sf_dir):
+    """Names against types that one of the name's words follows."""
+    word = F.element_at(F.split("p_name", " "), (1 + F.col("p_partkey") % 2).cast("int"))
+    a, b = F.lower("p_name"), F.lower(F.concat("p_type", F.lit(" "), word))
+    rows = views.table(spark, sf_dir, "part").select("p_partkey", similarity.measures(("partial", "token_set"))(a, b).alias("s"))
+    return rows.select("p_partkey", F.round("s.partial", 6).alias("partial"), F.round("s.token_set", 6).alias("token_set"))
+
+
 @query("sim_jaro_winkler", "SELECT p_partkey, round(jaro_winkler_similarity(lower(p_name), lower(p_type)), 6) AS jw FROM part")
 def _(spark, sf_dir):
     return views.table(spark, sf_dir, "part").select("p_partkey", F.round(similarity.measures(("jw",))(F.lower("p_name"), F.lower("p_type"))["jw"], 6).alias("jw"))
@@ -368,7 +428,8 @@ _KS = (5, 10, 15, 20, 25, 30, 50)
 @query("win_recall_curve", sql(" UNION ALL ".join(f"SELECT {k} AS k, count(*) FILTER (rank < {k})::BIGINT AS found, count(*)::BIGINT AS pairs, CASE WHEN count(*) = 0 THEN 1.0 ELSE round(count(*) FILTER (rank < {k})::DOUBLE / count(*), 6) END AS recall FROM edges LEFT JOIN ranked USING (s1_id, cand_id)" for k in _KS), "edges", "ranked"))
 def _(spark, sf_dir):
     raw, s1, pool, _ = found(spark, sf_dir, capped=False)
-    got = metrics.recall_curve(blocking.top_k(raw, max(_KS)), truth_edges(s1.unionByName(pool)), _KS)
+    top = written(blocking.top_k(raw, max(_KS)), "ranked")
+    got = metrics.recall_curve(top, hits(top, s1, pool), _KS, true_pairs(s1, pool))
     return got.select("k", "found", "pairs", F.round("recall", 6).alias("recall"))
 
 
@@ -410,17 +471,30 @@ def _(spark, sf_dir):
     return got.select("s1_id", "cand_id", *[F.round(c, 6).alias(c) for c in _PAIR_COLUMNS])
 
 
-@query("feat_matrix")
+_STRINGS = f"""cp AS MATERIALIZED (SELECT s1_id, cand_id, a.nn AS an, b.nn AS bn, a.na AS aa, b.na AS ba FROM cand JOIN prep a ON a.id = s1_id JOIN prep b ON b.id = cand_id),
+pairs AS MATERIALIZED (SELECT an AS a, bn AS b FROM cp UNION SELECT aa, ba FROM cp), {_WINDOWS}, {_TOKEN_SETS},
+meas AS MATERIALIZED (SELECT a, b, {_indel("a", "b")} AS ratio, {_indel(_SORTED("a"), _SORTED("b"))} AS token_sort, 1.0 - ({_osa("a", "b")})::DOUBLE / greatest(length(a), length(b)) AS osa, jaro_winkler_similarity(a, b) AS jw FROM pairs),
+str AS MATERIALIZED (SELECT a, b, ratio, token_sort, token_set, partial, jw, osa FROM meas JOIN best USING (a, b) JOIN sets USING (a, b))"""
+_MATRIX = f"""SELECT p.*, round(coalesce(n.n::DOUBLE / (an.n + bn.n - n.n), 0), 6) AS name_jaccard, round(coalesce(d.n::DOUBLE / (ad.n + bd.n - d.n), 0), 6) AS num_jaccard, abs(p.s1_ntok - p.cand_ntok)::DOUBLE AS ntok_diff,
+  {", ".join(f"round(x.{m}, 6) AS name_{m}" for m in similarity.NAMES)}, {", ".join(f"round(y.{m}, 6) AS addr_{m}" for m in (*similarity.NAMES[:4], "osa"))},
+  round(c.block_score, 6) AS block_score, c.rank::DOUBLE AS rank, round(c.block_score / t, 6) AS score_ratio_to_top, round(t - c.block_score, 6) AS score_gap_to_top, round((c.block_score - m) / s, 6) + 0.0 AS score_z, g::DOUBLE AS group_size, (e.s1_id IS NOT NULL)::INTEGER AS label
+FROM pf p JOIN cand c USING (s1_id, cand_id) JOIN stats USING (s1_id) JOIN cp USING (s1_id, cand_id) JOIN str x ON x.a = an AND x.b = bn JOIN str y ON y.a = aa AND y.b = ba
+  LEFT JOIN shared n ON n.s1_id = p.s1_id AND n.cand_id = p.cand_id AND n.f = 'n' LEFT JOIN shared d ON d.s1_id = p.s1_id AND d.cand_id = p.cand_id AND d.f = 'd'
+  LEFT JOIN sums an ON an.id = p.s1_id AND an.f = 'n' LEFT JOIN sums bn ON bn.id = p.cand_id AND bn.f = 'n' LEFT JOIN sums ad ON ad.id = p.s1_id AND ad.f = 'd' LEFT JOIN sums bd ON bd.id = p.cand_id AND bd.f = 'd' LEFT JOIN edges e ON e.s1_id = p.s1_id AND e.cand_id = p.cand_id"""
+
+
+@query("feat_matrix", sql(f", {_STRINGS}, pf AS MATERIALIZED ({_PAIR}) {_MATRIX}", "cand", "prep", "shared", "sums", "stats", "edges", source="goods"))
 def _(spark, sf_dir):
     """All 36 features and the label, of the parts' short records."""
     cands, s1, pool, w = found(spark, sf_dir, views.goods)
-    return model.labelled(features.pair_features(cands, s1, pool, w), truth_edges(s1.unionByName(pool)))
+    rows = model.labelled(features.pair_features(cands, s1, pool, w), hits(cands, s1, pool))
+    return rows.select("s1_id", "cand_id", *[(F.round(c, 6) + 0.0).alias(c) for c in features.FEATURE_NAMES], F.col("label").cast("int").alias("label"))
 
 
 @query("ml_labels", sql("SELECT count(*)::BIGINT AS pairs, count(e.s1_id)::BIGINT AS positives, round(count(e.s1_id)::DOUBLE / count(*), 6) AS rate FROM cand LEFT JOIN edges e USING (s1_id, cand_id)", "cand", "edges"))
 def _(spark, sf_dir):
     cands, s1, pool, _ = found(spark, sf_dir)
-    got = model.labelled(cands, truth_edges(s1.unionByName(pool)))
+    got = model.labelled(cands, hits(cands, s1, pool))
     return got.agg(F.count("*").alias("pairs"), F.sum("label").alias("positives"), F.round(F.avg("label"), 6).alias("rate"))
 
 
@@ -452,7 +526,7 @@ def _(spark, sf_dir):
 def _(spark, sf_dir):
     """Boosted trees fitted on three quarters of the records, early-stopped and scored on the rest."""
     cands, s1, pool, w = found(spark, sf_dir)
-    rows = written(model.labelled(features.pair_features(cands, s1, pool, w, strings=False), truth_edges(s1.unionByName(pool))).withColumn("val", model.held_out(F.col("s1_id"))), "matrix")
+    rows = written(model.labelled(features.pair_features(cands, s1, pool, w, strings=False), hits(cands, s1, pool)).withColumn("val", model.held_out(F.col("s1_id"))), "matrix")
     if rows.where("not val").select("label").distinct().count() < 2:
         return rows.where("val").select("s1_id", "cand_id", "label", F.lit(0.0).alias("score"))
     return model.predict(model.train(rows, rounds=10, validation="val"), rows.where("val")).select("s1_id", "cand_id", "label", F.round("score", 6).alias("score"))
@@ -555,9 +629,9 @@ def _(spark, sf_dir):
 FROM (SELECT id, count(DISTINCT e.cand_id) AS n, count(DISTINCT c.cand_id) AS p, count(DISTINCT CASE WHEN e.cand_id = c.cand_id THEN e.cand_id END) AS tp FROM prep LEFT JOIN edges e ON e.s1_id = id LEFT JOIN cand c ON c.s1_id = id WHERE id LIKE 'S1-%' GROUP BY id)""", "cand", "edges", "size"))
 def _(spark, sf_dir):
     cands, s1, pool, _ = found(spark, sf_dir)
-    lists = cands.groupBy("s1_id").agg(F.collect_list("cand_id").alias("ids"))
-    ids = truth_edges(s1.unionByName(pool)).groupBy("s1_id").agg(F.collect_list("cand_id").alias("ids"))
-    got = metrics.score_blocking(lists, files.every_record(s1, ids), pool.count())
+    n = cands.groupBy("s1_id").agg(F.count("*").alias("n_pred")).join(hits(cands, s1, pool).groupBy("s1_id").agg(F.count("*").alias("tp")), "s1_id", "left")
+    counts = true_sizes(s1, pool).join(n, "s1_id", "left").na.fill(0, ["n_pred", "tp"])
+    got = metrics.blocking_scores(counts, pool.count())
     return got.withColumns({c: F.round(c, 6) for c in ("pair_completeness", "entities_full_recall", "avg_candidates", "reduction_ratio", "ceiling_f05")})
 
 
@@ -613,9 +687,27 @@ def _(spark, sf_dir):
     return mining.drop_counts(mining.differences(_found_pairs(spark, sf_dir)[0]))
 
 
+#: DuckDB measures edits in bytes; letters of two bytes that folding leaves become one.
+_TWO_BYTES = "ßœæøþðđłı"
+
+
 def _related_sql(a: str, b: str) -> str:
     inside = lambda x, y: f"(length({x}) <= length({y}) AND regexp_full_match({y}, '.*' || array_to_string(string_split({x}, ''), '.*') || '.*'))"
-    return f"({inside(a, b)} OR {inside(b, a)} OR (abs(length({a}) - length({b})) <= 2 AND least(length({a}), length({b})) >= 4 AND levenshtein({a}, {b}) <= 2))"
+    one = lambda x: f"translate({x}, '{_TWO_BYTES}', '{'!$%*+<=>@'}')"
+    return f"({inside(a, b)} OR {inside(b, a)} OR (abs(length({a}) - length({b})) <= 2 AND least(length({a}), length({b})) >= 4 AND levenshtein({one(a)}, {one(b)}) <= 2))"
+
+
+@query("mine_related", sql(f"SELECT a, b, {_related_sql('a', 'b')} AS related FROM (SELECT DISTINCT least(p, q) AS a, greatest(p, q) AS b FROM (SELECT unnest(x) AS p, y FROM diffs WHERE f = 'name'), LATERAL (SELECT unnest(y) AS q))", "diffs"))
+def _(spark, sf_dir):
+    """Every token that one name of a found pair has alone against every one that the other has alone."""
+    d = mining.differences(_found_pairs(spark, sf_dir)[0]).where("field = 'name'").select(F.explode("x").alias("p"), "y").select("p", F.explode("y").alias("q"))
+    rows = d.select(F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b")).distinct()
+    return rows.select("a", "b", tokens.related(F.col("a"), F.col("b")).alias("related"))
+
+
+@query("mine_related_substitutions", sql(f"SELECT a, b, n, {_related_sql('a', 'b')} AS related FROM (SELECT least(x[1], y[1]) AS a, greatest(x[1], y[1]) AS b, count(*)::BIGINT AS n FROM diffs WHERE len(x) = 1 AND len(y) = 1 GROUP BY 1, 2)", "diffs"))
+def _(spark, sf_dir):
+    return mining.related_pairs(mining.substitutions(mining.differences(_found_pairs(spark, sf_dir)[0])))
 
 
 @query("mine_expansions", sql(rf"""SELECT token, string_agg(alt, ' ' ORDER BY alt) AS alternates FROM (SELECT DISTINCT unnest([a, b]) AS token, unnest([b, a]) AS alt FROM (SELECT least(x[1], y[1]) AS a, greatest(x[1], y[1]) AS b FROM diffs WHERE len(x) = 1 AND len(y) = 1)
@@ -684,14 +776,14 @@ def _variants_sql() -> str:
 @query("tune_variants", sql(_variants_sql(), "ranked", "each", "w", "sums", "edges"))
 def _(spark, sf_dir):
     rows, s1, pool = _shortlist(spark, sf_dir)
-    return tuning.compare(rows, truth_edges(s1.unionByName(pool)), 20).withColumn("recall", F.round("recall", 6))
+    return tuning.compare(rows, hits(rows, s1, pool), 20, pairs=true_pairs(s1, pool)).withColumn("recall", F.round("recall", 6))
 
 
 @query("tune_char_blends")
 def _(spark, sf_dir):
     """The same with the blends of a fuzzy measure."""
     rows, s1, pool = _shortlist(spark, sf_dir)
-    got = tuning.compare(written(tuning.with_char_similarity(rows, s1, pool), "blends"), truth_edges(s1.unionByName(pool)), 20, True)
+    got = tuning.compare(written(tuning.with_char_similarity(rows, s1, pool), "blends"), hits(rows, s1, pool), 20, True, pairs=true_pairs(s1, pool))
     return got.withColumn("recall", F.round("recall", 6))
 
 

@@ -126,7 +126,7 @@ NEEDS = {
 
 
 def sql(final: str, *names: str, source: str = "docs") -> str:
-    """``final`` over the named common table expressions and all that they need."""
+    """``final`` over the named common table expressions and all that they need; more may follow them after a comma."""
     todo, got = list(names), set()
     while todo:
         n = todo.pop()
