@@ -9,6 +9,7 @@ import uuid
 from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -79,6 +80,22 @@ def extended(df: DataFrame, more: str) -> T.StructType:
     return T.StructType([*df.schema.fields, *T.StructType.fromDDL(more).fields])
 
 
+def with_added(docs: DataFrame, data: Column, run, more: str) -> DataFrame:
+    """``docs`` and the columns of the DDL string, which ``run`` makes of ``data``: it maps a list to arrays. Whatever the columns'
+    names are; those that the string names are replaced."""
+    added = T.StructType.fromDDL(more).names
+    names = [c for c in docs.columns if c not in added]
+    kept = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names)])
+    base = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names)], data.alias("data"))
+    at = len(names)
+
+    def mapped(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([*b.columns[:at], *run(b.column(at).to_pylist())], [*b.schema.names[:at], *added])
+
+    return base.mapInArrow(mapped, extended(kept, more)).toDF(*names, *added)
+
+
 def least_tasks(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

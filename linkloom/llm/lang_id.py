@@ -139,17 +139,12 @@ def identify(docs: DataFrame, train: DataFrame, per_lang: int = 300, landmarks_p
     common.small_batches(spark)
     model = fit(training_sample(train, per_lang), landmarks_per_lang)
     sent = spark.sparkContext.broadcast(model)
-    names = [c for c in docs.columns if c not in ("lang_pred", "score")]
-    base = docs.select(*[F.col(f"`{c}`") for c in names])
-    schema = common.extended(base, "lang_pred string, score double")
 
-    def run(batches):
-        m = sent.value
-        for b in batches:
-            got, score = m.score(b.column("text").to_pylist())
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(got, pa.string()), pa.array(score)], [*b.schema.names, "lang_pred", "score"])
+    def run(texts):
+        got, score = sent.value.score(texts)
+        return pa.array(got, pa.string()), pa.array(score)
 
-    return base.mapInArrow(run, schema)
+    return common.with_added(docs, F.col("text"), run, "lang_pred string, score double")
 
 
 def accepted(docs: DataFrame, train: DataFrame, least: float = 0.3) -> DataFrame:

@@ -11,7 +11,8 @@ lists of their rarest signatures, of which two sets alike enough share one. What
 become classes. Copies with equal fingerprints are one set; the pairs of a group of near copies grow with its square.
 
 Defined cases: null text is empty; a text without words has the empty fingerprint; two empty fingerprints are alike
-to 1, an empty and another to 0; equal texts have equal fingerprints; other columns are ignored.
+to 1, an empty and another to 0; equal texts have equal fingerprints; ``fingerprints`` keeps
+other columns as they are, but replaces one named ``fingerprint``; elsewhere other columns are ignored.
 """
 
 from __future__ import annotations
@@ -92,14 +93,8 @@ def likeness(a: np.ndarray, b: np.ndarray, least: float = 0.0) -> float:
 def fingerprints(docs: DataFrame) -> DataFrame:
     """Adds ``fingerprint`` to ``docs`` (text among the columns)."""
     common.small_batches(docs.sparkSession)
-    base = docs.select(*[c for c in docs.columns if c != "fingerprint"])
-
-    def run(batches):
-        for b in batches:
-            got = [written_form(signatures(t or "")) for t in b.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(got, pa.string())], [*b.schema.names, "fingerprint"])
-
-    return base.mapInArrow(run, common.extended(base, "fingerprint string"))
+    made = lambda texts: [pa.array([written_form(signatures(t or "")) for t in texts], pa.string())]
+    return common.with_added(docs, F.col("text"), made, "fingerprint string")
 
 
 # --- near duplicates ------------------------------------------------------------------------------------

@@ -17,7 +17,8 @@ Windows match by 104 bits of hash: 64 of the anchor and 40 of the window.
 
 Defined cases: null text has no words; texts of fewer words than a window keep all; windows repeated within one
 document, or in documents of the same id, don't count; a null doc_id is neither source nor target and keeps its
-text; repeated rows are parsed alike; other columns pass through untouched.
+text; repeated rows are parsed alike, from one set of their pointers; other columns pass
+through untouched, but columns named ``n_words``, ``n_removed`` and ``factors`` are replaced.
 """
 
 from __future__ import annotations
@@ -174,7 +175,7 @@ def dedup(docs: DataFrame, window: int = 13) -> DataFrame:
     sorted_ = anchors.repartition(common.least_tasks(spark), "g").sortWithinPartitions("g", "doc")
     again = sorted_.withColumn("lo", F.min("doc").over(block)).withColumn("hi", F.max("doc").over(block)).where("lo < hi or n < 0").drop("lo", "hi")
     found = again.mapInArrow(_lookup, "doc long, tag long, at int, mask int, src long, pos int")
-    per_doc = found.groupBy("doc", "tag").agg(F.collect_list(F.struct("at", "mask", "src", "pos")).alias("found"))
+    per_doc = found.groupBy("doc", "tag").agg(F.collect_set(F.struct("at", "mask", "src", "pos")).alias("found"))
 
     def pack(batches):
         for b in batches:

@@ -9,8 +9,8 @@ before come from a table of bounded size. Nothing is shuffled.
 Pieces come from a sentencepiece vocabulary file, whose order is their rank; a piece's log probability is Zipf's,
 ``-ln(rank) - ln(sum of 1/rank)``. Equal scores go to fewer tokens.
 
-Defined cases: null and blank texts have 0 tokens; repeated rows are counted each; no rows give no rows; other columns
-are ignored.
+Defined cases: null and blank texts have 0 tokens; repeated rows are counted each; no rows give no rows; other columns are
+kept as they are, but ``text`` goes and columns named ``n_pretokens`` and ``n_tokens`` are replaced.
 """
 
 from __future__ import annotations
@@ -125,16 +125,8 @@ def model(path: str) -> Unigram:
 def counted(docs: DataFrame, vocabulary: str) -> DataFrame:
     """Adds ``n_pretokens`` and ``n_tokens`` to ``docs``."""
     common.small_batches(docs.sparkSession)
-    names = [c for c in docs.columns if c not in ("n_pretokens", "n_tokens", "text")]
-    base = docs.select(*names, F.col("text").cast("binary").alias("text"))
-
-    def run(batches):
-        m = model(vocabulary)
-        for b in batches:
-            words, tokens = m.of(b.column("text").to_pylist())
-            yield pa.RecordBatch.from_arrays([*[b.column(c) for c in names], pa.array(words), pa.array(tokens)], [*names, "n_pretokens", "n_tokens"])
-
-    return base.mapInArrow(run, common.extended(docs.select(*names), "n_pretokens long, n_tokens long"))
+    data = F.col("text").cast("binary")
+    return common.with_added(docs, data, lambda texts: map(pa.array, model(vocabulary).of(texts)), "n_pretokens long, n_tokens long").drop("text")
 
 
 def query(spark, sf_dir):

@@ -70,6 +70,18 @@ def test_token_counts(spark, odd, none):
         assert m.count(w) == plain(w)
 
 
+def test_extra_columns_with_odd_or_clashing_names(spark, odd):
+    """Names with a dot stay, names that an operator adds are replaced."""
+    df = odd.where("doc_id < 6").withColumn("a.b", F.lit(7))
+    train = odd.select("text", "lang")
+    for got, more in (
+        (token_counts.counted(df.withColumn("n_tokens", F.lit("x")), P.path("piece_bpe_32k.model")), {"n_pretokens", "n_tokens"}), (lang_id.identify(df.withColumn("lang_pred", F.lit(3)), train), {"lang_pred", "score"}),
+        (substring.dedup(df.withColumn("n_removed", F.lit("x"))), {"n_words", "n_removed", "factors"}), (spotsigs.fingerprints(df.withColumn("fingerprint", F.lit(1))), {"fingerprint"}),
+        (toxicity.scored(df.withColumn("ratio", F.lit("x")), df.select("doc_id", "text"), spark.createDataFrame([(1, 1), (4, 0)], "doc_id long, toxic int")), {"ratio", "score"}),
+    ):
+        assert set(got.columns) | {"text"} == set(df.columns) | more | {"text"} and {r["a.b"] for r in got.collect()} == {7}
+
+
 # --- 2 language ID
 
 
