@@ -15,10 +15,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """A table of fewer row groups than there are cores is dealt out to all of them; a larger one is left as it is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(entity_id, name, address, country): a document is a record of one of three sources; its first sentence is the
     name and the rest, whole, the address; its language is the country."""
-    d = table(spark, sf_dir, "documents").where("text is not null").select("doc_id", "text", "lang")
+    d = spread(table(spark, sf_dir, "documents").where("text is not null").select("doc_id", "text", "lang"))
     name = F.substring_index("text", ".", 1)
     return d.select(
         F.concat(F.lit("S"), (F.col("doc_id") % 3 + 1).cast("string"), F.lit("-"), F.col("doc_id").cast("string")).alias("entity_id"),
