@@ -753,38 +753,55 @@ def _(spark, sf_dir):
     return mining.expansion_edges(mining.substitutions(diffs)).select("token", _join("alternates").alias("alternates"))
 
 
-def _shortlist(spark, sf_dir):
+def _shortlist(spark, sf_dir, source=views.records):
     """(masses of the shortlist of 200, source 1, pool)."""
-    raw, s1, pool, w = found(spark, sf_dir, capped=False)
+    raw, s1, pool, w = found(spark, sf_dir, source, capped=False)
     return written(tuning.masses(blocking.top_k(raw, 200).drop("rank"), s1, pool, w), "masses"), s1, pool
 
 
-def _variants_sql() -> str:
+def _variants_sql(chars: bool = False) -> str:
     def field(f: str, overlap: str, pen: float) -> str:
         v = {"cover": "i_{0} / b_{0}", "cosine": "i_{0} / sqrt(b_{0} * c_{0})", "dice": "2.0 * i_{0} / (b_{0} + c_{0})"}[overlap].format(f) + (f" / pow(c_{f}, {pen})" if pen else "")
         return f"CASE WHEN i_{f} > 0 AND b_{f} > 0 AND c_{f} > 0 THEN {v} ELSE 0.0 END"
 
     made = {"keys": "block_score"} | {n: " + ".join([f"{w} * ({field(k, f.overlap, f.penalty)})" for k, w in f.weights.items()] + [f"{f.keys} * block_score"]) for n, f in tuning.FORMULAS.items()}
-    rows = " UNION ALL ".join(f"SELECT '{n}' AS variant, s1_id, cand_id, round({e}, 9) AS score FROM m" for n, e in made.items())
-    of = lambda f, t, k: f"coalesce((SELECT mass FROM {t} q WHERE {k} AND q.f = '{f}'), 0)"
-    m = ", ".join(f"{of(f, 'both2', 'q.s1_id = s.s1_id AND q.cand_id = s.cand_id')} AS i_{f}, {of(f, 'sums', 'q.id = s.s1_id')} AS b_{f}, {of(f, 'sums', 'q.id = s.cand_id')} AS c_{f}" for f in "nwd")
-    return f"""SELECT variant, count(e.s1_id)::BIGINT AS found, (SELECT count(*) FROM edges)::BIGINT AS pairs, round(count(e.s1_id) / greatest((SELECT count(*) FROM edges), 1), 6) AS recall FROM (
-      SELECT *, row_number() OVER (PARTITION BY variant, s1_id ORDER BY score DESC, cand_id) AS r FROM ({rows})) v LEFT JOIN edges e ON e.s1_id = v.s1_id AND e.cand_id = v.cand_id AND v.r <= 20 GROUP BY variant""".replace(
-        "FROM m", f"FROM (WITH short AS (SELECT * FROM ranked WHERE rank < 200), both2 AS (SELECT c.s1_id, c.cand_id, x.f, sum(w.idf) AS mass FROM short c JOIN each x ON x.id = c.s1_id JOIN each y ON y.id = c.cand_id AND y.f = x.f AND y.token = x.token JOIN w ON w.country = x.country AND w.token = x.token GROUP BY c.s1_id, c.cand_id, x.f) SELECT s.s1_id, s.cand_id, s.block_score, {m} FROM short s)")
-
-
-@query("tune_variants", sql(_variants_sql(), "ranked", "each", "w", "sums", "edges"))
+    if chars:
+        made |= {f"keys_csim_{w}": f"block_score + {w} * csim" for w in tuning.BLENDS} | {"csim": "csim"}
+    rows = " UNION ALL ".join(f"SELECT '{n}' AS variant, s1_id, cand_id, round({e}, 9) AS score FROM masses" for n, e in made.items())
+    own = lambda f, side: f"coalesce((SELECT mass FROM sums q WHERE q.id = s.{side} AND q.f = '{f}'), 0)"
+    both = lambda f: f"coalesce((SELECT mass FROM both2 q WHERE q.s1_id = s.s1_id AND q.cand_id = s.cand_id AND q.f = '{f}'), 0)"
+    m = ", ".join(f"{both(f)} AS i_{f}, {own(f, 's1_id')} AS b_{f}, {own(f, 'cand_id')} AS c_{f}" for f in "nwd")
+    csim = f"""named AS MATERIALIZED (SELECT s1_id, cand_id, array_to_string(list_sort(a.names), ' ') AS x, array_to_string(list_sort(b.names), ' ') AS y FROM short JOIN prep a ON a.id = s1_id JOIN prep b ON b.id = cand_id),
+alike AS MATERIALIZED (SELECT x, y, {_indel("x", "y")} AS csim FROM (SELECT DISTINCT x, y FROM named)),""" if chars else ""
+    return f"""short AS MATERIALIZED (SELECT * FROM ranked WHERE rank < 200), {csim}
+both2 AS MATERIALIZED (SELECT c.s1_id, c.cand_id, x.f, sum(w.idf) AS mass FROM short c JOIN each x ON x.id = c.s1_id JOIN each y ON y.id = c.cand_id AND y.f = x.f AND y.token = x.token JOIN w ON w.country = x.country AND w.token = x.token GROUP BY c.s1_id, c.cand_id, x.f),
+masses AS MATERIALIZED (SELECT s.s1_id, s.cand_id, s.block_score, {"csim, " if chars else ""}{m} FROM short s{" JOIN named USING (s1_id, cand_id) JOIN alike USING (x, y)" if chars else ""})
+SELECT variant, count(e.s1_id)::BIGINT AS found, (SELECT count(*) FROM edges)::BIGINT AS pairs, round(count(e.s1_id) / greatest((SELECT count(*) FROM edges), 1), 6) AS recall FROM (
+  SELECT *, row_number() OVER (PARTITION BY variant, s1_id ORDER BY score DESC, cand_id) AS r FROM ({rows})) v LEFT JOIN edges e ON e.s1_id = v.s1_id AND e.cand_id = v.cand_id AND v.r <= 20 GROUP BY variant"""
+
+
+@query("tune_variants", sql(", " + _variants_sql(), "ranked", "each", "w", "sums", "edges"))
 def _(spark, sf_dir):
     rows, s1, pool = _shortlist(spark, sf_dir)
     return tuning.compare(rows, hits(rows, s1, pool), 20, pairs=true_pairs(s1, pool)).withColumn("recall", F.round("recall", 6))
 
 
+def _blends(spark, sf_dir, source) -> DataFrame:
+    rows, s1, pool = _shortlist(spark, sf_dir, source)
+    got = tuning.compare(written(tuning.with_char_similarity(rows, s1, pool), "blends"), hits(rows, s1, pool), 20, True, pairs=true_pairs(s1, pool))
+    return got.withColumn("recall", F.round("recall", 6))
+
+
 @query("tune_char_blends")
 def _(spark, sf_dir):
     """The same with the blends of a fuzzy measure."""
-    rows, s1, pool = _shortlist(spark, sf_dir)
-    got = tuning.compare(written(tuning.with_char_similarity(rows, s1, pool), "blends"), hits(rows, s1, pool), 20, True, pairs=true_pairs(s1, pool))
-    return got.withColumn("recall", F.round("recall", 6))
+    return _blends(spark, sf_dir, views.records)
+
+
+@query("tune_char_blends_parts", sql(", " + _variants_sql(True), "ranked", "each", "w", "sums", "edges", "prep", source="goods"))
+def _(spark, sf_dir):
+    """The blends over the parts' short names, where SQL has the fuzzy measure too."""
+    return _blends(spark, sf_dir, views.goods)
 
 
 @query("lim_sample", "SELECT doc_id FROM documents ORDER BY md5(doc_id || '17'), doc_id::VARCHAR LIMIT 100")
