@@ -16,6 +16,8 @@ from pyspark.sql import types as T
 
 _ROOT = str(Path(__file__).resolve().parents[2])
 
+#: Rows, of a few numbers each, up to which a table is broadcast.
+BROADCAST_ROWS = 500_000
 #: Bytes of the rows that a Python worker gets at once.
 BATCH_BYTES = 16 << 20
 #: ASCII white space, the separators of a "word" in every contract here.
@@ -47,6 +49,11 @@ def written(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def few(df: DataFrame) -> DataFrame:
+    """``df`` for a join: broadcast where a count proves it to have at most ``BROADCAST_ROWS`` rows, else left to Spark's shuffle joins."""
+    return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
+
+
 def release(spark: SparkSession) -> None:
     """Let Spark drop the shuffle files of plans that nothing refers to any more; it does so when the driver's heap is
     collected, which a large one rarely is."""

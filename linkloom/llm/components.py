@@ -14,16 +14,22 @@ from pyspark.sql import functions as F
 from . import common
 
 
+def _least(rows: DataFrame) -> DataFrame:
+    """(a, m): the least neighbour of each node, written. The neighbours of a node that many are linked to can then be dealt out:
+    the table is sent to every task where its count proves it small, and beyond that Spark splits skewed joins of two scans."""
+    return common.written(rows.groupBy("a").agg(F.min("b").alias("m")), "star-least")
+
+
 def _large(edges: DataFrame) -> DataFrame:
     both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = both.groupBy("a").agg(F.min("b").alias("m"))
-    return both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.least("a", "m").alias("b")).where("a != b").distinct()
+    met = both.where("b > a").join(common.few(_least(both)), "a")
+    return met.select(F.col("b").alias("a"), F.least("a", "m").alias("b")).where("a != b").distinct()
 
 
 def _small(edges: DataFrame) -> DataFrame:
     down = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    least = down.groupBy("a").agg(F.min("b").alias("m"))
-    met = down.join(least, "a")
+    least = _least(down)
+    met = down.join(common.few(least), "a")
     return met.select(F.col("b").alias("a"), F.col("m").alias("b")).where("a != b").unionByName(least.select("a", F.col("m").alias("b"))).distinct()
 
 
@@ -33,7 +39,7 @@ def components(edges: DataFrame) -> DataFrame:
     now = edges.select("a", "b").where("a is not null and b is not null and a != b").distinct()
     stamp = None
     while True:
-        now = common.written(_small(_large(now)), "star")
+        now = common.written(_small(common.written(_large(now), "star-half")), "star")
         seen = now.agg(F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("s")).first()
         if stamp == tuple(seen):
             break

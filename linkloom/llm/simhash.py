@@ -40,8 +40,6 @@ from .components import components
 SEGMENTS, WIDTH, RADIUS = 8, 8, 3
 #: Of edited copies: differing bits allowed a block, blocks, and how many of them are searched at once.
 NEAR, BLOCKS, AT_ONCE = 11, 12, 3
-#: Rows of keys that more than two fingerprints share, up to which they are sent to every task instead of shuffling all keys again.
-BROADCAST_ROWS = 500_000
 #: Constants by which further fingerprints of a text derive their hashes from the first one's.
 _SEEDS = [0] + [(0x9E3779B97F4A7C15 * (2 * k + 1)) & ((1 << 64) - 1) for k in range(1, 64)]
 
@@ -118,19 +116,15 @@ def _held(pairs: DataFrame, groups: DataFrame, blocks: int, radius: int) -> Data
     return met.select("a", "b", "na", "nb", _near(F.col("fa"), F.col("fb"), blocks, radius).alias("near"))
 
 
-def _few(df: DataFrame) -> DataFrame:
-    """Broadcast where a count proves it small; otherwise Spark shuffles both sides."""
-    return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
-
-
 def _stars(groups: DataFrame, part: range, blocks: int, radius: int) -> tuple[DataFrame, DataFrame]:
     """For the keys of some blocks: each key's fingerprints against its least one (a, b, na, nb, near), and (key, lo, g) of
-    the keys that more than two share. Both are written."""
+    the keys that more than two share. Both are written. Those keys are sent to every task where they are few, instead of shuffling
+    all keys a second time."""
     own = F.array(*[F.struct(F.lit(k).alias("block"), F.col("fps")[k].alias("fp")) for k in part])
     keyed = groups.select("g", F.explode(own).alias("o")).select("g", F.explode(ring_keys(F.col("o.fp"), F.col("o.block"))).alias("key"))
     shared = keyed.groupBy("key").agg(F.count("*").alias("n"), F.min("g").alias("lo"), F.max("g").alias("hi")).where("n > 1")
     shared = common.written(shared, "ring-keys")
-    members = common.written(keyed.join(_few(shared.where("n > 2").select("key", "lo")), "key").where("g != lo"), "ring-members")
+    members = common.written(keyed.join(common.few(shared.where("n > 2").select("key", "lo")), "key").where("g != lo"), "ring-members")
     two = shared.where("n = 2").select(F.col("lo").alias("a"), F.col("hi").alias("b"))
     more = members.select(F.col("lo").alias("a"), F.col("g").alias("b"))
     return common.written(_held(two.unionByName(more).distinct(), groups, blocks, radius), "stars"), members
