@@ -2,8 +2,8 @@
 
 With one total order (score descending, then s1_id, cand_id), taking claims greedily gives the unique stable matching. It
 is reached in rounds: each candidate proposes to the best source-1 record that has not rejected it; each record keeps
-its best proposers up to the source's cap and rejects the rest; a round without a rejection ends it. A round is two
-windows, written to the shared folder.
+its best proposers up to the source's cap and rejects the rest; a round without a rejection ends it. A round is an
+aggregate and a window, written to the shared folder.
 """
 
 from __future__ import annotations
@@ -47,7 +47,9 @@ def _stable(claims: DataFrame, keep) -> DataFrame:
     round but the last refuses a claim for good, so it ends."""
     open_ = claims.withColumn("dead", F.lit(False))
     while True:
-        proposed = open_.where(~F.col("dead")).withColumn("p", F.row_number().over(_by("cand_id"))).where("p = 1").drop("p")
+        # the best claim of each candidate, combined before the shuffle, as one candidate may be wanted by very many
+        best = open_.where(~F.col("dead")).groupBy("cand_id").agg(F.min(F.struct((-F.col("score")).alias("o"), "s1_id", "src")).alias("x"))
+        proposed = best.select("x.s1_id", "cand_id", (-F.col("x.o")).alias("score"), "x.src")
         judged = proposed.withColumn("k", F.row_number().over(_by(*keep["by"]))).withColumn("ok", F.coalesce(keep["if"], F.lit(True)))
         judged = written(judged.select("s1_id", "cand_id", "score", "src", "ok"), "proposals")
         refused = judged.where(~F.col("ok")).select("s1_id", "cand_id")
