@@ -117,9 +117,11 @@ def compare(rows: DataFrame, edges: DataFrame, k: int = 20, char_similarity: boo
     masses. All formulas are scored in one scan. With ``truth`` (s1_id, ids) also ``ceiling_f05``, the mean F0.5 that a
     perfect choice among those k would reach. ``pairs``: the number of true pairs, where ``edges`` has only those of the shortlist."""
     made = variants(char_similarity)
-    scored = rows.select("s1_id", "cand_id", F.explode(F.array(*[F.struct(F.lit(n).alias("variant"), F.round(v, 9).alias("score")) for n, v in made.items()])).alias("x")).select("s1_id", "cand_id", "x.*")
+    # dealt out by record before a pair becomes a row a formula, so those rows need no shuffle
+    rows = rows.join(edges.select("s1_id", "cand_id").distinct().withColumn("hit", F.lit(1)), ["s1_id", "cand_id"], "left").repartition("s1_id")
+    scored = rows.select("s1_id", "cand_id", "hit", F.explode(F.array(*[F.struct(F.lit(n).alias("variant"), F.round(v, 9).alias("score")) for n, v in made.items()])).alias("x")).select("s1_id", "cand_id", "hit", "x.*")
     best = scored.withColumn("r", F.row_number().over(Window.partitionBy("variant", "s1_id").orderBy(F.desc("score"), "cand_id"))).where(F.col("r") <= k)
-    per = best.join(edges, ["s1_id", "cand_id"], "left_semi").groupBy("variant", "s1_id").agg(F.count("*").alias("tp"))
+    per = best.where("hit = 1").groupBy("variant", "s1_id").agg(F.count("*").alias("tp"))
     names = rows.sparkSession.createDataFrame([(n,) for n in made], "variant string")
     pairs = edges.count() if pairs is None else pairs
     found = F.coalesce("found", F.lit(0).cast("long"))
@@ -143,10 +145,5 @@ def with_char_similarity(rows: DataFrame, s1: DataFrame, pool: DataFrame) -> Dat
 
 def masses(cands: DataFrame, s1: DataFrame, pool: DataFrame, weights: DataFrame) -> DataFrame:
     """Shared and own idf mass of name, word and number tokens for each candidate pair."""
-    def side(d: DataFrame, key: str, p: str) -> DataFrame:
-        rows = features.weighed(d, weights)
-        return rows.select("country", F.col("entity_id").alias(key), *[F.col(c).alias(f"{p}{c}") for c in rows.columns[2:]])
-
-    rows = cands.join(side(s1, "s1_id", "a_"), ["country", "s1_id"]).join(side(pool, "cand_id", "b_"), ["country", "cand_id"])
-    out = [(tokens.mass(F.array_intersect(f"a_{f}", f"b_{f}")).alias(f"i_{f}"), F.col(f"a_{f}_mass").alias(f"b_{f}"), F.col(f"b_{f}_mass").alias(f"c_{f}")) for f in "nwd"]
-    return rows.select("country", "s1_id", "cand_id", "block_score", *[c for three in out for c in three])
+    rows = features.overlaps(cands, s1, pool, weights)
+    return rows.select("country", "s1_id", "cand_id", "block_score", *[c for f in "nwd" for c in (F.col(f"i_{f}"), F.col(f"a_{f}").alias(f"b_{f}"), F.col(f"b_{f}").alias(f"c_{f}"))])

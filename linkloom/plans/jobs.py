@@ -20,7 +20,7 @@ from ..sources.storage import written
 
 def block(s1: DataFrame, pool: DataFrame, rules: RuleSet, k: int = 25) -> DataFrame:
     """Ranked candidates of raw records."""
-    return blocking.candidates(blocking.prepare(s1, rules), blocking.prepare(pool, rules), rules, blocking.Config(top_k=k))
+    return blocking.candidates(written(blocking.prepare(s1, rules), "s1"), written(blocking.prepare(pool, rules), "pool"), rules, blocking.Config(top_k=k))
 
 
 def mine_rules(spark: SparkSession, catalog: files.Catalog, out: str, sample: int | None = 300_000, least: dict[str, int] | None = None) -> RuleSet:
