@@ -3,7 +3,8 @@
 Each round is two grouped aggregations over (node, neighbour) rows: "large star" links every larger neighbour to
 the least of a node's neighbourhood, "small star" links every smaller-or-equal one. The table is written to the
 shared folder each round, so a lost executor costs one round at most. Rounds grow with the logarithm of the
-longest chain. Nothing but two counters reaches the driver.
+longest chain. Nothing but two counters reaches the driver, and what its plans took is let go after each round, as a
+driver's heap otherwise grows with the rounds.
 """
 
 from __future__ import annotations
@@ -41,6 +42,7 @@ def components(edges: DataFrame) -> DataFrame:
     while True:
         now = common.written(_small(common.written(_large(now), "star-half")), "star")
         seen = now.agg(F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("s")).first()
+        common.release(now.sparkSession)
         if stamp == tuple(seen):
             break
         stamp = tuple(seen)

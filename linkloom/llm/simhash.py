@@ -136,11 +136,13 @@ def _across(groups: DataFrame, held: DataFrame, members: DataFrame, roots: DataF
     of = lambda c: roots.select(F.col("node").alias(f"n{c}"), F.col("root").alias(f"r{c}"))
     apart = held.where("not near").join(of("a"), "na", "left").join(of("b"), "nb", "left")
     apart = apart.where(F.coalesce("ra", "na") != F.coalesce("rb", "nb")).select(F.col("a").alias("lo"), F.col("b").alias("g")).distinct()
-    mixed = members.join(apart, ["lo", "g"], "left_semi").select("key").distinct()
+    mixed = common.written(members.join(apart, ["lo", "g"], "left_semi").select("key").distinct(), "mixed")
+    common.release(groups.sparkSession)
     own = members.join(mixed, "key", "left_semi")
     all_ = own.select("key", "g").unionByName(own.select("key", F.col("lo").alias("g")).distinct())
     named = groups.join(roots, "node", "left").select("g", "fps", F.xxhash64(F.coalesce("root", "node")).alias("c"))
     rows = common.written(all_.join(named, "g"), "mixed-keys")
+    common.release(groups.sparkSession)
     sizes = rows.groupBy("key", "c").agg(F.count("*").alias("n"))
     rows = rows.join(sizes.groupBy("key").agg(F.max_by("c", "n").alias("major")), "key")
     x = rows.where("c != major").select("key", F.col("g").alias("a"), F.col("c").alias("ca"), F.col("fps").alias("fa"))
