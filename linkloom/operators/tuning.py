@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import similarity, tokens
-from ..sources.storage import written
+from ..sources.storage import SLICES, slice_of, written, written_slices
 from . import assign, features, metrics
 
 RESCUES = (0.2, 0.3, 0.4, 0.5, 0.6)
@@ -112,35 +112,54 @@ def variants(char_similarity: bool = False) -> dict[str, Column]:
     return out
 
 
-def compare(rows: DataFrame, edges: DataFrame, k: int = 20, char_similarity: bool = False, truth: DataFrame | None = None, pairs: int | None = None) -> DataFrame:
+def compare(rows: DataFrame, edges: DataFrame, k: int = 20, char_similarity: bool = False, truth: DataFrame | None = None, pairs: int | None = None, slices: int = 1) -> DataFrame:
     """(variant, found, pairs, recall) of the best k of each record by each formula; ``rows`` is the shortlist with its
     masses. All formulas are scored in one scan. With ``truth`` (s1_id, ids) also ``ceiling_f05``, the mean F0.5 that a
-    perfect choice among those k would reach. ``pairs``: the number of true pairs, where ``edges`` has only those of the shortlist."""
+    perfect choice among those k would reach. ``pairs``: the number of true pairs, where ``edges`` has only those of the shortlist. ``slices`` over 1: the records
+    are counted in so many turns, so ``rows`` are shuffled a slice at a time."""
     made = variants(char_similarity)
+    if slices > 1:
+        pairs = edges.count() if pairs is None else pairs
+        own = lambda d, i: d.where(slice_of("s1_id", slices) == i)
+        part = lambda i: _hits_of(own(rows, i), own(edges, i), made, k, None if truth is None else own(truth, i))
+        counts = written_slices(part, slices, "hits")
+        hit = counts.groupBy("variant").agg(*[F.sum(c).alias(c) for c in counts.columns[1:]])
+    else:
+        hit = _hits_of(rows, edges, made, k, truth)
+        pairs = edges.count() if pairs is None else pairs
+    names = rows.sparkSession.createDataFrame([(n,) for n in made], "variant string")
+    found = F.coalesce("found", F.lit(0).cast("long"))
+    more = []
+    if truth is not None:
+        n, alone = truth.select(F.size(F.array_distinct("ids")).alias("t")).agg(F.count("*"), F.count_if(F.col("t") == 0)).first()
+        more = [((F.coalesce("c", F.lit(0.0)) + F.lit(alone)) / F.lit(max(n, 1))).alias("ceiling_f05")]
+    return names.join(F.broadcast(hit), "variant", "left").select("variant", found.alias("found"), F.lit(pairs).alias("pairs"), (found / F.lit(max(pairs, 1))).alias("recall"), *more)  # a row a formula
+
+
+def _hits_of(rows: DataFrame, edges: DataFrame, made: dict[str, Column], k: int, truth: DataFrame | None) -> DataFrame:
+    """(variant, found), and with ``truth`` the sum ``c`` of its records' F0.5."""
     # dealt out by record before a pair becomes a row a formula, so those rows need no shuffle
     rows = rows.join(edges.select("s1_id", "cand_id").distinct().withColumn("hit", F.lit(1)), ["s1_id", "cand_id"], "left").repartition("s1_id")
     scored = rows.select("s1_id", "cand_id", "hit", F.explode(F.array(*[F.struct(F.lit(n).alias("variant"), F.round(v, 9).alias("score")) for n, v in made.items()])).alias("x")).select("s1_id", "cand_id", "hit", "x.*")
     best = scored.withColumn("r", F.row_number().over(Window.partitionBy("variant", "s1_id").orderBy(F.desc("score"), "cand_id"))).where(F.col("r") <= k)
     per = best.where("hit = 1").groupBy("variant", "s1_id").agg(F.count("*").alias("tp"))
-    names = rows.sparkSession.createDataFrame([(n,) for n in made], "variant string")
-    pairs = edges.count() if pairs is None else pairs
-    found = F.coalesce("found", F.lit(0).cast("long"))
-    more = []
     if truth is None:
-        hit = per.groupBy("variant").agg(F.sum("tp").alias("found"))
-    else:
-        sizes = truth.select("s1_id", F.size(F.array_distinct("ids")).alias("t"))
-        n, alone = sizes.agg(F.count("*"), F.count_if(F.col("t") == 0)).first()
-        hit = per.join(sizes, "s1_id").groupBy("variant").agg(F.sum("tp").alias("found"), F.sum(metrics.fbeta_half(F.col("tp"), F.col("tp"), F.col("t"))).alias("c"))
-        more = [((F.coalesce("c", F.lit(0.0)) + F.lit(alone)) / F.lit(max(n, 1))).alias("ceiling_f05")]
-    return names.join(F.broadcast(hit), "variant", "left").select("variant", found.alias("found"), F.lit(pairs).alias("pairs"), (found / F.lit(max(pairs, 1))).alias("recall"), *more)  # a row a formula
+        return per.groupBy("variant").agg(F.sum("tp").alias("found"))
+    sizes = truth.select("s1_id", F.size(F.array_distinct("ids")).alias("t"))
+    return per.join(sizes, "s1_id").groupBy("variant").agg(F.sum("tp").alias("found"), F.sum(metrics.fbeta_half(F.col("tp"), F.col("tp"), F.col("t"))).alias("c"))
 
 
 def with_char_similarity(rows: DataFrame, s1: DataFrame, pool: DataFrame) -> DataFrame:
-    """Adds ``csim``, the token-sort ratio of the two names."""
+    """Adds ``csim``, the token-sort ratio of the two names; written a slice of the records at a time, as both names travel to
+    each pair."""
     names = lambda d, k, c: d.select(F.col("entity_id").alias(k), F.array_join(F.array_sort("name_toks"), " ").alias(c))
-    met = rows.join(names(s1, "s1_id", "_a"), "s1_id").join(names(pool, "cand_id", "_b"), "cand_id")
-    return met.withColumn("csim", similarity.measures(("token_sort",))("_a", "_b")["token_sort"]).drop("_a", "_b")
+
+    def part(k: int) -> DataFrame:
+        own = lambda d: d.where(slice_of("s1_id", 4 * SLICES) == k)
+        met = own(rows).join(own(names(s1, "s1_id", "_a")), "s1_id").join(names(pool, "cand_id", "_b"), "cand_id")
+        return met.withColumn("csim", similarity.measures(("token_sort",))("_a", "_b")["token_sort"]).drop("_a", "_b")
+
+    return written_slices(part, 4 * SLICES, "blends")
 
 
 def masses(cands: DataFrame, s1: DataFrame, pool: DataFrame, weights: DataFrame) -> DataFrame:
