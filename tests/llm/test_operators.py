@@ -544,6 +544,47 @@ def test_toxicity_tells_a_rare_form_by_its_stem(spark):
     assert sum((x["score"] >= 0.3) == (x["doc_id"] % 4 == 0) for x in got) >= 97
 
 
+def test_toxicity_learns_from_every_label(spark):
+    """Each of 4,200 toxic and 4,200 ordinary documents has a word of its own, and a model that has seen it tells it."""
+    own = ["".join(chr(97 + i // 26**k % 26) for k in range(3)) + "q" for i in range(8400)]
+    d = spark.createDataFrame([(i, f"pad {w} pad") for i, w in enumerate(own)], "doc_id long, text string")
+    got = toxicity.scored(d, d, spark.createDataFrame([(i, i % 2) for i in range(8400)], "doc_id long, toxic int")).collect()
+    assert len(got) == 8400
+    assert min(x["ratio"] for x in got if x["doc_id"] % 2) > max(x["ratio"] for x in got if x["doc_id"] % 2 == 0)
+
+
+def test_toxicity_counts_of_classes_and_folds(spark, monkeypatch):
+    """Against sets of pairs, with frequent words dealt out in parts and few words at once."""
+    monkeypatch.setattr(toxicity, "PAIRS", 50)
+    docs = corpus(60, 13, 40)
+    d = spark.createDataFrame([(i, t) for i, t in enumerate(docs)], "doc_id long, text string")
+    known = toxicity.labelled(d, spark.createDataFrame([(i, i % 3 % 2) for i in range(60)], "doc_id long, toxic int"))
+    rows = [(bytes(r["data"]).decode().split(), r["toxic"], r["fold"]) for r in known.collect()]
+    words = sorted({w for t, _, _ in rows for w in t})
+    key = {w: toxicity.hashed(w)[0][0] for w in words}
+    got = {r["word"]: r for r in toxicity.class_counts(known, np.array([key[w] for w in words[::2]])).collect()}
+    assert len(got) == len(words) and {f for _, _, f in rows} == {0, 1, 2, 3}
+    for c in (0, 1):
+        for v in range(5):
+            pairs = {p for t, toxic, fold in rows if toxic == c and fold != v - 1 for p in zip([None, *t], t)}
+            assert all(got[int(key[w].astype(np.int64))][f"n{c}{v}"] == sum(b == w for _, b in pairs) for w in words)
+
+
+def test_toxicity_is_the_same_by_broadcast_and_by_join(spark, monkeypatch):
+    """Weights of frequent words are broadcast, all others joined; so are those of stems, and labels."""
+    docs = corpus(90, 14, 200)
+    d = spark.createDataFrame([(i % 80, t) for i, t in enumerate([*docs, docs[0], docs[0], None])], "doc_id long, text string")
+    lab = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(60)], "doc_id long, toxic int")
+    found = []
+    for hot, few in ((10**6, 10**6), (30, 10), (0, 10)):
+        for name, n in (("HOT", hot), ("STEMS", few), ("FEW", few)):
+            monkeypatch.setattr(toxicity, name, n)
+        found.append(sorted((x["doc_id"], x["text"] or "", x["ratio"], x["score"]) for x in toxicity.scored(d, d, lab).collect()))
+    assert len(found[0]) == 93
+    for other in found[1:]:
+        assert all(a[:2] == b[:2] and abs(a[2] - b[2]) < 1e-12 and abs(a[3] - b[3]) < 1e-5 for a, b in zip(found[0], other, strict=True))
+
+
 # --- 10 packing
 
 
