@@ -12,6 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import common
 from ..operators import blocking
 from ..operators.rules import RuleSet
 from ..sources.storage import written
@@ -40,7 +41,7 @@ def batch_candidates(new: DataFrame, index: PoolIndex, rules: RuleSet = RuleSet(
     unseen = s1.select("country", F.explode(F.array_distinct(F.concat("name_toks", "word_toks", "num_toks"))).alias("token")).distinct().join(index.weights, ["country", "token"], "left_anti")
     more = unseen.join(index.top, "country").select("country", "token", F.lit(0).cast("long").alias("df"), F.col("max_idf").alias("idf"))
     weights = index.weights.select(*more.columns).unionByName(more)
-    probe = blocking.keys(blocking.expand_words(blocking.rarest(s1, weights, config.rarest), weights, rules, config.rarest), index.top, config).withColumnRenamed("entity_id", "s1_id")
+    probe = blocking.keys(blocking.expand_words(blocking.rarest(s1, weights, config.rarest, common.thinned(index.weights, config.rarest)), weights, rules, config.rarest), index.top, config).withColumnRenamed("entity_id", "s1_id")
     met = probe.join(index.postings, ["country", "fam", "a", "b"]).groupBy("country", "s1_id", "cand_id").agg(F.round(F.sum("w"), 9).alias("block_score"))
     return blocking.top_k(met, config.top_k)
 
