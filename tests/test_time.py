@@ -6,7 +6,7 @@ import math
 from pyspark.sql import functions as F
 
 from linkloom.functions import common, minhash
-from linkloom.operators import blocking, features
+from linkloom.operators import blocking, features, tuning
 from linkloom.sources import storage
 from tests.test_disk import records
 
@@ -63,3 +63,12 @@ def test_token_lists_are_not_shuffled_for_each_pair(spark, monkeypatch):
     assert features.overlaps(pairs, s1, pool, blocking.idf(pool, s1)).count() == pairs.count() > 5 * 60
     n, plan = slices["overlaps"]
     assert n == math.ceil(pairs.count() / (20 * 60)) == 1 and "rightHint=(strategy=broadcast)" in plan
+
+
+def test_only_shortlists_with_a_true_pair_are_judged(spark):
+    rows = spark.createDataFrame([("x", a, b, float(i), *[float(i + len(b))] * 9) for i, (a, b) in enumerate([("S1-1", "S2-1"), ("S1-1", "S2-22"), ("S1-2", "S2-1"), ("S1-3", "S3-1"), ("S1-3", "S2-1")])], "country string, s1_id string, cand_id string, block_score double, " + ", ".join(f"{p}_{f} double" for f in "nwd" for p in "ibc"))
+    edges = spark.createDataFrame([("S1-1", "S2-22"), ("S1-3", "S2-1")], "s1_id string, cand_id string")
+    kept = tuning.judged(rows, edges)
+    assert kept.columns == rows.columns and sorted({r["s1_id"] for r in kept.collect()}) == ["S1-1", "S1-3"] and kept.count() == 4
+    for k in (1, 2):
+        assert sorted(map(tuple, tuning.compare(kept, edges, k, pairs=2).collect())) == sorted(map(tuple, tuning.compare(rows, edges, k, pairs=2).collect()))
